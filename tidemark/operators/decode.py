@@ -11,21 +11,32 @@ from tidemark import schemas as S
 from tidemark.functions.scalars import parse_time
 
 
+def parse_once(df: DataFrame, keep: list, docs: dict) -> DataFrame:
+    """Select ``keep`` plus one struct column per ``docs`` entry (alias -> (json
+    column, schema)), each JSON document parsed exactly once per row.
+
+    A plain projection of ``from_json`` lets the optimizer push later filters
+    below it and substitute every field reference with its own (pruned)
+    ``from_json`` call, so a filter on ten fields parses the text ten more times.
+    Producing the parsed structs from a generator (``inline`` of a one-element
+    array) keeps predicates on them above the parse."""
+    parsed = F.struct(*[F.from_json(c, schema).alias(alias) for alias, (c, schema) in docs.items()])
+    return df.select(*keep, F.inline(F.array(parsed)))
+
+
 def decode_envelope(rec: DataFrame) -> DataFrame:
     """Two-step decode of a change record: the payload's inner documents are JSON text.
 
     Output: topic, partition, offset, db, collection, ts_ms, _id (filter id as JSON
     text), after (document JSON), v and set_doc (the patch's ``$v`` and ``$set``)."""
-    v = F.from_json("value", S.ENVELOPE)
-    d = rec.select("topic", "partition", "offset", v["payload"].alias("p"))
-    src = F.from_json(F.col("p.source"), S.SOURCE)
-    flt = F.from_json(F.col("p.filter"), S.FILTER)
-    pat = F.from_json(F.col("p.patch"), S.PATCH)
+    d = parse_once(rec, ["topic", "partition", "offset"], {"m": ("value", S.ENVELOPE)})
+    d = parse_once(d, ["topic", "partition", "offset", F.col("m.payload.after").alias("after")],
+                   {"src": (F.col("m.payload.source"), S.SOURCE), "flt": (F.col("m.payload.filter"), S.FILTER),
+                    "pat": (F.col("m.payload.patch"), S.PATCH)})
     return d.select(
         "topic", "partition", "offset",
-        src["db"].alias("db"), src["collection"].alias("collection"), src["ts_ms"].alias("ts_ms"),
-        flt["_id"].alias("_id"), F.col("p.after").alias("after"),
-        pat["$v"].alias("v"), pat["$set"].alias("set_doc"))
+        F.col("src.db").alias("db"), F.col("src.collection").alias("collection"), F.col("src.ts_ms").alias("ts_ms"),
+        F.col("flt._id").alias("_id"), "after", F.col("pat")["$v"].alias("v"), F.col("pat")["$set"].alias("set_doc"))
 
 
 def route(env: DataFrame, collection: str) -> DataFrame:
@@ -36,10 +47,9 @@ def decode_users(env: DataFrame) -> DataFrame:
     """User inserts (documents with ``after``); e-mail and tenant are mandatory.
 
     The tenant id is normalised to bigint here, once."""
-    doc = F.from_json("after", S.USER_DOC)
-    return (env.filter(F.col("after").isNotNull())
-            .select(doc.alias("d"), "ts_ms", "partition", "offset")
-            .select(F.col("d._id")["$oid"].alias("_id"),
+    d = parse_once(env.filter(F.col("after").isNotNull()), ["ts_ms", "partition", "offset"],
+                   {"d": ("after", S.USER_DOC)})
+    return (d.select(F.col("d._id")["$oid"].alias("_id"),
                     F.col("d.organiser_id").try_cast("bigint").alias("organiser_id"),
                     F.col("d.email").alias("email"), "ts_ms", "partition", "offset")
             .filter(F.col("organiser_id").isNotNull() & F.col("email").isNotNull()))
@@ -62,11 +72,9 @@ def decode_registration_inserts(env: DataFrame, max_name_len: int = 264,
 
     Rows need a tenant and names of at most ``max_name_len`` characters; a NULL name
     fails the length test and drops the row unless ``allow_null_names``."""
-    doc = F.from_json("after", S.REGISTRATION_DOC)
-    df = (env.filter(F.col("after").isNotNull())
-          .select(doc.alias("d"), "ts_ms", "partition", "offset")
-          .select(F.col("d._id")["$oid"].alias("_id"), *_registration_cols("d"),
-                  "ts_ms", "partition", "offset"))
+    d = parse_once(env.filter(F.col("after").isNotNull()), ["ts_ms", "partition", "offset"],
+                   {"d": ("after", S.REGISTRATION_DOC)})
+    df = d.select(F.col("d._id")["$oid"].alias("_id"), *_registration_cols("d"), "ts_ms", "partition", "offset")
 
     def ok(c):
         good = F.length(c) <= max_name_len
@@ -79,11 +87,9 @@ def decode_registration_inserts(env: DataFrame, max_name_len: int = 264,
 def decode_registration_patches(env: DataFrame) -> DataFrame:
     """Patches (no ``after``): id from the filter document, fields from ``$set``;
     tagged ``OPS='UPDATE'``. Deletes and unset-only patches decode to all-NULL fields."""
-    fid = F.from_json("_id", S.OID)
-    doc = F.from_json("set_doc", S.REGISTRATION_DOC)
-    return (env.filter(F.col("after").isNull())
-            .select(fid.alias("f"), doc.alias("d"), "ts_ms", "partition", "offset")
-            .select(F.col("f")["$oid"].alias("_id"), *_registration_cols("d"),
+    d = parse_once(env.filter(F.col("after").isNull()), ["ts_ms", "partition", "offset"],
+                   {"f": ("_id", S.OID), "d": ("set_doc", S.REGISTRATION_DOC)})
+    return (d.select(F.col("f")["$oid"].alias("_id"), *_registration_cols("d"),
                     "ts_ms", "partition", "offset")
             .withColumn("OPS", F.lit("UPDATE")))
 
@@ -93,8 +99,7 @@ def decode_registration_patches(env: DataFrame) -> DataFrame:
 def decode_prospects(rec: DataFrame, time_patterns: Sequence[str] = ()) -> DataFrame:
     """Flatten a CRM prospect payload to one row of named columns (the payload's
     nested history and contacts stay arrays)."""
-    m = F.from_json("value", S.PROSPECT_MSG)
-    d = rec.select(m.alias("m"), "partition", "offset")
+    d = parse_once(rec, ["partition", "offset"], {"m": ("value", S.PROSPECT_MSG)})
     o, ld, a = "m.data.opportunityDetails", "m.data.leadDetails", "m.data.accountDetails"
 
     def t(c):
@@ -146,8 +151,7 @@ def decode_prospects(rec: DataFrame, time_patterns: Sequence[str] = ()) -> DataF
 
 def decode_sync(rec: DataFrame) -> DataFrame:
     """Sync notices -> organiser_Id (bigint, NULL when not numeric), action, actor, client."""
-    m = F.from_json("value", S.SYNC_MSG)
-    return rec.select(m["context"].alias("c")).select(
+    return parse_once(rec, [], {"m": ("value", S.SYNC_MSG)}).select(F.col("m.context").alias("c")).select(
         F.col("c.oId").try_cast("bigint").alias("organiser_Id"),
         F.col("c.action").alias("action"), F.col("c.actor").alias("actor"),
         F.col("c.client").alias("client"))

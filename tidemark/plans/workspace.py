@@ -50,11 +50,16 @@ class Workspace:
         return self.spark.read.parquet(self._paths[name])
 
     # -- messages -----------------------------------------------------------------
+    def _topic(self, df: DataFrame) -> DataFrame:
+        """Spread messages over files by key, like a topic's partitions (one scan
+        task per partition downstream, as the Kafka source gives)."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism, "key")
+
     def cdc_messages(self) -> DataFrame:
-        return self.stage("cdc_messages", lambda: fx.cdc_messages(self.spark, self.sf_dir))
+        return self.stage("cdc_messages", lambda: self._topic(fx.cdc_messages(self.spark, self.sf_dir)))
 
     def crm_messages(self) -> DataFrame:
-        return self.stage("crm_messages", lambda: fx.crm_messages(self.spark, self.sf_dir))
+        return self.stage("crm_messages", lambda: self._topic(fx.crm_messages(self.spark, self.sf_dir)))
 
     def sync_messages(self) -> DataFrame:
         return self.stage("sync_messages", lambda: fx.sync_messages(self.spark, self.sf_dir))

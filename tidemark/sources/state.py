@@ -12,15 +12,15 @@ exercised offline: the package is not installed here).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PREFIX = "v="
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """An empty frame of ``schema`` planned on the JVM side (no local data, no Python)."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """An empty frame of ``schema`` with real column attributes (so key conditions on
+    it stay equi-join keys) and no partitions (no task, no Python worker)."""
+    return spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
 
 
 class SnapshotStore:
