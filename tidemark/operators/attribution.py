@@ -77,14 +77,19 @@ def attribute(lead_contacts: DataFrame, registrations: DataFrame) -> DataFrame:
 
     Each prospect row gets the registration that the contact tie-break would keep
     (see ``contact_latest``) plus ``matched_registrations``, the number of
-    registrations the e-mail matched, instead of one output row per pair. Rows
-    without e-mail cannot match and bypass the join (no NULL-key hot partition)."""
-    best = best_registration(registrations)
-    has = lead_contacts.filter(F.col("email").isNotNull())
-    none = lead_contacts.filter(F.col("email").isNull())
-    joined = has.join(best, ["organiser_Id", "email"], "left")
-    return joined.unionByName(none, allowMissingColumns=True).withColumn(
-        "matched_registrations", F.coalesce("matched_registrations", F.lit(0)).cast("bigint"))
+    registrations the e-mail matched, instead of one output row per pair.
+
+    Rows without e-mail cannot match. They join on a per-row surrogate key and a
+    ``NULL`` flag that no registration carries, so they spread over all
+    partitions instead of piling up under one NULL key, in the same single pass."""
+    best = (best_registration(registrations).withColumnRenamed("email", "__key")
+            .withColumn("__nokey", F.lit(False)))
+    lc = (lead_contacts.withColumn("__nokey", F.col("email").isNull())
+          .withColumn("__key", F.coalesce(F.col("email"),
+                                          F.concat_ws("|", "prospect_id", "recordType", "SF_Id"))))
+    joined = lc.join(best, ["organiser_Id", "__key", "__nokey"], "left").drop("__key", "__nokey")
+    return joined.withColumn("matched_registrations",
+                             F.coalesce("matched_registrations", F.lit(0)).cast("bigint"))
 
 
 def with_touch_points(df: DataFrame, now: int, platform: str = DEFAULT_PLATFORM_SOURCE) -> DataFrame:
