@@ -1,19 +1,31 @@
-"""Current-state tables as versioned snapshots on shared storage.
-
-Without a table format that offers MERGE, a new state is written as a complete
-new version folder ``<root>/<table>/v=<version>``; the commit protocol writes
-``_SUCCESS`` last, and readers only take committed versions. Writing version N
-depends only on version < N, so a replayed micro-batch rewrites the same
-version with the same content. When Delta Lake is on the class path the same
-DataFrame results can be merged with ``DeltaTable.merge`` instead (not
-exercised offline: the package is not installed here).
+"""Current-state tables: the operations the jobs need (insert-if-absent,
+NULL-preserving patch, upsert, tenant erasure, replace) behind two stores.
+
+``DeltaStore`` (when delta-spark is on the class path) runs each operation as a
+Delta ``MERGE`` / ``DELETE``: only files holding matched keys are rewritten, so
+per-batch work follows the batch, not the table. This is the production path.
+
+``SnapshotStore`` is the portable fallback used offline and in the tests: each
+operation computes the complete new table with the DataFrame forms of
+``operators.merge`` and writes it as a new version folder
+``<root>/<table>/v=<version>``. The commit protocol writes ``_SUCCESS`` last and
+readers only take committed versions; version N depends only on versions < N, so
+a replayed micro-batch rewrites the same version with the same content. Its cost
+per batch is a full rewrite of each changed table, which is why it is not the
+path for large tables. (Delta is not installed in this environment, so the
+Delta branch is not exercised by the tests.)
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.merge import erase_tenants, merge_insert, merge_patch, merge_upsert
+
 PREFIX = "v="
 
 
@@ -74,6 +86,107 @@ class SnapshotStore:
         return version
 
 
+    def current(self, table: str, version: int | None = None) -> DataFrame | None:
+        """The table as just written by ``version`` (newest when None)."""
+        return self.read(table) if version is None else self.read_version(table, version)
+
+    # -- operations --------------------------------------------------------------
+    def _base(self, table: str, like: DataFrame, version: int | None) -> DataFrame:
+        base = self.read(table, below=version)
+        return empty_frame(self.spark, like.schema) if base is None else base
+
+    def put(self, table: str, df: DataFrame, version: int | None = None) -> int:
+        return self.write(table, df, version)
+
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> int:
+        return self.write(table, merge_insert(self._base(table, src, version), src, keys), version)
+
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> int:
+        return self.write(table, merge_upsert(self._base(table, src, version), src, keys), version)
+
+    def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
+                          cols: Sequence[str], version: int | None = None) -> int:
+        """Insert-if-absent, then NULL-preserving update; one new version."""
+        after = merge_insert(self._base(table, inserts, version), inserts, keys)
+        return self.write(table, merge_patch(after, patches, keys, cols), version)
+
+    def erase(self, table: str, tenants: DataFrame, key: str, version: int | None = None) -> int | None:
+        base = self.read(table, below=version)
+        if base is None:
+            return None
+        return self.write(table, erase_tenants(base, tenants, key), version)
+
+
+class DeltaStore:
+    """The same operations as Delta MERGE / DELETE on ``<root>/<table>``.
+
+    Keys compare NULL-safe (``<=>``), like the portable forms. Tenant erasure is a
+    MERGE against the tenant frame (``WHEN MATCHED THEN DELETE``), so the tenant
+    list is never collected to the driver."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        from delta.tables import DeltaTable  # noqa: F401  (fails fast when absent)
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def _dt(self, table: str):
+        from delta.tables import DeltaTable
+        p = self._path(table)
+        return DeltaTable.forPath(self.spark, p) if DeltaTable.isDeltaTable(self.spark, p) else None
+
+    @staticmethod
+    def _on(keys: Sequence[str]) -> str:
+        return " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+
+    def read(self, table: str, schema: T.StructType | None = None, below: int | None = None) -> DataFrame | None:
+        t = self._dt(table)
+        if t is None:
+            return None if schema is None else empty_frame(self.spark, schema)
+        return t.toDF()
+
+    def current(self, table: str, version: int | None = None) -> DataFrame | None:
+        return self.read(table)
+
+    def put(self, table: str, df: DataFrame, version: int | None = None) -> None:
+        df.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(self._path(table))
+
+    def _merge(self, table: str, src: DataFrame, keys: Sequence[str], build) -> None:
+        t = self._dt(table)
+        if t is None:
+            src.write.format("delta").mode("append").save(self._path(table))
+            return
+        build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
+
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> None:
+        self._merge(table, src, keys, lambda m: m.whenNotMatchedInsertAll())
+
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> None:
+        self._merge(table, src, keys, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
+
+    def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
+                          cols: Sequence[str], version: int | None = None) -> None:
+        self.insert_if_absent(table, inserts, keys)
+        upd = {c: f"coalesce(s.`{c}`, t.`{c}`)" for c in cols}
+        self._merge(table, patches, keys, lambda m: m.whenMatchedUpdate(set=upd))
+
+    def erase(self, table: str, tenants: DataFrame, key: str, version: int | None = None) -> None:
+        t = self._dt(table)
+        if t is None:
+            return
+        ids = tenants.select(F.col(tenants.columns[0]).alias("__tenant")).distinct()
+        t.alias("t").merge(ids.alias("s"), f"t.`{key}` = s.__tenant").whenMatchedDelete().execute()
+
+
+def open_store(spark: SparkSession, root: str, fmt: str = "auto"):
+    """``delta`` when requested (or available, for ``auto``), else snapshots."""
+    if fmt == "delta" or (fmt == "auto" and delta_available()):
+        return DeltaStore(spark, root)
+    return SnapshotStore(spark, root)
+
+
 def delta_available() -> bool:
     try:
         import delta.tables  # noqa: F401
