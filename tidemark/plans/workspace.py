@@ -156,6 +156,9 @@ _GUARD = threading.Lock()
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
+    # Epochs and dates of the given TIMESTAMP_NTZ columns are read as UTC wall time.
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _GUARD:
         if key not in _SPACES:
