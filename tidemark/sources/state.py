@@ -87,8 +87,8 @@ class SnapshotStore:
 
 
     def current(self, table: str, version: int | None = None) -> DataFrame | None:
-        """The table as just written by ``version`` (newest when None)."""
-        return self.read(table) if version is None else self.read_version(table, version)
+        """The table as of ``version``: the newest version at or below it (newest when None)."""
+        return self.read(table) if version is None else self.read(table, below=version + 1)
 
     # -- operations --------------------------------------------------------------
     def _base(self, table: str, like: DataFrame, version: int | None) -> DataFrame:
