@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame
 
 from tidemark.functions.scalars import DEFAULT_PLATFORM_SOURCE
 from tidemark.operators.attribution import (
-    CONTACT_KEYS, OPPORTUNITY_KEYS, build_contacts, for_tenants, opportunity_latest,
-    registrations_for_attribution,
+    build_contacts, for_tenants, opportunity_latest, registrations_for_attribution,
 )
 from tidemark.operators.decode import decode_prospects
-from tidemark.operators.funnel import FUNNEL_KEYS, event_funnel
+from tidemark.operators.funnel import event_funnel
 from tidemark.operators.merge import erase_tenants, merge_upsert
 from tidemark.operators.prospects import PROSPECT_KEYS, lead_contact_union, prepare_prospects
 
@@ -56,15 +55,6 @@ def recompute(prospects: DataFrame, user_registrations: DataFrame, rates: DataFr
                       event_funnel(contacts, reg, now, conf.unattributed))
 
 
-def upsert_recomputed(contacts: DataFrame | None, opportunities: DataFrame | None, funnel: DataFrame | None,
-                      new: Recomputed) -> Recomputed:
-    def up(base, src, keys):
-        return src if base is None else merge_upsert(base, src, keys)
-    return Recomputed(up(contacts, new.contacts, CONTACT_KEYS),
-                      up(opportunities, new.opportunities, OPPORTUNITY_KEYS),
-                      up(funnel, new.funnel, FUNNEL_KEYS))
-
-
 ERASE_KEYS = {"prospects": "organiser_Id", "user_registrations": "organiser_id", "contacts": "organiser_Id",
               "opportunities": "organiser_Id", "event_agg": "organiser_Id"}
 
