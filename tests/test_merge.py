@@ -52,3 +52,12 @@ def test_latest_per_order_and_ties(spark):
     df = spark.createDataFrame([("k", 1, 5, "a"), ("k", 2, 1, "b"), ("k", 2, 3, "c"), ("k", None, 9, "d"),
                                 ("j", None, None, "e")], "k string, ts int, off int, v string")
     assert rows(latest_per(df, ["k"], ["ts", "off"]), "k", "v") == [("j", "e"), ("k", "c")]
+
+
+@settings(max_examples=20, deadline=None)
+@given(keyed, keyed, keyed)
+def test_fused_insert_patch_equals_two_steps(spark, base, ins, pat):
+    b, i, p = (spark.createDataFrame(x, SCHEMA) for x in (base, ins, pat))
+    from tidemark.operators.merge import merge_insert_patch
+    two = merge_patch(merge_insert(b, i, ["k"]), p, ["k"], ["a", "b"])
+    assert rows(merge_insert_patch(b, i, p, ["k"], ["a", "b"])) == rows(two)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import any_not_null, ascii_bucket, to_bool, to_epoch_long
 from tidemark.operators.latest import latest_per
-from tidemark.operators.merge import merge_insert, merge_patch
+from tidemark.operators.merge import merge_insert, merge_insert_patch
 from tidemark.schemas import REGISTRATION_FIELDS
 
 CHANGE_META = ["ts_ms", "partition", "offset", "OPS"]
@@ -63,8 +63,9 @@ def latest_patches(changes: DataFrame, mode: str = "latest") -> DataFrame:
 def apply_registration_changes(state: DataFrame, changes: DataFrame, mode: str = "latest") -> DataFrame:
     """Inserts first (insert-if-absent, newest per key), then NULL-preserving patches."""
     ins = latest_per(changes.filter(F.col("OPS") == "INSERT"), REG_KEYS, CHANGE_ORDER)
-    after_insert = merge_insert(state.select(*REGISTRATION_COLUMNS), ins.select(*REGISTRATION_COLUMNS), REG_KEYS)
-    return merge_patch(after_insert, latest_patches(changes, mode), REG_KEYS, REGISTRATION_FIELDS)
+    pat = latest_patches(changes, mode).select(*REG_KEYS, *REGISTRATION_FIELDS)
+    return merge_insert_patch(state.select(*REGISTRATION_COLUMNS), ins.select(*REGISTRATION_COLUMNS), pat,
+                              REG_KEYS, REGISTRATION_FIELDS)
 
 
 def apply_user_inserts(state: DataFrame, users: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.merge import erase_tenants, merge_insert, merge_patch, merge_upsert
+from tidemark.operators.merge import erase_tenants, merge_insert, merge_insert_patch, merge_upsert
 
 PREFIX = "v="
 
@@ -106,9 +106,9 @@ class SnapshotStore:
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
                           cols: Sequence[str], version: int | None = None) -> int:
-        """Insert-if-absent, then NULL-preserving update; one new version."""
-        after = merge_insert(self._base(table, inserts, version), inserts, keys)
-        return self.write(table, merge_patch(after, patches, keys, cols), version)
+        """Insert-if-absent, then NULL-preserving update; one join with the base, one new version."""
+        base = self._base(table, inserts, version)
+        return self.write(table, merge_insert_patch(base, inserts, patches, keys, cols), version)
 
     def erase(self, table: str, tenants: DataFrame, key: str, version: int | None = None) -> int | None:
         base = self.read(table, below=version)
