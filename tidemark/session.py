@@ -37,8 +37,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (tests, local runs)
-    a private folder is created and registered as the checkpoint folder.
+    Read from the session; only when nothing is configured and the master is local
+    (tests, local runs) a private folder is created and registered. On a cluster
+    an unset folder is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -47,7 +48,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: stage tables, snapshots and "
+                               "stream checkpoints must survive the loss of any machine")
+        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")   # local mode only (tests, laptops)
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/")
 
