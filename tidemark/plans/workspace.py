@@ -51,9 +51,10 @@ class Workspace:
 
     # -- messages -----------------------------------------------------------------
     def _topic(self, df: DataFrame) -> DataFrame:
-        """Spread messages over files by key, like a topic's partitions (one scan
-        task per partition downstream, as the Kafka source gives)."""
-        return df.repartition(self.spark.sparkContext.defaultParallelism, "key")
+        """Spread messages evenly over files, like a topic's partitions (one scan task
+        per file downstream). Round-robin, so a hot key cannot make one file large;
+        nothing downstream depends on physical order (ordering uses ts / offset)."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
 
     def cdc_messages(self) -> DataFrame:
         return self.stage("cdc_messages", lambda: self._topic(fx.cdc_messages(self.spark, self.sf_dir)))
