@@ -51,3 +51,12 @@ def test_job_entry_points_over_files(spark):
     want = QUERIES["stream_sync_gate"](spark, SF_SMALL).drop("load_timestamp")
     assert rows(funnel) == rows(want.select(*funnel.columns))
     assert spark.read.json(f"{root}/ckpt/published").count() == 10
+
+
+def test_snapshot_erase_only_rewrites_tables_holding_the_tenant(spark):
+    store = SnapshotStore(spark, fresh_dir(spark, "test-erase"))
+    store.put("t", spark.createDataFrame([(1, "a"), (2, "b")], "organiser_Id long, v string"))
+    gone = spark.createDataFrame([(3,)], "organiser_Id long")
+    assert store.erase("t", gone, "organiser_Id") is None and store.versions("t") == [0]
+    store.erase("t", spark.createDataFrame([(2,)], "organiser_Id long"), "organiser_Id")
+    assert store.versions("t") == [0, 1] and rows(store.read("t")) == [(1, "a")]

@@ -46,22 +46,28 @@ class SnapshotStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self, table: str) -> list[int]:
+    def _listed(self, table: str) -> list[int]:
+        """Version numbers present as folders (committed or not), ascending."""
         p, fs = self._fs(f"{self.root}/{table}")
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(PREFIX):
-                done, _ = self._fs(f"{self.root}/{table}/{name}/_SUCCESS")
-                if fs.exists(done):
-                    out.append(int(name[len(PREFIX):]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return sorted(int(n[len(PREFIX):]) for n in names if n.startswith(PREFIX))
+
+    def _committed(self, table: str, version: int) -> bool:
+        done, fs = self._fs(f"{self.path(table, version)}/_SUCCESS")
+        return fs.exists(done)
+
+    def versions(self, table: str) -> list[int]:
+        return [v for v in self._listed(table) if self._committed(table, v)]
 
     def latest(self, table: str, below: int | None = None) -> int | None:
-        vs = [v for v in self.versions(table) if below is None or v < below]
-        return vs[-1] if vs else None
+        """Newest committed version (below ``below``): one listing, then ``_SUCCESS``
+        checks from the newest down (normally one)."""
+        for v in reversed(self._listed(table)):
+            if (below is None or v < below) and self._committed(table, v):
+                return v
+        return None
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/{PREFIX}{version:012d}"
@@ -111,9 +117,14 @@ class SnapshotStore:
         return self.write(table, merge_insert_patch(base, inserts, patches, keys, cols), version)
 
     def erase(self, table: str, tenants: DataFrame, key: str, version: int | None = None) -> int | None:
+        """Drop the tenants' rows; the table is rewritten only if it holds any of them
+        (the check reads just the tenant column)."""
         base = self.read(table, below=version)
         if base is None:
             return None
+        t = tenants.select(F.col(tenants.columns[0]).alias("__tenant"))
+        if base.select(key).join(t, F.col(key) == F.col("__tenant"), "left_semi").isEmpty():
+            return None
         return self.write(table, erase_tenants(base, tenants, key), version)
 
 
