@@ -45,12 +45,15 @@ def test_job_entry_points_over_files(spark):
     ws.sync_messages().filter("batch_no = 0").drop("batch_no").write.parquet(f"{root}/sync_in")
     conf["sync"] = {"notices": {"format": "parquet", "path": f"{root}/sync_in"}, "notice_topic": "n",
                     "crm": {"format": "parquet", "path": f"{root}/crm_in"}, "crm_topic": "c",
-                    "rates": {"format": "parquet", "root": f"{root}/wh"}, "unattributed": "zero_row"}
+                    "rates": {"format": "parquet", "root": f"{root}/wh"}, "unattributed": "zero_row",
+                    "warehouse": {"format": "parquet", "root": f"{root}/wh_out"}}
     run("sync", conf, spark).awaitTermination()
     funnel = SnapshotStore(spark, f"{root}/state2").read("event_agg").drop("load_timestamp")
     want = QUERIES["stream_sync_gate"](spark, SF_SMALL).drop("load_timestamp")
     assert rows(funnel) == rows(want.select(*funnel.columns))
     assert spark.read.json(f"{root}/ckpt/published").count() == 10
+    appended = spark.read.parquet(f"{root}/wh_out/roi_event_wise_agg")
+    assert appended.count() == funnel.count() and appended.select("batch_id").distinct().count() == 1
 
 
 def test_snapshot_erase_only_rewrites_tables_holding_the_tenant(spark):

@@ -52,8 +52,9 @@ def run(kind: str, conf: dict, spark: SparkSession | None = None):
         rates = read_warehouse(spark, WarehouseConf(**c["rates"]), c.get("rates_table", "exchange_rates"))
         crm = CrmConf(platform_source=c.get("platform_source", CrmConf.platform_source),
                       unattributed=c.get("unattributed", "keep"))
+        wh = WarehouseConf(**c["warehouse"]) if c.get("warehouse") else None
         return start_sync_stream(spark, _stream(c["notices"]), c["notice_topic"], _stream(c["crm"]), c["crm_topic"],
-                                 store, rates, conf["checkpoint_root"], crm, trigger)
+                                 store, rates, conf["checkpoint_root"], crm, trigger, wh)
     raise ValueError(f"unknown job {kind!r}")
 
 
