@@ -63,3 +63,13 @@ def test_snapshot_erase_only_rewrites_tables_holding_the_tenant(spark):
     assert store.erase("t", gone, "organiser_Id") is None and store.versions("t") == [0]
     store.erase("t", spark.createDataFrame([(2,)], "organiser_Id long"), "organiser_Id")
     assert store.versions("t") == [0, 1] and rows(store.read("t")) == [(1, "a")]
+
+
+def test_one_shot_batch_api_equals_staged_state(spark):
+    from tidemark.plans.cdc import apply_change_batch, empty_state
+    ws = workspace(spark, SF_SMALL)
+    st, joined = apply_change_batch(ws.envelopes(), empty_state(spark), NOW)
+    staged = ws.cdc_state(9)
+    assert rows(st.registrations) == rows(staged.registrations)
+    assert rows(st.user_registrations) == rows(staged.user_registrations)
+    assert rows(joined) == rows(staged.user_registrations)
