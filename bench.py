@@ -20,8 +20,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from tidemark.operators.attribution import registrations_for_attribution  # noqa: E402
 from tidemark.operators.decode import decode_prospects  # noqa: E402
 from tidemark.operators.funnel import event_funnel  # noqa: E402

@@ -24,7 +24,7 @@ from tidemark.operators.funnel import (
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.notify import completion_notice, tenants_with_action
 from tidemark.operators.prospects import (
-    contact_rows, lead_contact_union, with_latest_stage, with_prospect_key,
+    contact_rows, lead_contact_union, with_latest_stage,
 )
 from tidemark.plans.cdc import USER_REGISTRATION_COLUMNS
 from tidemark.plans.crm import erase

@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixtures as fx
-from tidemark.operators.changes import REG_KEYS
 from tidemark.operators.decode import decode_envelope
 from tidemark.plans.cdc import (
     CdcState, apply_registrations, apply_user_registrations, apply_users, batch_changes, empty_state,
     joined_changes,
 )
-from tidemark.plans.crm import CrmConf, ingest_prospects, recompute
+from tidemark.operators.attribution import opportunity_latest, registrations_for_attribution
+from tidemark.operators.funnel import event_funnel
+from tidemark.plans.crm import CrmConf, Recomputed, ingest_prospects, recompute
 from tidemark.session import fresh_dir
 from tidemark.sources.kafka import kafka_record
 
@@ -139,17 +140,13 @@ class Workspace:
         return self.stage(tag, lambda: recompute(self.prospects(batches), self.attribution_registrations(),
                                                  self.rates(), NOW, None, FUNNEL_CONF).contacts)
 
-    def recomputed(self, batches: tuple[int, ...] = (0, 1)):
-        """Recompute result whose funnel reads the written contact table."""
-        from tidemark.operators.attribution import registrations_for_attribution
-        from tidemark.operators.funnel import event_funnel
-        r = recompute(self.prospects(batches), self.attribution_registrations(), self.rates(), NOW, None,
-                      FUNNEL_CONF)
+    def recomputed(self, batches: tuple[int, ...] = (0, 1)) -> Recomputed:
+        """Contacts (the written table), opportunities and funnel of all tenants; the
+        funnel reads the written contact table, as the gate does."""
         contacts = self.contacts(batches)
         reg = registrations_for_attribution(self.attribution_registrations())
-        r.contacts = contacts
-        r.funnel = event_funnel(contacts, reg, NOW, FUNNEL_CONF.unattributed)
-        return r
+        return Recomputed(contacts, opportunity_latest(self.prospects(batches), NOW),
+                          event_funnel(contacts, reg, NOW, FUNNEL_CONF.unattributed))
 
 
 _SPACES: dict[tuple[str, str], Workspace] = {}
@@ -167,4 +164,4 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
         return _SPACES[key]
 
 
-__all__ = ["Workspace", "workspace", "NOW", "FUNNEL_CONF", "REG_KEYS"]
+__all__ = ["Workspace", "workspace", "NOW", "FUNNEL_CONF"]
