@@ -73,3 +73,18 @@ def test_one_shot_batch_api_equals_staged_state(spark):
     assert rows(st.registrations) == rows(staged.registrations)
     assert rows(st.user_registrations) == rows(staged.user_registrations)
     assert rows(joined) == rows(staged.user_registrations)
+
+
+def test_restart_without_new_data_fires_no_batch(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming.cdc import drain
+    ws = workspace(spark, SF_SMALL)
+    root = fresh_dir(spark, "test-restart")
+    store = SnapshotStore(spark, f"{root}/state")
+    fn = cdc_batch(store, now=NOW)
+    ws.cdc_messages().filter(F.col("file_no") == 0).drop("file_no").write.parquet(f"{root}/in")
+    drain(spark, f"{root}/in", fn, f"{root}/ckpt")
+    before = store.versions("user_registrations")
+    drain(spark, f"{root}/in", fn, f"{root}/ckpt")          # restart, nothing new
+    assert store.versions("user_registrations") == before == [0]
