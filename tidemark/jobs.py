@@ -8,6 +8,7 @@ credentials, warehouse passwords) are expected in the Spark configuration or the
 environment of the cluster, never in code or in this repository. Keys:
 
     state_root, state_format ("auto" | "delta" | "snapshot"), checkpoint_root,
+    partition_by (Delta only, e.g. {"registrations": ["bucket"], "contacts": ["organiser_Id"]}),
     trigger (e.g. {"processingTime": "5 minutes"}),
     cdc:  {"source": {"format": "kafka", "options": {...}}, "topic_pattern": "...",
            "patch_mode": "latest", "warehouse": {"format": ..., "root": ..., "options": {...}}}
@@ -39,7 +40,7 @@ def _stream(d: dict) -> StreamConf:
 
 def run(kind: str, conf: dict, spark: SparkSession | None = None):
     spark = spark or SparkSession.builder.appName(f"tidemark-{kind}").getOrCreate()
-    store = open_store(spark, conf["state_root"], conf.get("state_format", "auto"))
+    store = open_store(spark, conf["state_root"], conf.get("state_format", "auto"), conf.get("partition_by"))
     trigger = conf.get("trigger")
     if kind == "cdc":
         c = conf["cdc"]

@@ -135,10 +135,21 @@ class DeltaStore:
     MERGE against the tenant frame (``WHEN MATCHED THEN DELETE``), so the tenant
     list is never collected to the driver."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    # Partitioning applied when a table is first created; MERGE / DELETE conditions on
+    # these columns prune files. Registrations use the 100-value bucket of their id.
+    DEFAULT_PARTITIONS = {"registrations": ["bucket"]}
+
+    def __init__(self, spark: SparkSession, root: str, partition_by: dict[str, list[str]] | None = None):
         from delta.tables import DeltaTable  # noqa: F401  (fails fast when absent)
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_by = dict(self.DEFAULT_PARTITIONS if partition_by is None else partition_by)
+
+    def _create(self, table: str, df: DataFrame, mode: str) -> None:
+        w = df.write.format("delta").mode(mode)
+        if self.partition_by.get(table):
+            w = w.partitionBy(*self.partition_by[table])
+        w.save(self._path(table))
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -162,12 +173,12 @@ class DeltaStore:
         return self.read(table)
 
     def put(self, table: str, df: DataFrame, version: int | None = None) -> None:
-        df.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(self._path(table))
+        self._create(table, df, "overwrite")
 
     def _merge(self, table: str, src: DataFrame, keys: Sequence[str], build) -> None:
         t = self._dt(table)
         if t is None:
-            src.write.format("delta").mode("append").save(self._path(table))
+            self._create(table, src, "append")
             return
         build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
 
@@ -191,10 +202,10 @@ class DeltaStore:
         t.alias("t").merge(ids.alias("s"), f"t.`{key}` = s.__tenant").whenMatchedDelete().execute()
 
 
-def open_store(spark: SparkSession, root: str, fmt: str = "auto"):
+def open_store(spark: SparkSession, root: str, fmt: str = "auto", partition_by: dict | None = None):
     """``delta`` when requested (or available, for ``auto``), else snapshots."""
     if fmt == "delta" or (fmt == "auto" and delta_available()):
-        return DeltaStore(spark, root)
+        return DeltaStore(spark, root, partition_by)
     return SnapshotStore(spark, root)
 
 
