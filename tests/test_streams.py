@@ -88,3 +88,13 @@ def test_restart_without_new_data_fires_no_batch(spark):
     before = store.versions("user_registrations")
     drain(spark, f"{root}/in", fn, f"{root}/ckpt")          # restart, nothing new
     assert store.versions("user_registrations") == before == [0]
+
+
+def test_gate_handles_notice_before_any_payload(spark):
+    from tidemark.streaming.sync import sync_batch
+    ws = workspace(spark, SF_SMALL)
+    store = SnapshotStore(spark, fresh_dir(spark, "test-early"))
+    published = []
+    fn = sync_batch(store, ws.rates(), lambda: None, published.append, now=NOW)
+    fn(ws.sync_messages().filter("batch_no = 0").drop("batch_no"), 0)
+    assert store.read("event_agg").count() == 0 and published[0].count() == 10
