@@ -61,3 +61,11 @@ def test_fused_insert_patch_equals_two_steps(spark, base, ins, pat):
     from tidemark.operators.merge import merge_insert_patch
     two = merge_patch(merge_insert(b, i, ["k"]), p, ["k"], ["a", "b"])
     assert rows(merge_insert_patch(b, i, p, ["k"], ["a", "b"])) == rows(two)
+
+
+def test_merges_accept_inputs_of_one_lineage(spark):
+    df = spark.createDataFrame([("x", 1, "p"), ("y", 2, "q")], SCHEMA)
+    changed = df.filter("k = 'x'").selectExpr("k", "a + 10 AS a", "b")
+    assert rows(merge_upsert(df, changed, ["k"])) == [("x", 11, "p"), ("y", 2, "q")]
+    assert rows(merge_insert(df, changed, ["k"])) == rows(df)
+    assert rows(merge_patch(df, changed, ["k"], ["a"])) == [("x", 11, "p"), ("y", 2, "q")]

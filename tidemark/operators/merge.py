@@ -16,8 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _keys_as(df: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
+    """Only the key columns, renamed: joins stay unambiguous even when both inputs
+    come from one lineage (e.g. ``merge_upsert(df, df.filter(...))``)."""
+    return df.select(*[F.col(k).alias(f"{tag}{k}") for k in keys])
+
+
+def _on(keys: Sequence[str], tag: str):
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{tag}{k}")) for k in keys])
 
 
 def merge_insert(base: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,8 +31,7 @@ def merge_insert(base: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFr
 
     ``src`` must be unique per key (use ``latest_per`` first)."""
     src = src.select(*base.columns)
-    b = base.select(*keys)
-    new = src.join(b, _on(src, b, keys), "left_anti")
+    new = src.join(_keys_as(base, keys, "__b_"), _on(keys, "__b_"), "left_anti")
     return base.unionByName(new)
 
 
@@ -36,10 +41,10 @@ def merge_patch(base: DataFrame, patch: DataFrame, keys: Sequence[str],
     it is not NULL, else keeps the old one. Unmatched patches are ignored.
 
     ``patch`` must be unique per key."""
-    p = patch.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in cols])
-    joined = base.join(p, _on(base, p, keys), "left")
-    out = [F.coalesce(F.col(f"__new_{c}"), base[c]).alias(c) if c in cols else base[c]
-           for c in base.columns]
+    p = patch.select(*[F.col(k).alias(f"__p_{k}") for k in keys],
+                     *[F.col(c).alias(f"__new_{c}") for c in cols])
+    joined = base.join(p, _on(keys, "__p_"), "left")
+    out = [F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns]
     return joined.select(*out)
 
 
@@ -80,8 +85,7 @@ def merge_upsert(base: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFr
 
     ``src`` must be unique per key."""
     src = src.select(*base.columns)
-    s = src.select(*keys)
-    kept = base.join(s, _on(base, s, keys), "left_anti")
+    kept = base.join(_keys_as(src, keys, "__s_"), _on(keys, "__s_"), "left_anti")
     return kept.unionByName(src)
 
 
