@@ -336,47 +336,48 @@ def stream_sync_gate(spark, d):
                           NOW, FUNNEL_CONF).select(*FUNNEL_COLUMNS, "load_timestamp")
 
 
+# name -> query; the comment lists the SURVEY §2 operator ids the check covers
 QUERIES: dict[str, Query] = {
-    "cdc_envelope_decode": cdc_envelope_decode,
-    "cdc_users_insert": cdc_users_insert,
-    "cdc_registration_insert": cdc_registration_insert,
-    "cdc_patch_decode": cdc_patch_decode,
-    "cdc_change_union": cdc_change_union,
-    "cdc_change_types": cdc_change_types,
-    "registration_bucket": registration_bucket,
-    "cdc_patch_latest": cdc_patch_latest,
-    "cdc_patch_merge": cdc_patch_merge,
-    "changed_registrations": changed_registrations,
-    "registration_user_join": registration_user_join,
-    "registration_upsert": registration_upsert,
-    "prospect_flatten": prospect_flatten,
-    "time_parse": time_parse,
-    "prospect_latest_stage": prospect_latest_stage,
-    "prospect_key_latest": prospect_key_latest,
-    "prospect_upsert": prospect_upsert,
-    "tenant_restrict": tenant_restrict,
-    "contact_explode": contact_explode,
-    "lead_contact_union": lead_contact_union_q,
-    "fx_normalise": fx_normalise_q,
-    "attribution_join": attribution_join,
-    "touch_point": touch_point_q,
-    "contact_touchpoint": contact_touchpoint,
-    "contact_latest": contact_latest,
-    "contact_upsert": contact_upsert,
-    "opportunity_latest": opportunity_latest_q,
-    "opportunity_upsert": opportunity_upsert,
-    "event_top_amount": event_top_amount,
-    "event_opportunity_metrics": event_opportunity_metrics,
-    "event_opportunity_pivot": event_opportunity_pivot,
-    "event_lead_count": event_lead_count,
-    "event_attendance": event_attendance,
-    "event_keys_union": event_keys_union,
-    "event_funnel": event_funnel,
-    "event_funnel_upsert": event_funnel_upsert,
-    "sync_route": sync_route,
-    "tenant_erasure": tenant_erasure,
-    "completion_notice": completion_notice_q,
-    "warehouse_append_latest": warehouse_append_latest,
-    "stream_cdc_apply": stream_cdc_apply,
-    "stream_sync_gate": stream_sync_gate,
+    "cdc_envelope_decode": cdc_envelope_decode,  # S3 P1 F1
+    "cdc_users_insert": cdc_users_insert,  # P2 F2 F3 M1
+    "cdc_registration_insert": cdc_registration_insert,  # P3 F4 X1 M2
+    "cdc_patch_decode": cdc_patch_decode,  # P4 F5
+    "cdc_change_union": cdc_change_union,  # U1 F12
+    "cdc_change_types": cdc_change_types,  # X3 X16
+    "registration_bucket": registration_bucket,  # V1
+    "cdc_patch_latest": cdc_patch_latest,  # W1
+    "cdc_patch_merge": cdc_patch_merge,  # M3 F6
+    "changed_registrations": changed_registrations,  # J1 D1
+    "registration_user_join": registration_user_join,  # J2 D2 X5
+    "registration_upsert": registration_upsert,  # M4
+    "prospect_flatten": prospect_flatten,  # S2 P5
+    "time_parse": time_parse,  # V3
+    "prospect_latest_stage": prospect_latest_stage,  # X9 K6 K7
+    "prospect_key_latest": prospect_key_latest,  # X8 F7 W2 D3
+    "prospect_upsert": prospect_upsert,  # M4
+    "tenant_restrict": tenant_restrict,  # J3
+    "contact_explode": contact_explode,  # X10
+    "lead_contact_union": lead_contact_union_q,  # U2 F12 X6 X7
+    "fx_normalise": fx_normalise_q,  # S5 J4 X12
+    "attribution_join": attribution_join,  # J5 X2
+    "touch_point": touch_point_q,  # V2
+    "contact_touchpoint": contact_touchpoint,  # X4 X5 X6
+    "contact_latest": contact_latest,  # F8 W3
+    "contact_upsert": contact_upsert,  # M4
+    "opportunity_latest": opportunity_latest_q,  # F9 W4
+    "opportunity_upsert": opportunity_upsert,  # M4
+    "event_top_amount": event_top_amount,  # W5 D4 X11
+    "event_opportunity_metrics": event_opportunity_metrics,  # A1
+    "event_opportunity_pivot": event_opportunity_pivot,  # A2 A3
+    "event_lead_count": event_lead_count,  # F11 A4
+    "event_attendance": event_attendance,  # A5 X14
+    "event_keys_union": event_keys_union,  # U3 D5
+    "event_funnel": event_funnel,  # A6 J6 X13 F13
+    "event_funnel_upsert": event_funnel_upsert,  # M4
+    "sync_route": sync_route,  # P6 F10 D6 A7
+    "tenant_erasure": tenant_erasure,  # M5 X15
+    "completion_notice": completion_notice_q,  # P7 V4 X17 S7
+    "warehouse_append_latest": warehouse_append_latest,  # S6 K14
+    "stream_cdc_apply": stream_cdc_apply,  # S1 S8 T1-T4 T7
+    "stream_sync_gate": stream_sync_gate,  # S2 T2 T5 T6 T8
 }
