@@ -51,8 +51,9 @@ OPPORTUNITY_OUT = ["organiser_Id", "opportunity_Id", "prospect_id", "opportunity
                    "opportunity_IsWon", "Opportunity_StageName", "last_modified_s", "load_timestamp"]
 
 
-def _secs(c: str) -> F.Column:
-    return F.unix_timestamp(F.col(c)).alias(c if c != "opportunity_LastModifiedDate" else "last_modified_s")
+def _secs(c: str, alias: str | None = None) -> F.Column:
+    """A timestamp column as epoch seconds (check outputs carry no timestamp type)."""
+    return F.unix_timestamp(F.col(c)).alias(alias or c)
 
 
 def _ws(spark, d):
@@ -148,7 +149,7 @@ def prospect_flatten(spark, d):
 def time_parse(spark, d):
     p = _decoded(spark, d)
     return p.select(F.col("record_timeStamp"), _secs("opportunity_CreatedDate"), _secs("lead_CreatedDate"),
-                    _secs("opportunity_LastModifiedDate"))
+                    _secs("opportunity_LastModifiedDate", "last_modified_s"))
 
 
 def prospect_latest_stage(spark, d):
@@ -231,7 +232,8 @@ def contact_upsert(spark, d):
 
 def _opp_out(o):
     return o.select("organiser_Id", "opportunity_Id", "prospect_id", "opportunity_Amount", "opportunity_IsClosed",
-                    "opportunity_IsWon", "Opportunity_StageName", _secs("opportunity_LastModifiedDate"),
+                    "opportunity_IsWon", "Opportunity_StageName",
+                    _secs("opportunity_LastModifiedDate", "last_modified_s"),
                     "load_timestamp")
 
 
