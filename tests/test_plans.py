@@ -20,3 +20,20 @@ def test_scans_prune_columns(spark):
     from tidemark import fixtures as fx
     plan = fx.registrations(spark, SF_SMALL).select("_id")._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan
+
+
+def test_each_json_document_is_parsed_once(spark):
+    """Filters on decoded fields must not be pushed below the parse (which would
+    re-parse the text once per referenced field)."""
+    from tidemark.operators.changes import registration_changes
+    from tidemark.operators.decode import (
+        decode_envelope, decode_registration_inserts, decode_registration_patches, route,
+    )
+    from tidemark.plans.workspace import workspace
+    from tidemark.sources.kafka import kafka_record
+    env = decode_envelope(kafka_record(workspace(spark, SF_SMALL).cdc_messages().drop("file_no")))
+    comm = route(env, "communities")
+    ch = registration_changes(decode_registration_inserts(comm), decode_registration_patches(comm))
+    plan = ch._jdf.queryExecution().optimizedPlan().toString()
+    # per union branch: envelope + 3 inner documents + the registration document (+ filter id for patches)
+    assert plan.count("from_json(") <= 2 * 6, plan.count("from_json(")
