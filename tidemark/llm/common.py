@@ -39,8 +39,8 @@ def raw_bytes(column: pa.Array) -> list:
 
 
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
-           share: int = HEAVY_SHARE) -> DataFrame:
-    """``rows`` ⟕ ``groups`` on ``key`` (unique in groups), safe against hot keys.
+           share: int = HEAVY_SHARE, how: str = "left") -> DataFrame:
+    """``rows`` ⟕ ``groups`` (or an inner join) on ``key`` (unique in groups), safe against hot keys.
 
     ``size`` counts the rows of a key. Keys with more than ``total / share`` rows number fewer
     than ``share``: they are joined by broadcast, which that arithmetic bounds. No key of the
@@ -51,7 +51,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
     heavy, light = groups.filter(hot), groups.filter(~hot)
     keys = F.broadcast(heavy.select(key))
     return (rows.join(F.broadcast(heavy), key, "inner")
-            .unionByName(rows.join(keys, key, "left_anti").join(light, key, "left")))
+            .unionByName(rows.join(keys, key, "left_anti").join(light, key, how)))
 
 
 def components(edges: DataFrame) -> DataFrame:

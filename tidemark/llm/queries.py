@@ -5,22 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import chat_format
 from tidemark.llm.common import read_table
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import language_id
+from tidemark.llm.license_scan import license_scan
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.lm_scoring import lm_score
 from tidemark.llm.mixing import mix
 from tidemark.llm.simhash import simhash_dedup
+from tidemark.llm.warc import ALPHABET, read_archives, write_archives
+from tidemark.session import fresh_dir
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return (line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_lines", "n_removed", F.length(text).cast("bigint").alias("n_chars"), F.sha2(text, 256).alias("text_sha256")))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format(read_table(spark, sf_dir, "conversations")).withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(read_table(spark, sf_dir, "documents"))
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    write_archives(read_table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path)
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -34,6 +64,57 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_language_id, op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup)}
-
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_exact_dedup, op3_license_scan, op4_chat_formatting, op5_language_id, op6_lm_scoring, op7_warc_revisits,
+    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup)}
+
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": r"""
+        WITH l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p
+                   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+        w AS (SELECT doc_id, p, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS s
+              FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+        r AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS first_doc, min(p) OVER (PARTITION BY s, doc_id) AS first_p
+              FROM w WHERE s IS NOT NULL AND regexp_matches(s, '[^\x09-\x0D\x20]')),
+        gone AS (SELECT DISTINCT doc_id, p + k AS p FROM r, (SELECT unnest([0, 1, 2]) AS k)
+                 WHERE doc_id > first_doc OR p > first_p),
+        t AS (SELECT l.doc_id, count(*) AS n_lines, count(gone.p) AS n_removed,
+                     string_agg(line, chr(10) ORDER BY l.p) FILTER (WHERE gone.p IS NULL) AS text
+              FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.p = gone.p GROUP BY l.doc_id)
+        SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               length(coalesce(t.text, ''))::BIGINT AS n_chars, sha256(coalesce(t.text, '')) AS text_sha256
+        FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
+    "op2_exact_dedup": """
+        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s FROM documents)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY s) AS kept, sha256(s) AS text_sha256
+        FROM t""",
+    "op7_warc_revisits": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS s, sha1(coalesce(html, '')) AS hex FROM pages),
+        r AS (SELECT page_id, strlen(s)::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY s) AS original, hex FROM p)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('{ALPHABET}',
+                   1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> original THEN original END AS refers_to
+        FROM r""",
+    "op8_source_mixing": r"""
+        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                          substr(md5(doc_id::VARCHAR), 1, 15) AS digits FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size,
+                     [3.0, 1.0, 2.0][1 + ((row_number() OVER (ORDER BY source COLLATE C NULLS LAST) - 1) % 3)::INT]::DOUBLE AS weight
+              FROM d GROUP BY source),
+        f AS (SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / weight AS ratio, sum(source_size) OVER () * 1.5::DOUBLE AS pool FROM s),
+        g AS (SELECT *, (pool - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+                        / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM f),
+        lv AS (SELECT ratio AS r0, rate AS rate0 FROM g WHERE rate * weight <= cap ORDER BY ratio, rate LIMIT 1),
+        t AS (SELECT source, source_size, CASE WHEN ratio >= r0 THEN least(weight * rate0, cap) ELSE cap END AS target
+              FROM g LEFT JOIN lv ON true),
+        x AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+                     CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END::BIGINT AS passes,
+                     sum(size) OVER (PARTITION BY d.source ORDER BY digits) AS upto
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, source, size, source_size, target,
+               (size * (passes + CASE WHEN upto <= target - passes * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM x""",
+}
