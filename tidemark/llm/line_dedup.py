@@ -92,9 +92,9 @@ def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
     rest = [c for c in docs.columns if c != "text"]
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
-    repeats = repeated_elsewhere(docs, window)
-    joined = (docs.withColumn("text", F.col("text").cast("string")).join(repeats, doc == F.col("doc"), "left")
-              .select(F.struct(*rest).alias("rest"), "text", "hashes"))
+    repeats = repeated_elsewhere(docs, window).toDF("__doc", "__hashes")
+    joined = (docs.withColumn("text", F.col("text").cast("string")).join(repeats, doc == F.col("__doc"), "left")
+              .select(F.struct(*rest).alias("rest"), "text", "__hashes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
