@@ -1,3 +1,6 @@
+import pytest
+
+from tidemark import fixtures as fx
 from tidemark.plans.workspace import NOW, workspace
 from tidemark.session import fresh_dir
 from tidemark.sources.state import SnapshotStore
@@ -5,7 +8,7 @@ from tidemark.streaming.cdc import cdc_batch
 from conftest import SF_SMALL, rows
 
 
-def test_replayed_batch_rewrites_identical_state(spark):
+def test_replayed_batch_is_recognised(spark):
     msgs = workspace(spark, SF_SMALL).cdc_messages()
     store = SnapshotStore(spark, fresh_dir(spark, "test-replay"))
     fn = cdc_batch(store, now=NOW)
@@ -13,10 +16,95 @@ def test_replayed_batch_rewrites_identical_state(spark):
     b1 = msgs.filter("file_no = 1").drop("file_no")
     fn(b0, 0)
     fn(b1, 1)
-    first = rows(store.read("user_registrations"))
+    first, versions = rows(store.read("user_registrations")), store.versions("user_registrations")
     fn(b1, 1)                      # at-least-once: the same batch again
-    assert store.versions("user_registrations") == [0, 1]
-    assert rows(store.read("user_registrations")) == first
+    fn(b0, 0)
+    assert store.versions("user_registrations") == versions and rows(store.read("user_registrations")) == first
+
+
+def test_erasure_and_change_batches_do_not_undo_each_other(spark):
+    msgs = workspace(spark, SF_SMALL).cdc_messages()
+    files = [msgs.filter(f"file_no = {i}").drop("file_no") for i in range(3)]
+    store = SnapshotStore(spark, fresh_dir(spark, "test-two"))
+    fn = cdc_batch(store, now=NOW)
+    gone = spark.createDataFrame([(5,)], "organiser_Id long")
+
+    def tenant():
+        return store.read("user_registrations").filter("organiser_id = 5").count()
+
+    fn(files[0], 0)
+    before = store.read("user_registrations").count()
+    assert tenant() > 0
+    store.erase("user_registrations", gone, "organiser_id", "sync.a.0")
+    fn(files[1].limit(0), 1)                     # an empty change batch brings nothing back
+    assert tenant() == 0
+    fn(files[0], 0)                              # nor does a replay
+    assert tenant() == 0
+    store.erase("user_registrations", spark.createDataFrame([(6,)], "organiser_Id long"), "organiser_id", "sync.a.1")
+    fn(files[1], 2)                              # and no batch is hidden by erasures
+    assert store.read("user_registrations").count() > before
+    fn(files[2], 3)
+    fn(files[1], 2)
+    again = rows(store.read("user_registrations"))
+    store.erase("user_registrations", gone, "organiser_id", "sync.a.0")      # a replayed notice
+    assert rows(store.read("user_registrations")) == again
+
+
+def test_erased_rows_leave_the_disk(spark):
+    store = SnapshotStore(spark, fresh_dir(spark, "test-disk"))
+    schema = "organiser_Id long, prospect_id string"
+    store.append("prospect_rejects", spark.createDataFrame([(1, None), (2, None)], schema), "crm.a.0")
+    for i in range(5):
+        store.upsert("prospects", spark.createDataFrame([(t, f"p{k}") for t in (1, 2) for k in range(20)], schema), ["organiser_Id", "prospect_id"], f"crm.a.{i}")
+    for t in ("prospects", "prospect_rejects"):
+        store.erase(t, spark.createDataFrame([(2,)], "organiser_Id long"), "organiser_Id", "sync.a.0")
+        files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").schema(schema).parquet(f"{store.root}/{t}")
+        assert rows(files.select("organiser_Id").distinct()) == [(1,)] and store.read(t).filter("organiser_Id = 1").count() > 0
+
+
+def test_only_touched_buckets_are_read_and_written(spark):
+    store = SnapshotStore(spark, fresh_dir(spark, "test-buckets"))
+    schema = "_id string, organiser_id long, email string"
+    store.insert_if_absent("users", spark.createDataFrame([(f"u{i}", 1, "a") for i in range(500)], schema), ["_id"], "cdc.a.0")
+    full = store.buckets("users")
+    new = spark.createDataFrame([("u1", 2, "b"), ("new", 2, "b")], schema)
+    touched = store._touched("users", new)
+    store.upsert("users", new, ["_id"], "cdc.a.1")
+    after = store.buckets("users")
+    assert len(full) > 50 and {b for b in after if after[b] != full.get(b)} == touched and len(touched) <= 2
+    files = store.read_near("users", new).inputFiles()
+    assert all(any(f"__bucket={b}/" in f for b in touched) for f in files)
+    assert store.read("users").count() == 501 and rows(store.read("users").filter("_id = 'u1'")) == [("u1", 2, "b")]
+
+
+def test_versions_do_not_pile_up(spark):
+    store = SnapshotStore(spark, fresh_dir(spark, "test-retain"))
+    for i in range(8):
+        store.put("t", spark.range(3), f"x.a.{i}")
+    assert len(store.versions("t")) <= store.retain + 1 and store.versions("t")[-1] == 7
+    assert store.applied("t", "x.a.7") and store.read("t").count() == 3
+
+
+def test_a_locked_table_is_not_written(spark):
+    store = SnapshotStore(spark, fresh_dir(spark, "test-lock"), lock_seconds=0.5)
+    with store._lock("t"), pytest.raises(TimeoutError):
+        store.put("t", spark.range(1))
+    store.put("t", spark.range(1))
+
+
+def test_store_format_is_explicit(spark):
+    from tidemark.sources.state import open_store
+    with pytest.raises(ValueError):
+        open_store(spark, "x", "auto")
+    assert isinstance(open_store(spark, "x", "snapshot"), SnapshotStore)
+
+
+def test_large_notice_batches_are_sliced(spark):
+    from tidemark.streaming.sync import tenant_slices
+    tenants = spark.range(1000).withColumnRenamed("id", "organiser_Id")
+    parts = [rows(p) for p in tenant_slices(tenants, 100)]
+    assert max(map(len, parts)) <= 100 and sorted(x for p in parts for x in p) == [(i,) for i in range(1000)]
+    assert tenant_slices(tenants.limit(0), 100) == []
 
 
 def test_job_entry_points_over_files(spark):
@@ -32,7 +120,7 @@ def test_job_entry_points_over_files(spark):
         ws.cdc_messages().filter(F.col("file_no") == f).drop("file_no").write.mode("append").parquet(f"{root}/cdc_in")
         conf = {"state_root": f"{root}/state", "state_format": "snapshot", "checkpoint_root": f"{root}/ckpt",
                 "trigger": {"availableNow": True},
-                "cdc": {"source": {"format": "parquet", "path": f"{root}/cdc_in"}, "topic_pattern": "unused"}}
+                "cdc": {"source": {"format": "parquet", "path": f"{root}/cdc_in"}, "topic_pattern": fx.CDC_TOPIC_PATTERN}}
         run("cdc", conf, spark).awaitTermination()
     got = SnapshotStore(spark, f"{root}/state").read("user_registrations")
     assert rows(got, "_id", "organiser_id", "email", "event_id") == \
@@ -43,8 +131,8 @@ def test_job_entry_points_over_files(spark):
     ws.rates().write.parquet(f"{root}/wh/exchange_rates")
     ws.crm_messages().drop("batch_no").write.parquet(f"{root}/crm_in")
     ws.sync_messages().filter("batch_no = 0").drop("batch_no").write.parquet(f"{root}/sync_in")
-    conf["sync"] = {"notices": {"format": "parquet", "path": f"{root}/sync_in"}, "notice_topic": "n",
-                    "crm": {"format": "parquet", "path": f"{root}/crm_in"}, "crm_topic": "c",
+    conf["sync"] = {"notices": {"format": "parquet", "path": f"{root}/sync_in"}, "notice_topic": fx.SYNC_TOPIC,
+                    "crm": {"format": "parquet", "path": f"{root}/crm_in"}, "crm_topic": fx.PROSPECT_TOPIC, "contact_table": "crm.contact",
                     "rates": {"format": "parquet", "root": f"{root}/wh"}, "unattributed": "zero_row",
                     "warehouse": {"format": "parquet", "root": f"{root}/wh_out"}}
     run("sync", conf, spark).awaitTermination()
@@ -53,7 +141,10 @@ def test_job_entry_points_over_files(spark):
     assert rows(funnel) == rows(want.select(*funnel.columns))
     assert spark.read.json(f"{root}/ckpt/published").count() == 10
     appended = spark.read.parquet(f"{root}/wh_out/roi_event_wise_agg")
-    assert appended.count() == funnel.count() and appended.select("batch_id").distinct().count() == 1
+    assert appended.count() == funnel.count() and appended.select("run_id", "batch_id").distinct().count() == 1
+    assert spark.read.parquet(f"{root}/wh_out/crm.contact").count() > 0
+    # the run id is the streaming query's, not the fallback
+    assert appended.first()["run_id"] != "batch"
 
 
 def test_snapshot_erase_only_rewrites_tables_holding_the_tenant(spark):
@@ -62,7 +153,7 @@ def test_snapshot_erase_only_rewrites_tables_holding_the_tenant(spark):
     gone = spark.createDataFrame([(3,)], "organiser_Id long")
     assert store.erase("t", gone, "organiser_Id") is None and store.versions("t") == [0]
     store.erase("t", spark.createDataFrame([(2,)], "organiser_Id long"), "organiser_Id")
-    assert store.versions("t") == [0, 1] and rows(store.read("t")) == [(1, "a")]
+    assert store.versions("t")[-1] == 1 and rows(store.read("t")) == [(1, "a")]
 
 
 def test_one_shot_batch_api_equals_staged_state(spark):
@@ -78,15 +169,16 @@ def test_one_shot_batch_api_equals_staged_state(spark):
 def test_restart_without_new_data_fires_no_batch(spark):
     from pyspark.sql import functions as F
 
+    from tidemark.sources.kafka import StreamConf, read_changes
     from tidemark.streaming.cdc import drain
     ws = workspace(spark, SF_SMALL)
     root = fresh_dir(spark, "test-restart")
     store = SnapshotStore(spark, f"{root}/state")
     fn = cdc_batch(store, now=NOW)
     ws.cdc_messages().filter(F.col("file_no") == 0).drop("file_no").write.parquet(f"{root}/in")
-    drain(spark, f"{root}/in", fn, f"{root}/ckpt")
+    drain(read_changes(spark, StreamConf(format="parquet", path=f"{root}/in"), fx.CDC_TOPIC_PATTERN), fn, f"{root}/ckpt")
     before = store.versions("user_registrations")
-    drain(spark, f"{root}/in", fn, f"{root}/ckpt")          # restart, nothing new
+    drain(read_changes(spark, StreamConf(format="parquet", path=f"{root}/in"), fx.CDC_TOPIC_PATTERN), fn, f"{root}/ckpt")          # restart, nothing new
     assert store.versions("user_registrations") == before == [0]
 
 
@@ -95,6 +187,6 @@ def test_gate_handles_notice_before_any_payload(spark):
     ws = workspace(spark, SF_SMALL)
     store = SnapshotStore(spark, fresh_dir(spark, "test-early"))
     published = []
-    fn = sync_batch(store, ws.rates(), lambda: None, published.append, now=NOW)
+    fn = sync_batch(store, ws.rates, lambda: None, lambda df: published.append(df.count()), now=NOW)
     fn(ws.sync_messages().filter("batch_no = 0").drop("batch_no"), 0)
-    assert store.read("event_agg").count() == 0 and published[0].count() == 10
+    assert store.read("event_agg").count() == 0 and published == [10]

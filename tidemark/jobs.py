@@ -7,13 +7,19 @@
 credentials, warehouse passwords) are expected in the Spark configuration or the
 environment of the cluster, never in code or in this repository. Keys:
 
-    state_root, state_format ("auto" | "delta" | "snapshot"), checkpoint_root,
+    state_root, state_format ("delta" | "snapshot"), checkpoint_root,
     partition_by (Delta only, e.g. {"registrations": ["bucket"], "contacts": ["organiser_Id"]}),
     trigger (e.g. {"processingTime": "5 minutes"}),
     cdc:  {"source": {"format": "kafka", "options": {...}}, "topic_pattern": "...",
-           "patch_mode": "latest", "warehouse": {"format": ..., "root": ..., "options": {...}}}
+           "patch_mode": "latest", "warehouse": {"format": ..., "root": ..., "options": {...}},
+           "warehouse_table": "community_users"}
     sync: {"notices": {...}, "notice_topic": "...", "crm": {...}, "crm_topic": "...",
-           "rates": {"format": ..., "root"|"options": ...}, "platform_source": "...", "unattributed": "keep"}
+           "rates": {"format": ..., "root"|"options": ...}, "rates_table": "exchange_rates",
+           "rates_latest_by": null (the column that orders a rate history), "platform_source": "...",
+           "unattributed": "keep", "contact_table" | "opportunity_table" | "funnel_table": warehouse tables}
+
+Table names may be schema-qualified. The jobs set the session zone to UTC and ANSI mode on, which
+dates and casts depend on; the rate table is read anew for every recompute.
 """
 
 from __future__ import annotations
@@ -40,19 +46,24 @@ def _stream(d: dict) -> StreamConf:
 
 def run(kind: str, conf: dict, spark: SparkSession | None = None):
     spark = spark or SparkSession.builder.appName(f"tidemark-{kind}").getOrCreate()
-    store = open_store(spark, conf["state_root"], conf.get("state_format", "auto"), conf.get("partition_by"))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    store = open_store(spark, conf["state_root"], conf["state_format"], conf.get("partition_by"))
     trigger = conf.get("trigger")
     if kind == "cdc":
         c = conf["cdc"]
         wh = WarehouseConf(**c["warehouse"]) if c.get("warehouse") else None
         return start_cdc_stream(spark, _stream(c["source"]), c["topic_pattern"], store,
                                 f"{conf['checkpoint_root']}/cdc", trigger,
-                                CdcConf(patch_mode=c.get("patch_mode", "latest")), wh)
+                                CdcConf(patch_mode=c.get("patch_mode", "latest"),
+                                        warehouse_table=c.get("warehouse_table", CdcConf.warehouse_table)), wh)
     if kind == "sync":
         c = conf["sync"]
-        rates = read_warehouse(spark, WarehouseConf(**c["rates"]), c.get("rates_table", "exchange_rates"))
-        crm = CrmConf(platform_source=c.get("platform_source", CrmConf.platform_source),
-                      unattributed=c.get("unattributed", "keep"))
+        def rates():
+            return read_warehouse(spark, WarehouseConf(**c["rates"]), c.get("rates_table", "exchange_rates"))
+
+        own = ("platform_source", "unattributed", "rates_latest_by", "contact_table", "opportunity_table", "funnel_table")
+        crm = CrmConf(**{k: c[k] for k in own if k in c})
         wh = WarehouseConf(**c["warehouse"]) if c.get("warehouse") else None
         return start_sync_stream(spark, _stream(c["notices"]), c["notice_topic"], _stream(c["crm"]), c["crm_topic"],
                                  store, rates, conf["checkpoint_root"], crm, trigger, wh)

@@ -87,14 +87,10 @@ def changed_rows(state: DataFrame, keys: DataFrame) -> DataFrame:
 def with_user(registrations: DataFrame, users: DataFrame, now: int) -> DataFrame:
     """Registration ⟕ user on (tenant, user id), stamped with the load time.
 
-    Only the users those registrations reference are read into the join: the semi
-    join against the (small) batch keys is planned before the outer join, so the big
-    users table is filtered, not shuffled whole, when the batch is small."""
-    reg = registrations.drop("bucket")
-    need = reg.select("organiser_id", "userId").distinct()
-    u = (users.withColumnRenamed("_id", "userId")
-         .join(need, ["organiser_id", "userId"], "left_semi"))
-    return (reg.join(u, ["organiser_id", "userId"], "left")
+    ``registrations`` are the rows a batch changed, so one plain join does: Spark broadcasts
+    them when they are few, and stores hand over only the users' buckets they need."""
+    u = users.withColumnRenamed("_id", "userId")
+    return (registrations.drop("bucket").join(u, ["organiser_id", "userId"], "left")
             .withColumn("load_timestamp", F.lit(now).cast("bigint")))
 
 

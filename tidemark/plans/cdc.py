@@ -42,6 +42,7 @@ class CdcConf:
     registrations_collection: str = "communities"
     patch_mode: str = "latest"        # "latest" (per-batch newest patch) or "fold"
     buckets: int = 100
+    warehouse_table: str = "community_users"     # may be schema-qualified
 
 
 @dataclass

@@ -23,6 +23,10 @@ class CrmConf:
     unattributed: str = "keep"          # or "zero_row" (legacy funnel output)
     legacy_prospect_key: bool = False
     time_patterns: tuple = ()
+    rates_latest_by: str | None = None  # orders a rate table that holds a history
+    contact_table: str = "contact"      # warehouse tables (may be schema-qualified)
+    opportunity_table: str = "opportunity"
+    funnel_table: str = "roi_event_wise_agg"
 
 
 def ingest_prospects(rec: DataFrame, prospects: DataFrame | None, now: int,
@@ -42,13 +46,13 @@ class Recomputed:
 
 
 def recompute(prospects: DataFrame, user_registrations: DataFrame, rates: DataFrame, now: int,
-              tenants: DataFrame | None = None, conf: CrmConf = CrmConf()) -> Recomputed:
+              tenants: DataFrame | None = None, conf: CrmConf = CrmConf(), broadcast: bool = False) -> Recomputed:
     """Contacts, opportunities and per-event funnel of ``tenants`` (all when None),
-    from the stored prospect and registration tables."""
+    from the stored prospect and registration tables. ``broadcast``: see ``for_tenants``."""
     p, ur = prospects, user_registrations
     if tenants is not None:
-        p = for_tenants(p, tenants, "organiser_Id")
-        ur = for_tenants(ur, tenants, "organiser_id")
+        p = for_tenants(p, tenants, "organiser_Id", broadcast)
+        ur = for_tenants(ur, tenants, "organiser_id", broadcast)
     reg = registrations_for_attribution(ur)
     contacts = build_contacts(lead_contact_union(p), reg, rates, now, conf.platform_source)
     return Recomputed(contacts, opportunity_latest(p, now),
@@ -57,6 +61,8 @@ def recompute(prospects: DataFrame, user_registrations: DataFrame, rates: DataFr
 
 ERASE_KEYS = {"prospects": "organiser_Id", "user_registrations": "organiser_id", "contacts": "organiser_Id",
               "opportunities": "organiser_Id", "event_agg": "organiser_Id"}
+# What a store erases besides: the last recomputed contacts, and rejected payloads.
+STORE_ERASE_KEYS = {**ERASE_KEYS, "contacts_batch": "organiser_Id", "prospect_rejects": "organiser_Id"}
 
 
 def erase(tables: dict[str, DataFrame], tenants: DataFrame, keys: dict[str, str] = ERASE_KEYS) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +48,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: stage tables, snapshots and "
                                "stream checkpoints must survive the loss of any machine")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")   # local mode only (tests, laptops)
@@ -59,13 +59,3 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level helpers in local mode."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if path.startswith("file:") or "://" not in path:
-        os.makedirs(local_path(path), exist_ok=True)

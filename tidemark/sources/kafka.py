@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import KAFKA_RECORD
@@ -25,7 +25,7 @@ class StreamConf:
     max_files_per_trigger: int | None = None
 
 
-def _read(spark: SparkSession, conf: StreamConf, kafka_opts: dict) -> DataFrame:
+def _read(spark: SparkSession, conf: StreamConf, kafka_opts: dict, wanted: Column) -> DataFrame:
     if conf.format == "kafka":
         r = spark.readStream.format("kafka").option("startingOffsets", conf.starting_offsets)
         for k, v in {**conf.options, **kafka_opts}.items():
@@ -36,16 +36,16 @@ def _read(spark: SparkSession, conf: StreamConf, kafka_opts: dict) -> DataFrame:
         r = r.option("maxFilesPerTrigger", conf.max_files_per_trigger)
     for k, v in conf.options.items():
         r = r.option(k, v)
-    return r.load(conf.path)
+    return r.load(conf.path).filter(wanted)     # a folder may hold several topics
 
 
 def read_changes(spark: SparkSession, conf: StreamConf, topic_pattern: str) -> DataFrame:
-    """Change topics selected by a regular expression, from the earliest offset."""
-    return _read(spark, conf, {"subscribePattern": topic_pattern})
+    """Change topics selected by a regular expression (of the whole name), from the earliest offset."""
+    return _read(spark, conf, {"subscribePattern": topic_pattern}, F.col("topic").rlike(f"^(?:{topic_pattern})$"))
 
 
 def read_topic(spark: SparkSession, conf: StreamConf, topic: str) -> DataFrame:
-    return _read(spark, conf, {"subscribe": topic})
+    return _read(spark, conf, {"subscribe": topic}, F.col("topic") == F.lit(topic))
 
 
 def kafka_record(df: DataFrame) -> DataFrame:

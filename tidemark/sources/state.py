@@ -1,32 +1,46 @@
 """Current-state tables: the operations the jobs need (insert-if-absent,
-NULL-preserving patch, upsert, tenant erasure, replace) behind two stores.
-
-``DeltaStore`` (when delta-spark is on the class path) runs each operation as a
-Delta ``MERGE`` / ``DELETE``: only files holding matched keys are rewritten, so
-per-batch work follows the batch, not the table. This is the production path.
-
-``SnapshotStore`` is the portable fallback used offline and in the tests: each
-operation computes the complete new table with the DataFrame forms of
-``operators.merge`` and writes it as a new version folder
-``<root>/<table>/v=<version>``. The commit protocol writes ``_SUCCESS`` last and
-readers only take committed versions; version N depends only on versions < N, so
-a replayed micro-batch rewrites the same version with the same content. Its cost
-per batch is a full rewrite of each changed table, which is why it is not the
-path for large tables. (Delta is not installed in this environment, so the
-Delta branch is not exercised by the tests.)
+NULL-preserving patch, upsert, tenant erasure, replace, append) behind two stores.
+
+``DeltaStore`` (needs delta-spark on the class path) runs each operation as a Delta
+``MERGE`` / ``DELETE``. This is the production path; Delta is not installed in this
+environment, so its tests are skipped here.
+
+``SnapshotStore`` is the portable store. A table is a folder of versions; a version
+holds the rows of the buckets that its operation touched, one folder per bucket, and
+Spark's ``_SUCCESS`` commits it as a whole. The table is, for each bucket, the folder
+in the newest committed version that has one. An operation reads and writes only the
+buckets of the keys in its change set:
+
+    <root>/<table>/v=000000000012@cdc.q1.7/__bucket=37/part-*.parquet
+
+* Version numbers only grow and are independent of batch ids, so any number of writers
+  share a table (the change stream and the notice gate do); a lock file per table keeps
+  them apart. No committed folder is written again.
+* A version's name carries its source. An operation whose source is already there is
+  skipped: a replayed batch neither applies twice nor brings back what was erased after it.
+* Tables with a tenant are bucketed by tenant group and, within it, by key, so reads for
+  some tenants list only their groups and a large tenant is still split.
+* After each operation, bucket folders that are no longer current are deleted, except those
+  that the last ``retain`` versions replaced (for readers that have planned but not read them).
+  After an erasure everything older of the touched buckets is deleted at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+import time
+import uuid
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.merge import erase_tenants, merge_insert, merge_insert_patch, merge_upsert
+from tidemark.operators.merge import merge_insert, merge_insert_patch, merge_upsert
 
-PREFIX = "v="
+PREFIX, BUCKET = "v=", "__bucket"
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -35,97 +49,237 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
 
 
+def stream_id(spark: SparkSession, default: str = "batch") -> str:
+    """Id of the streaming query whose ``foreachBatch`` is running. It is kept in the query's
+    checkpoint, so a new checkpoint (whose batch ids start at 0 again) has a new id."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or default
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table is dealt into buckets: ``groups`` by tenant (if it has one) times ``parts`` by key."""
+    key: str | None = None
+    tenant: str | None = None
+    groups: int = 1
+    parts: int = 1
+
+    def group(self, tenant: Column) -> Column:
+        return F.pmod(F.xxhash64(tenant.cast("bigint")), F.lit(self.groups)).cast("int")
+
+    def bucket(self) -> Column:
+        part = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.parts)).cast("int") if self.key else F.lit(0)
+        if self.tenant is None:
+            return part.cast("string")
+        return (self.group(F.col(self.tenant)) * self.parts + part).cast("string")
+
+
+LAYOUTS = {
+    "users": Layout("_id", parts=64),
+    "registrations": Layout("_id", parts=64),
+    "user_registrations": Layout("_id", "organiser_id", 16, 4),
+    "prospects": Layout("prospect_id", "organiser_Id", 16, 4),
+    "contacts": Layout("SF_Id", "organiser_Id", 16, 4),
+    "opportunities": Layout("opportunity_Id", "organiser_Id", 16, 4),
+    "event_agg": Layout("event_id", "organiser_Id", 16, 1),
+    "contacts_batch": Layout("SF_Id", "organiser_Id", 16, 4),
+}
+
+
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Layout] | None = None,
+                 retain: int = 2, lock_seconds: float = 600):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.layouts = {**LAYOUTS, **(layouts or {})}
+        self.retain = retain
+        self.lock_seconds = lock_seconds
 
-    # -- listing (driver-side, folder names only) --
+    # -- folders (driver-side, names only) --------------------------------------------
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _listed(self, table: str) -> list[int]:
-        """Version numbers present as folders (committed or not), ascending."""
-        p, fs = self._fs(f"{self.root}/{table}")
-        if not fs.exists(p):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-        return sorted(int(n[len(PREFIX):]) for n in names if n.startswith(PREFIX))
+    def _names(self, path: str) -> list[str]:
+        p, fs = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+    def _delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        fs.delete(p, True)
+
+    @contextlib.contextmanager
+    def _lock(self, table: str) -> Iterator[None]:
+        p, fs = self._fs(f"{self.root}/{table}/_lock")
+        end = time.time() + self.lock_seconds
+        while not fs.createNewFile(p):
+            if time.time() > end:
+                raise TimeoutError(f"{table} is locked; if no writer is running, delete {self.root}/{table}/_lock")
+            time.sleep(0.2)
+        try:
+            yield
+        finally:
+            fs.delete(p, False)
+
+    def _folders(self, table: str) -> list[str]:
+        """Committed version folders, oldest first."""
+        out = []
+        for name in sorted(n for n in self._names(f"{self.root}/{table}") if n.startswith(PREFIX)):
+            done, fs = self._fs(f"{self.root}/{table}/{name}/_SUCCESS")
+            if fs.exists(done):
+                out.append(name)
+        return out
 
-    def _committed(self, table: str, version: int) -> bool:
-        done, fs = self._fs(f"{self.path(table, version)}/_SUCCESS")
-        return fs.exists(done)
+    @staticmethod
+    def _split(folder: str) -> tuple[int, str]:
+        number, _, source = folder[len(PREFIX):].partition("@")
+        return int(number), source
 
     def versions(self, table: str) -> list[int]:
-        return [v for v in self._listed(table) if self._committed(table, v)]
-
-    def latest(self, table: str, below: int | None = None) -> int | None:
-        """Newest committed version (below ``below``): one listing, then ``_SUCCESS``
-        checks from the newest down (normally one)."""
-        for v in reversed(self._listed(table)):
-            if (below is None or v < below) and self._committed(table, v):
-                return v
-        return None
-
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/{PREFIX}{version:012d}"
-
-    def read(self, table: str, schema: T.StructType | None = None, below: int | None = None) -> DataFrame | None:
-        """Newest committed version (strictly below ``below`` when given); an empty
-        frame of ``schema`` (or None) when there is none yet."""
-        v = self.latest(table, below)
-        if v is None:
+        return [self._split(f)[0] for f in self._folders(table)]
+
+    def applied(self, table: str, source: str | None) -> bool:
+        return source is not None and any(self._split(f)[1] == _safe(source) for f in self._folders(table))
+
+    def buckets(self, table: str) -> dict[str, str]:
+        """Bucket -> folder that holds its current rows."""
+        out = {}
+        for folder in self._folders(table):
+            for name in self._names(f"{self.root}/{table}/{folder}"):
+                if name.startswith(f"{BUCKET}="):
+                    out[name[len(BUCKET) + 1:]] = f"{self.root}/{table}/{folder}/{name}"
+        return out
+
+    # -- reading ------------------------------------------------------------------------
+    def _schema(self, table: str) -> T.StructType | None:
+        folders = self._folders(table)
+        return self.spark.read.parquet(f"{self.root}/{table}/{folders[-1]}/_schema.parquet").schema if folders else None
+
+    def read(self, table: str, schema: T.StructType | None = None, only: set[str] | None = None) -> DataFrame | None:
+        """The current rows (of the buckets in ``only``); an empty frame of ``schema`` (or None)
+        when the table has no version yet."""
+        found = self._schema(table)
+        if found is None:
             return None if schema is None else empty_frame(self.spark, schema)
-        return self.spark.read.parquet(self.path(table, v))
-
-    def read_version(self, table: str, version: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(table, version))
-
-    def write(self, table: str, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as ``version`` (default: newest + 1) and return the version."""
-        if version is None:
-            last = self.latest(table)
-            version = 0 if last is None else last + 1
-        df.write.mode("overwrite").parquet(self.path(table, version))
-        return version
-
-
-    def current(self, table: str, version: int | None = None) -> DataFrame | None:
-        """The table as of ``version``: the newest version at or below it (newest when None)."""
-        return self.read(table) if version is None else self.read(table, below=version + 1)
+        paths = [p for b, p in self.buckets(table).items() if only is None or b in only]
+        return self.spark.read.schema(found).parquet(*paths) if paths else empty_frame(self.spark, found)
 
-    # -- operations --------------------------------------------------------------
-    def _base(self, table: str, like: DataFrame, version: int | None) -> DataFrame:
-        base = self.read(table, below=version)
-        return empty_frame(self.spark, like.schema) if base is None else base
+    def read_near(self, table: str, rows: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
+        """The current rows of the buckets that ``rows`` (with the table's key columns) fall into."""
+        return self.read(table, schema, self._touched(table, rows))
 
-    def put(self, table: str, df: DataFrame, version: int | None = None) -> int:
-        return self.write(table, df, version)
+    def read_tenants(self, table: str, tenants: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
+        """The current rows of the tenants' groups (other tenants of those groups included)."""
+        return self.read(table, schema, self._of_tenants(table, tenants))
 
-    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> int:
-        return self.write(table, merge_insert(self._base(table, src, version), src, keys), version)
-
-    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> int:
-        return self.write(table, merge_upsert(self._base(table, src, version), src, keys), version)
+    def _of_tenants(self, table: str, tenants: DataFrame) -> set[str] | None:
+        layout = self._layout(table)
+        if layout.tenant is None:
+            return None
+        groups = [r[0] for r in tenants.select(layout.group(F.col(tenants.columns[0]))).distinct().collect()]   # at most ``groups``
+        return {str(g * layout.parts + i) for g in groups if g is not None for i in range(layout.parts)}
+
+    def _layout(self, table: str) -> Layout:
+        return self.layouts.get(table, Layout())
+
+    def _touched(self, table: str, rows: DataFrame) -> set[str]:
+        # at most groups x parts values
+        return {r[0] for r in rows.select(self._layout(table).bucket().alias("b")).distinct().collect()}
+
+    # -- writing ------------------------------------------------------------------------
+    def _commit(self, table: str, df: DataFrame, touched: set[str], source: str | None, forget: bool = False) -> int:
+        """Write ``df`` as the new content of the ``touched`` buckets."""
+        numbers = [self._split(n)[0] for n in self._names(f"{self.root}/{table}") if n.startswith(PREFIX)]
+        number = max(numbers, default=-1) + 1       # past failed attempts too
+        path = f"{self.root}/{table}/{PREFIX}{number:012d}" + (f"@{_safe(source)}" if source else "")
+        for b in touched:                           # a bucket that ends up empty is a folder without files
+            p, fs = self._fs(f"{path}/{BUCKET}={b}")
+            fs.mkdirs(p)
+        out = df if BUCKET in df.columns else df.withColumn(BUCKET, self._layout(table).bucket())
+        empty_frame(self.spark, out.drop(BUCKET).schema).write.parquet(f"{path}/_schema.parquet")
+        # rebalance: few files per bucket, and a large bucket is split over tasks
+        out.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+        self._prune(table, touched if forget else set())
+        return number
+
+    def _prune(self, table: str, forget: set[str]) -> None:
+        folders = self._folders(table)
+        held = {f: [n for n in self._names(f"{self.root}/{table}/{f}") if n.startswith(BUCKET)] for f in folders}
+        recent = set(folders[len(folders) - self.retain:])
+        shows = {self._split(f)[1].rpartition(".")[0]: f for f in folders}     # what each source has applied
+        replaced_by: dict[str, str] = {}
+        for folder in reversed(folders):
+            left = len(held[folder])
+            for n in held[folder]:
+                newer = replaced_by.get(n)
+                if newer is not None and (newer not in recent or n[len(BUCKET) + 1:] in forget):
+                    self._delete(f"{self.root}/{table}/{folder}/{n}")
+                    left -= 1
+                replaced_by[n] = folder
+            if not left and folder not in recent and folder not in shows.values():
+                self._delete(f"{self.root}/{table}/{folder}")
+
+    def put(self, table: str, df: DataFrame, source: str | None = None) -> int:
+        """Replace the whole table."""
+        with self._lock(table):
+            return self._commit(table, df, set(self.buckets(table)), source)
+
+    def append(self, table: str, df: DataFrame, source: str | None = None) -> int | None:
+        """Add rows; each append is a bucket of its own, so nothing is read or rewritten."""
+        with self._lock(table):
+            if self.applied(table, source):
+                return None
+            own = uuid.uuid4().hex
+            return self._commit(table, df.withColumn(BUCKET, F.lit(own)), {own}, source)
+
+    def _change(self, table: str, changes: Sequence[DataFrame], source: str | None, merge) -> int | None:
+        """Merge batch-sized ``changes`` into the buckets they touch."""
+        with self._lock(table):
+            if self.applied(table, source):
+                return None
+            held = [c.persist(StorageLevel.MEMORY_AND_DISK) for c in changes]
+            try:
+                touched = set().union(*(self._touched(table, c) for c in held))
+                if not touched and self._folders(table):
+                    return None
+                return self._commit(table, merge(self.read(table, held[0].schema, touched), *held), touched, source)
+            finally:
+                for c in held:
+                    c.unpersist()
+
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> int | None:
+        return self._change(table, [src], source, lambda base, s: merge_insert(base, s, keys))
+
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> int | None:
+        return self._change(table, [src], source, lambda base, s: merge_upsert(base, s, keys))
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], version: int | None = None) -> int:
+                          cols: Sequence[str], source: str | None = None) -> int | None:
         """Insert-if-absent, then NULL-preserving update; one join with the base, one new version."""
-        base = self._base(table, inserts, version)
-        return self.write(table, merge_insert_patch(base, inserts, patches, keys, cols), version)
-
-    def erase(self, table: str, tenants: DataFrame, key: str, version: int | None = None) -> int | None:
-        """Drop the tenants' rows; the table is rewritten only if it holds any of them
-        (the check reads just the tenant column)."""
-        base = self.read(table, below=version)
-        if base is None:
-            return None
-        t = tenants.select(F.col(tenants.columns[0]).alias("__tenant"))
-        if base.select(key).join(t, F.col(key) == F.col("__tenant"), "left_semi").isEmpty():
-            return None
-        return self.write(table, erase_tenants(base, tenants, key), version)
+        return self._change(table, [inserts, patches], source,
+                            lambda base, i, p: merge_insert_patch(base, i, p, keys, cols))
+
+    def erase(self, table: str, tenants: DataFrame, key: str, source: str | None = None) -> int | None:
+        """Drop the tenants' rows, and older copies of the buckets that held any."""
+        t = tenants.select(F.col(tenants.columns[0]).alias("__tenant")).distinct()
+        with self._lock(table):
+            if self.applied(table, source):
+                return None
+            base = self.read(table, only=self._of_tenants(table, tenants))
+            if base is None:
+                return None
+            # the bucket a row is in, whichever operation put it there
+            base = base.withColumn(BUCKET, F.regexp_extract(F.input_file_name(), f"/{BUCKET}=([^/]+)/", 1))
+            matched = F.col(key) == F.col("__tenant")
+            touched = {r[0] for r in base.select(key, BUCKET).join(t, matched, "left_semi").select(BUCKET).distinct().collect()}
+            if not touched:
+                return None
+            rest = base.filter(F.col(BUCKET).isin(sorted(touched))).join(t, matched, "left_anti")
+            return self._commit(table, rest, touched, source, forget=True)
+
+
+def _safe(source: str) -> str:
+    return "".join(c if c.isalnum() or c in ".-_" else "-" for c in source)
 
 
 class DeltaStore:
@@ -133,11 +287,15 @@ class DeltaStore:
 
     Keys compare NULL-safe (``<=>``), like the portable forms. Tenant erasure is a
     MERGE against the tenant frame (``WHEN MATCHED THEN DELETE``), so the tenant
-    list is never collected to the driver."""
+    list is never collected to the driver. The source of an operation is the commit's
+    user metadata; one that the history shows is not applied again."""
 
     # Partitioning applied when a table is first created; MERGE / DELETE conditions on
     # these columns prune files. Registrations use the 100-value bucket of their id.
-    DEFAULT_PARTITIONS = {"registrations": ["bucket"]}
+    DEFAULT_PARTITIONS = {"registrations": ["bucket"], "user_registrations": ["organiser_id"], "prospects": ["organiser_Id"],
+                          "contacts": ["organiser_Id"], "opportunities": ["organiser_Id"]}
+    HISTORY = 100
+    METADATA = "spark.databricks.delta.commitInfo.userMetadata"
 
     def __init__(self, spark: SparkSession, root: str, partition_by: dict[str, list[str]] | None = None):
         from delta.tables import DeltaTable  # noqa: F401  (fails fast when absent)
@@ -163,55 +321,75 @@ class DeltaStore:
     def _on(keys: Sequence[str]) -> str:
         return " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
 
-    def read(self, table: str, schema: T.StructType | None = None, below: int | None = None) -> DataFrame | None:
+    def applied(self, table: str, source: str | None) -> bool:
+        t = self._dt(table)
+        return source is not None and t is not None and not t.history(self.HISTORY).filter(F.col("userMetadata") == source).isEmpty()
+
+    @contextlib.contextmanager
+    def _sourced(self, source: str | None) -> Iterator[None]:
+        if source is not None:
+            self.spark.conf.set(self.METADATA, source)
+        try:
+            yield
+        finally:
+            if source is not None:
+                self.spark.conf.unset(self.METADATA)
+
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
         t = self._dt(table)
         if t is None:
             return None if schema is None else empty_frame(self.spark, schema)
         return t.toDF()
 
-    def current(self, table: str, version: int | None = None) -> DataFrame | None:
-        return self.read(table)
+    def read_near(self, table: str, rows: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
+        return self.read(table, schema)
+
+    def read_tenants(self, table: str, tenants: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
+        return self.read(table, schema)     # dynamic partition pruning follows from the join
 
-    def put(self, table: str, df: DataFrame, version: int | None = None) -> None:
+    def put(self, table: str, df: DataFrame, source: str | None = None) -> None:
         self._create(table, df, "overwrite")
 
-    def _merge(self, table: str, src: DataFrame, keys: Sequence[str], build) -> None:
-        t = self._dt(table)
-        if t is None:
-            self._create(table, src, "append")
+    def append(self, table: str, df: DataFrame, source: str | None = None) -> None:
+        if not self.applied(table, source):
+            with self._sourced(source):
+                self._create(table, df, "append")
+
+    def _merge(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None, build) -> None:
+        if self.applied(table, source):
             return
-        build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
+        with self._sourced(source):
+            t = self._dt(table)
+            if t is None:
+                self._create(table, src, "append")
+                return
+            build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
 
-    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> None:
-        self._merge(table, src, keys, lambda m: m.whenNotMatchedInsertAll())
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> None:
+        self._merge(table, src, keys, source, lambda m: m.whenNotMatchedInsertAll())
 
-    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], version: int | None = None) -> None:
-        self._merge(table, src, keys, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> None:
+        self._merge(table, src, keys, source, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], version: int | None = None) -> None:
-        self.insert_if_absent(table, inserts, keys)
+                          cols: Sequence[str], source: str | None = None) -> None:
+        self.insert_if_absent(table, inserts, keys, source and f"{source}.insert")
         upd = {c: f"coalesce(s.`{c}`, t.`{c}`)" for c in cols}
-        self._merge(table, patches, keys, lambda m: m.whenMatchedUpdate(set=upd))
+        self._merge(table, patches, keys, source, lambda m: m.whenMatchedUpdate(set=upd))
 
-    def erase(self, table: str, tenants: DataFrame, key: str, version: int | None = None) -> None:
+    def erase(self, table: str, tenants: DataFrame, key: str, source: str | None = None) -> None:
         t = self._dt(table)
-        if t is None:
+        if t is None or self.applied(table, source):
             return
         ids = tenants.select(F.col(tenants.columns[0]).alias("__tenant")).distinct()
-        t.alias("t").merge(ids.alias("s"), f"t.`{key}` = s.__tenant").whenMatchedDelete().execute()
+        with self._sourced(source):
+            t.alias("t").merge(ids.alias("s"), f"t.`{key}` = s.__tenant").whenMatchedDelete().execute()
 
 
-def open_store(spark: SparkSession, root: str, fmt: str = "auto", partition_by: dict | None = None):
-    """``delta`` when requested (or available, for ``auto``), else snapshots."""
-    if fmt == "delta" or (fmt == "auto" and delta_available()):
+def open_store(spark: SparkSession, root: str, fmt: str, partition_by: dict | None = None):
+    """``delta`` or ``snapshot``; there is no default, and a missing Delta package is an error."""
+    if fmt == "delta":
         return DeltaStore(spark, root, partition_by)
-    return SnapshotStore(spark, root)
-
-
-def delta_available() -> bool:
-    try:
-        import delta.tables  # noqa: F401
-        return True
-    except Exception:
-        return False
+    if fmt == "snapshot":
+        return SnapshotStore(spark, root)
+    raise ValueError(f"state_format must be delta or snapshot, not {fmt!r}")
