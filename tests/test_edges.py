@@ -1,8 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.attribution import fx_normalise
+from tidemark.operators.attribution import fx_normalise, usable_rates
 from tidemark.operators.changes import latest_patches
 from tidemark.operators.notify import completion_notice, tenants_with_action
 from tidemark.schemas import ACTION_DISABLED, ACTION_FETCHED, ACTION_PROCESSED
@@ -19,6 +20,56 @@ def test_unknown_currency_gets_rate_one_and_null_amount_stays_null(spark):
     assert out == [("a", 1.5, 15.0), ("b", 1.0, 10.0), ("c", 1.5, None)]
 
 
+def test_several_rates_for_a_pair_need_an_order(spark):
+    rates = spark.createDataFrame([("EUR", "USD", 1.5, 1), ("EUR", "USD", 1.2, 2)], RATES + ", day int")
+    with pytest.raises(ValueError, match="several rates"):
+        usable_rates(rates)
+    assert rows(usable_rates(rates, "day")) == [("EUR", "USD", 1.2)]
+    with pytest.raises(ValueError, match="at most 0"):
+        usable_rates(rates.filter("day = 1"), max_rate_rows=0)
+
+
+def test_rows_that_are_not_kept_are_rejects(spark):
+    """Counts in = rows kept + rejects, for payloads and for change documents."""
+    from tidemark.operators.decode import decode_registration_inserts, decode_users, rejected_changes
+    from tidemark.operators.prospects import keep_valid, rejects
+    p = spark.createDataFrame([(1, "a"), (None, "b"), (2, None), (None, None)], "organiser_Id long, prospect_id string")
+    assert keep_valid(p).count() + rejects(p).count() == 4
+    env = "topic string, partition int, offset long, db string, collection string, ts_ms long, _id string, after string, v string, set_doc string"
+    doc = '{"_id":{"$oid":"%s"},"email":"e","organiser_id":"%s","firstName":"f","lastName":"l"}'
+    df = spark.createDataFrame([("t", 0, 1, "d", "c", 1, None, doc % ("a", "7"), None, None), ("t", 0, 2, "d", "c", 1, None, doc % ("b", "acme"), None, None),
+                                ("t", 0, 3, "d", "c", 1, "x", None, None, '{"organiser_id":"acme"}')], env)
+    bad = rejected_changes(df)
+    assert decode_users(df).count() == decode_registration_inserts(df).count() == 1
+    assert rows(bad, "offset", "organiser_id") == [(2, "acme"), (3, "acme")]
+
+
+def test_a_new_run_does_not_overwrite_an_old_one(spark):
+    from tidemark.session import fresh_dir
+    from tidemark.sources.warehouse import WarehouseConf, append_warehouse, read_warehouse
+    conf = WarehouseConf(format="parquet", root=fresh_dir(spark, "test-wh"))
+    three, two = spark.range(3).withColumn("load_timestamp", F.lit(1)), spark.range(2).withColumn("load_timestamp", F.lit(2))
+    append_warehouse(three, conf, "s.t", "a", 0)
+    append_warehouse(two, conf, "s.t", "b", 0)
+    append_warehouse(two, conf, "s.t", "b", 0)
+    assert read_warehouse(spark, conf, "s.t").count() == 5
+
+
+def test_a_folder_may_hold_several_topics(spark):
+    from tidemark.session import fresh_dir
+    from tidemark.sources.kafka import StreamConf, read_changes, read_topic
+    from tidemark.streaming.cdc import drain
+    root = fresh_dir(spark, "test-topics")
+    rec = spark.createDataFrame([(t,) for t in ("cdc.app.users", "cdc.app.usersX", "crm")], "topic string").selectExpr(
+        "binary(topic) AS key", "binary(topic) AS value", "topic", "0 AS partition", "0L AS offset", "timestamp_seconds(0) AS timestamp", "0 AS timestampType")
+    rec.write.parquet(f"{root}/in")
+    seen = []
+    for i, df in enumerate((read_changes(spark, StreamConf(format="parquet", path=f"{root}/in"), r"cdc\.app\.(?:users|communities)"),
+                            read_topic(spark, StreamConf(format="parquet", path=f"{root}/in"), "crm"))):
+        drain(df, lambda b, _i: seen.append(sorted(r["topic"] for r in b.collect())), f"{root}/ck{i}")
+    assert seen == [["cdc.app.users"], ["crm"]]
+
+
 def test_own_processing_notice_is_ignored(spark):
     sync = spark.createDataFrame([(1, ACTION_FETCHED), (1, ACTION_FETCHED), (2, ACTION_PROCESSED),
                                   (3, ACTION_DISABLED), (None, ACTION_FETCHED)], "organiser_Id long, action string")

@@ -12,19 +12,18 @@ from tidemark.operators.latest import latest_per
 # Distinct currency pairs are bounded by the ISO currency list (< 200 codes), so a
 # rate table reduced to one row per pair is at most 40,000 rows.
 MAX_RATE_ROWS = 40_000
+# Tenants of one notice batch that are joined by broadcast at a time; larger batches
+# are worked off in slices of the tenant list.
+MAX_TENANTS = 50_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows;
-    otherwise leave the strategy to the planner (shuffle join, AQE)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def for_tenants(df: DataFrame, tenants: DataFrame, key: str = "organiser_Id", broadcast: bool = False) -> DataFrame:
+    """Rows of the listed tenants (semi join; the tenant frame may repeat ids).
 
-
-def for_tenants(df: DataFrame, tenants: DataFrame, key: str = "organiser_Id") -> DataFrame:
-    """Rows of the listed tenants (semi join; the tenant frame may repeat ids)."""
+    ``broadcast`` is for tenant frames whose count the caller has checked: the big side
+    is then filtered where it is read, not exchanged on the tenant."""
     t = tenants.select(F.col(tenants.columns[0]).cast("bigint").alias("__tenant"))
-    return df.join(t, df[key] == t["__tenant"], "left_semi")
+    return df.join(F.broadcast(t) if broadcast else t, df[key] == t["__tenant"], "left_semi")
 
 
 def registrations_for_attribution(user_registrations: DataFrame) -> DataFrame:
@@ -38,15 +37,29 @@ def registrations_for_attribution(user_registrations: DataFrame) -> DataFrame:
             .withColumn("platform_email", F.col("email")))
 
 
-def fx_normalise(df: DataFrame, rates: DataFrame, max_rate_rows: int = MAX_RATE_ROWS) -> DataFrame:
+def usable_rates(rates: DataFrame, latest_by: str | None = None, max_rate_rows: int = MAX_RATE_ROWS) -> DataFrame:
+    """One rate per (currency, base currency): ``fx_base``, ``target_currency``, ``conversion_rate``.
+
+    A table with a history needs ``latest_by``, the column that orders it. Without one, a pair
+    with different rates is an error, as is a table beyond ``max_rate_rows`` pairs, which is
+    what makes it safe to broadcast. Measured here, once."""
+    cols = [F.col("base_currency").alias("fx_base"), "target_currency", F.col("conversion_rate").cast("double").alias("conversion_rate")]
+    if latest_by is not None:
+        rates = latest_per(rates, ["base_currency", "target_currency"], [latest_by, "conversion_rate"])
+    r = rates.select(*cols).distinct()
+    n, pairs = r.agg(F.count(F.lit(1)), F.count_distinct(F.struct("fx_base", "target_currency"))).first()
+    if n > pairs:
+        raise ValueError("a currency pair has several rates; name the column that orders them (rates_latest_by)")
+    if n > max_rate_rows:
+        raise ValueError(f"{n} currency pairs; at most {max_rate_rows} can be broadcast")
+    return r
+
+
+def fx_normalise(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Amount in the base currency: rate of (opportunity currency -> base currency),
     1 when the pair is unknown. Keeps ``target_currency`` and ``conversion_rate``.
-
-    The rate table is reduced to one row per pair first (a repeated pair cannot
-    multiply prospect rows), then broadcast behind a row-count check."""
-    r = (rates.groupBy(F.col("base_currency").alias("fx_base"), F.col("target_currency"))
-         .agg(F.max(F.col("conversion_rate").cast("double")).alias("conversion_rate")))
-    r = bounded_broadcast(r, max_rate_rows)
+    ``rates`` is a rate table or, when several plans use it, the result of ``usable_rates``."""
+    r = F.broadcast(rates if "fx_base" in rates.columns else usable_rates(rates))
     j = df.join(r, (df["base_currency"] == r["target_currency"]) & (df["opportunity_Currency"] == r["fx_base"]), "left")
     return (j.drop("fx_base")
             .withColumn("conversion_rate", F.coalesce(F.col("conversion_rate"), F.lit(1.0)))
@@ -56,20 +69,23 @@ def fx_normalise(df: DataFrame, rates: DataFrame, max_rate_rows: int = MAX_RATE_
 REG_SIDE = ["userId", "communities_id", "event_id", "exhibitor_id", "firstName", "lastName",
             "initLoginAt", "isLoggedIn", "localCreatedAt", "community_source", "speaker_id",
             "platform_email"]
+PERSON = ["organiser_Id", "email"]
 
 
-def best_registration(reg: DataFrame) -> DataFrame:
+def best_registration(reg: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Per (tenant, e-mail): the registration that wins the contact tie-break (newest
-    ``localCreatedAt``, then highest id) and how many registrations matched.
+    ``localCreatedAt``, then highest id) and how many registrations matched; only for the
+    people in ``wanted``, if given.
 
-    A partial aggregate: a person registered for very many events is reduced
-    map-side before any shuffle, and the attribution join becomes many-to-one."""
-    best = F.max_by(F.struct(*REG_SIDE), F.struct("localCreatedAt", "communities_id"))
-    return (reg.filter(F.col("email").isNotNull())
-            .groupBy("organiser_Id", "email")
-            .agg(best.alias("r"), F.count(F.lit(1)).alias("matched_registrations"))
-            .select("organiser_Id", "email", *[F.col(f"r.{c}").alias(c) for c in REG_SIDE],
-                    "matched_registrations"))
+    The winner is a top-1 (each map task forwards one row per person) and the count a hash
+    aggregate, both spread by person, so neither a tenant with very many registrations
+    nor a person with very many meets in one task."""
+    reg = reg.filter(F.col("email").isNotNull()).select(*PERSON, *REG_SIDE)
+    if wanted is not None:
+        reg = reg.join(wanted.filter(F.col("email").isNotNull()).select(*PERSON).distinct(), PERSON, "left_semi")
+    top = latest_per(reg, PERSON, ["localCreatedAt", "communities_id"])
+    n = reg.groupBy(*PERSON).agg(F.count(F.lit(1)).alias("matched_registrations"))
+    return top.join(n, PERSON)
 
 
 def attribute(lead_contacts: DataFrame, registrations: DataFrame) -> DataFrame:
@@ -82,7 +98,7 @@ def attribute(lead_contacts: DataFrame, registrations: DataFrame) -> DataFrame:
     Rows without e-mail cannot match. They join on a per-row surrogate key and a
     ``NULL`` flag that no registration carries, so they spread over all
     partitions instead of piling up under one NULL key, in the same single pass."""
-    best = (best_registration(registrations).withColumnRenamed("email", "__key")
+    best = (best_registration(registrations, lead_contacts).withColumnRenamed("email", "__key")
             .withColumn("__nokey", F.lit(False)))
     lc = (lead_contacts.withColumn("__nokey", F.col("email").isNull())
           .withColumn("__key", F.coalesce(F.col("email"),
