@@ -66,11 +66,11 @@ def main() -> None:
 
     def flagship_chain():
         store = SnapshotStore(spark, fresh_dir(spark, "bench-chain"))
-        store.write("prospects", prepare_prospects(decode_prospects(kafka_record(crm_msgs.drop("batch_no"))), NOW))
+        store.put("prospects", prepare_prospects(decode_prospects(kafka_record(crm_msgs.drop("batch_no"))), NOW))
         r = recompute(store.read("prospects"), regs, rates, NOW, None, FUNNEL_CONF)
-        store.write("contacts", r.contacts)
+        store.put("contacts", r.contacts)
         c = store.read("contacts")
-        store.write("opportunities", r.opportunities)
+        store.put("opportunities", r.opportunities)
         run(event_funnel(c, registrations_for_attribution(regs), NOW, FUNNEL_CONF.unattributed))
 
     steps = {

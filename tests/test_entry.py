@@ -1,6 +1,7 @@
 import re
 
 import __spark_entry__ as E
+from tidemark.plans.checks import QUERIES
 
 
 def test_entry_runs_with_stable_schema(spark):
@@ -12,5 +13,6 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_registry_names_are_plain():
-    for name in E.queries():
+    for name in QUERIES:
         assert name.isidentifier() and not re.match(r"op\d+_", name) and "pipeline" not in name
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())

@@ -8,7 +8,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from tidemark.plans.checks import QUERIES
+from tidemark.plans.oracle import ORACLES
 from conftest import SF_SMALL
 
 
@@ -31,14 +32,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = QUERIES[name](spark, SF_SMALL)
     got = Counter(tuple(_norm(r[c]) for c in sorted(sdf.columns)) for r in sdf.collect())
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(ORACLES[name])
     idx = sorted(range(len(rel.columns)), key=lambda i: rel.columns[i])
     want = Counter(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
     assert sorted(sdf.columns) == sorted(rel.columns)

@@ -103,6 +103,23 @@ def patches(spark: SparkSession, d: str) -> DataFrame:
          .when(ts < F.lit(PATCH_CUT_2).cast("timestamp"), F.lit(1)).otherwise(F.lit(2)).alias("file_no"))
 
 
+def prospect_details(k: Column) -> dict[str, Column]:
+    """The payload fields that no step computes with, each with values of its own."""
+    def tag(prefix: str, c: Column) -> Column:
+        return F.concat(F.lit(prefix), c.cast("string"))
+
+    day = F.col("o_orderdate").cast("timestamp").cast("date")
+    won, closed = F.col("o_orderstatus") == "F", F.col("o_orderstatus").isin("F", "P")
+    return {
+        "last_activity": tag("A", k), "account_id": tag("AC", k % 97), "close_date": F.date_add(day, (k % 30).cast("int")),
+        "closed_amount": F.when(won, F.col("o_totalprice") / 2), "loss_amount": F.when(closed & ~won, F.col("o_totalprice") / 4),
+        "contact_ref": tag("OC", k % 89), "stage": tag("ST", k % 6), "opp_name": tag("Opp ", k), "opp_type": tag("T", k % 3),
+        "lead_conv_opp": tag("OP", k), "lead_conv_account": tag("AC", k % 97), "lead_conv_contact": tag("CT", F.col("o_custkey")),
+        "lead_conv_date": F.date_add(day, 1), "lead_converted": k % 2 == 0, "lead_status": tag("S", k % 4), "lead_name": tag("Lead ", k),
+        "lead_industry": tag("I", k % 5), "lead_country": tag("N", F.col("c_nationkey")),
+        "account_name": tag("Account ", k % 97), "owner_id": tag("OW", k % 11), "owner_name": tag("Owner ", k % 11)}
+
+
 def prospects(spark: SparkSession, d: str) -> DataFrame:
     oc = _orders_customers(spark, d)
     k = F.col("o_orderkey")
@@ -121,7 +138,8 @@ def prospects(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 13 == 0, F.lit("n/a")).otherwise(
             F.concat(F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"),
                      F.lit(".000+0000"))).alias("created_text"),
-        F.col("o_custkey"),
+        F.col("o_custkey"), "c_nationkey",
+        *[c.alias(n) for n, c in prospect_details(k).items()],
         (epoch_ms("o_orderdate") + k).alias("record_ts"),
         F.when(F.col("o_orderdate").cast("timestamp") < F.lit(PROSPECT_CUT).cast("timestamp"), F.lit(0))
          .otherwise(F.lit(1)).alias("batch_no"))
@@ -233,13 +251,23 @@ def crm_messages(spark: SparkSession, d: str) -> DataFrame:
                    F.col("is_closed").alias("IsClosed"), F.col("is_won").alias("IsWon"),
                    F.col("created_text").alias("CreatedDate"), F.col("lead_source").alias("LeadSource"),
                    F.col("created_text").alias("LastModifiedDate"), F.col("base_currency").alias("BaseCurrency"),
-                   F.col("currency").alias("CurrencyIsoCode"))
+                   F.col("currency").alias("CurrencyIsoCode"), F.col("last_activity").alias("LastActivityDate"),
+                   F.col("account_id").alias("AccountId"), F.col("close_date").alias("CloseDate"),
+                   F.col("closed_amount").alias("Closed_Amount__c"), F.col("contact_ref").alias("ContactId"),
+                   F.col("loss_amount").alias("Loss_Amount__c"), F.col("stage").alias("StageName"),
+                   F.col("opp_name").alias("Name"), F.col("opp_type").alias("Type"))
     lead = F.when(F.col("lead_id").isNotNull(), F.struct(
         F.col("lead_id").alias("Id"), F.col("lead_email").alias("Email"), F.col("lead_source").alias("LeadSource"),
-        F.col("created_text").alias("CreatedDate"), F.col("created_text").alias("LastModifiedDate")))
+        F.col("created_text").alias("CreatedDate"), F.col("created_text").alias("LastModifiedDate"),
+        F.col("lead_conv_opp").alias("ConvertedOpportunityId"), F.col("lead_conv_account").alias("ConvertedAccountId"),
+        F.col("lead_conv_contact").alias("ConvertedContactId"), F.col("lead_conv_date").alias("ConvertedDate"),
+        F.col("lead_converted").alias("IsConverted"), F.col("lead_status").alias("Status"), F.col("lead_name").alias("Name"),
+        F.col("lead_industry").alias("Industry"), F.col("lead_country").alias("Country")))
+    account = F.struct(F.col("account_name").alias("Name"), F.col("account_id").alias("Id"),
+                       F.struct(F.col("owner_name").alias("Name"), F.col("owner_id").alias("Id")).alias("owner"))
     data = F.struct(F.col("organiser_id").alias("organiserId"), opp.alias("opportunityDetails"),
                     F.col("hist").alias("opportunityHistory"), lead.alias("leadDetails"),
-                    F.col("cts").alias("contacts"))
+                    F.col("cts").alias("contacts"), account.alias("accountDetails"))
     value = F.to_json(F.struct(data.alias("data"), F.col("record_ts").alias("timeStamp"),
                                F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("xnId")))
     return j.select(*_record(F.col("opportunity_id"), value, PROSPECT_TOPIC, 0, F.col("o_orderkey"),

@@ -55,6 +55,16 @@ def decode_users(env: DataFrame) -> DataFrame:
             .filter(F.col("organiser_id").isNotNull() & F.col("email").isNotNull()))
 
 
+def rejected_changes(env: DataFrame) -> DataFrame:
+    """Changes whose tenant id is not a number, with their documents (side output). Inserts among
+    them do not enter the tables; patches do, without the tenant."""
+    tenant = F.coalesce(F.get_json_object("after", "$.organiser_id"), F.get_json_object("set_doc", "$.organiser_id"))
+    return (env.filter(F.coalesce("after", "set_doc").contains("organiser_id")).withColumn("organiser_id", tenant)
+            .filter(F.col("organiser_id").isNotNull() & F.col("organiser_id").try_cast("bigint").isNull())
+            .select("topic", "partition", "offset", "collection", "ts_ms", "_id", "after", "set_doc", "organiser_id",
+                    F.lit("tenant id is not a number").alias("reject_reason")))
+
+
 def _registration_cols(d: str):
     return [F.col(f"{d}.event_id").alias("event_id"), F.col(f"{d}.exhibitor_id").alias("exhibitor_id"),
             F.col(f"{d}.firstName").alias("firstName"), F.col(f"{d}.lastName").alias("lastName"),

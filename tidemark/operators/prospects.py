@@ -46,9 +46,13 @@ def latest_prospects(df: DataFrame, legacy_key: bool = False) -> DataFrame:
     return latest_per(df, keys, ["record_timeStamp", "opportunity_Id"])
 
 
+def keyed_prospects(decoded: DataFrame) -> DataFrame:
+    return with_latest_stage(with_prospect_key(decoded))
+
+
 def prepare_prospects(decoded: DataFrame, now: int, legacy_key: bool = False) -> DataFrame:
-    """Decoded payloads -> rows ready to upsert into the prospect table."""
-    df = keep_valid(with_latest_stage(with_prospect_key(decoded)))
+    """Decoded payloads -> rows ready to upsert into the prospect table (``rejects`` has the others)."""
+    df = keep_valid(keyed_prospects(decoded))
     return latest_prospects(df, legacy_key).withColumn("load_timestamp", F.lit(now).cast("bigint"))
 
 
@@ -62,24 +66,6 @@ LEAD_CONTACT_COLUMNS = [
     "LastSFModifiedDate", "recordType", "prospect_id"]
 
 
-def lead_rows(p: DataFrame) -> DataFrame:
-    """One LEAD row per prospect (opportunity-only payloads give a NULL ``SF_Id``)."""
-    return p.select(
-        F.col("lead_Id").alias("SF_Id"), F.col("lead_Name").alias("Name"),
-        F.col("lead_Email").alias("email"), "organiser_Id", "opportunity_Id",
-        F.col("lead_ConvertedDate").alias("ConvertedDate"), F.col("lead_LeadSource").alias("Source"),
-        F.col("lead_IsConverted").alias("IsLeadConverted"), F.col("lead_Status").alias("LeadStatus"),
-        F.col("lead_Country").alias("Country"), F.col("lead_Industry").alias("Industry"),
-        "opportunity_LastModifiedDate", "lead_LastModifiedDate",
-        F.col("opportunity_IsWon").alias("IsWon"), F.col("opportunity_IsClosed").alias("IsClosed"),
-        F.col("lead_CreatedDate").alias("record_created_date"),
-        "lead_ConvertedOpportunityId", "lead_ConvertedAccountId", "lead_ConvertedContactId",
-        "account_Id", "account_Name", "Opportunity_StageName", "OpportunityCurrentStageDate",
-        "opportunity_Amount", "opportunity_CloseDate", "opportunity_Currency", "base_currency",
-        F.greatest("opportunity_LastModifiedDate", "lead_LastModifiedDate").alias("LastSFModifiedDate"),
-        F.lit("LEAD").alias("recordType"), "prospect_id")
-
-
 def contact_rows(p: DataFrame) -> DataFrame:
     """One CONTACT row per element of ``contacts`` (NULL or empty arrays give none);
     lead-only fields are typed NULLs."""
@@ -120,7 +106,7 @@ def _entry(sf_id, name, email, source, created, record_type: str, lead: bool):
 def lead_contact_union(p: DataFrame) -> DataFrame:
     """CONTACT ∪ LEAD rows; e-mail lower-cased; creation time as epoch seconds and date.
 
-    Same rows as ``contact_rows(p) ∪ lead_rows(p)``, produced in one pass: a single
+    Produced in one pass: a single
     generator emits each prospect's contacts followed by its lead row, so the
     prospect table is scanned once instead of once per branch."""
     lead = _entry(F.col("lead_Id"), F.col("lead_Name"), F.col("lead_Email"), F.col("lead_LeadSource"),

@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import fixtures as fx
 from tidemark import schemas as S
 from tidemark.operators.attribution import (
-    CONTACT_KEYS, OPPORTUNITY_KEYS, attribute, fx_normalise, opportunity_latest, registrations_for_attribution,
+    CONTACT_KEYS, OPPORTUNITY_COLUMNS, OPPORTUNITY_KEYS, attribute, fx_normalise, opportunity_latest, registrations_for_attribution,
     with_touch_points,
 )
 from tidemark.operators.changes import change_types, change_union, changed_keys, changed_rows, latest_patches
@@ -21,6 +22,7 @@ from tidemark.operators.funnel import (
     FUNNEL_COLUMNS, FUNNEL_KEYS, attendance_metrics, event_keys, funnel_input, lead_metrics, opportunity_metrics,
     opportunity_pivot, top_amount,
 )
+from tidemark.operators.funnel import event_funnel as event_funnel_op
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.notify import completion_notice, tenants_with_action
 from tidemark.operators.prospects import (
@@ -47,8 +49,7 @@ CONTACT_OUT = ["organiser_Id", "SF_Id", "recordType", "prospect_id", "email", "S
                "opportunity_Amount", "conversion_rate", "IsWon", "IsClosed", "communities_id", "event_id",
                "matched_registrations", "touch_point", "initLoginAt", "touchpoint_timestamp", "touchpoint_date",
                "record_created_date", "load_timestamp"]
-OPPORTUNITY_OUT = ["organiser_Id", "opportunity_Id", "prospect_id", "opportunity_Amount", "opportunity_IsClosed",
-                   "opportunity_IsWon", "Opportunity_StageName", "last_modified_s", "load_timestamp"]
+OPPORTUNITY_OUT = [c for c in OPPORTUNITY_COLUMNS if c not in ("opportunity_CreatedDate", "opportunity_LastModifiedDate")]
 
 
 def _secs(c: str, alias: str | None = None) -> F.Column:
@@ -126,9 +127,32 @@ def registration_upsert(spark, d):
     return _ws(spark, d).cdc_state(2).user_registrations.select(*USER_REGISTRATION_COLUMNS)
 
 
+def _stream_files(spark, d):
+    m = _ws(spark, d).cdc_messages()
+    return [m.filter(F.col("file_no") == f).drop("file_no") for f in range(3)]
+
+
 def stream_cdc_apply(spark, d):
     from tidemark.streaming.cdc import run_cdc_files
-    return run_cdc_files(spark, _ws(spark, d).cdc_messages(), "file_no", NOW).select(*USER_REGISTRATION_COLUMNS)
+    return run_cdc_files(spark, _stream_files(spark, d), fx.CDC_TOPIC_PATTERN, NOW).select(*USER_REGISTRATION_COLUMNS)
+
+
+def state_two_writers(spark, d):
+    """Change batch, erasure, change batch, erasure, replay of that batch, change batch, replays."""
+    from tidemark.sources.state import SnapshotStore
+    from tidemark.streaming.cdc import cdc_batch
+    store = SnapshotStore(spark, fresh_dir(spark, "two-writers"))
+    fn = cdc_batch(store, now=NOW, run_id="check")
+    files = _stream_files(spark, d)
+    sync = decode_sync(kafka_record(_ws(spark, d).sync_messages().drop("batch_no")))
+    disabled = tenants_with_action(sync, S.ACTION_DISABLED)
+    for i, replays in ((0, ()), (1, (1, 0)), (2, (2, 1))):
+        fn(files[i], i)
+        if i < 2:
+            store.erase("user_registrations", disabled, "organiser_id", f"sync.check.{i}")
+        for r in replays:
+            fn(files[r], r)
+    return store.read("user_registrations").select(*USER_REGISTRATION_COLUMNS)
 
 
 # ---------------------------------------------------------------------------- CRM --
@@ -140,10 +164,12 @@ def _decoded(spark, d):
 
 def prospect_flatten(spark, d):
     p = _decoded(spark, d)
-    return p.select("organiser_Id", "opportunity_Id", "opportunity_Amount", "opportunity_Currency",
-                    "opportunity_IsClosed", "opportunity_IsWon", "opportunity_LeadSource", "base_currency",
-                    "lead_Id", "lead_Email", "lead_LeadSource", "record_timeStamp",
-                    F.col("contacts").isNull().alias("contacts_missing"))
+    plain = [c for c, t in p.dtypes if t != "timestamp" and not t.startswith("array")]
+    return p.select(*plain, _secs("opportunity_CreatedDate", "opportunity_created_s"),
+                    _secs("opportunity_LastModifiedDate", "opportunity_modified_s"), _secs("lead_CreatedDate", "lead_created_s"),
+                    _secs("lead_LastModifiedDate", "lead_modified_s"),
+                    F.when(F.col("opportunityHistory").isNull(), 0).otherwise(F.size("opportunityHistory")).cast("bigint").alias("n_history"),
+                    F.when(F.col("contacts").isNull(), 0).otherwise(F.size("contacts")).cast("bigint").alias("n_contacts"))
 
 
 def time_parse(spark, d):
@@ -227,14 +253,12 @@ def contact_latest(spark, d):
 
 def contact_upsert(spark, d):
     w = _ws(spark, d)
-    return merge_upsert(w.contacts((0,)), w.contacts(), CONTACT_KEYS).select(*CONTACT_OUT)
+    return merge_upsert(w.contacts((0,)), w.contacts((1,)), CONTACT_KEYS).select(*CONTACT_OUT)
 
 
 def _opp_out(o):
-    return o.select("organiser_Id", "opportunity_Id", "prospect_id", "opportunity_Amount", "opportunity_IsClosed",
-                    "opportunity_IsWon", "Opportunity_StageName",
-                    _secs("opportunity_LastModifiedDate", "last_modified_s"),
-                    "load_timestamp")
+    return o.select(*OPPORTUNITY_OUT, _secs("opportunity_CreatedDate", "created_s"),
+                    _secs("opportunity_LastModifiedDate", "last_modified_s"), "load_timestamp")
 
 
 def opportunity_latest_q(spark, d):
@@ -244,7 +268,7 @@ def opportunity_latest_q(spark, d):
 def opportunity_upsert(spark, d):
     w = _ws(spark, d)
     base = opportunity_latest(w.prospects((0,)), NOW)
-    return _opp_out(merge_upsert(base, opportunity_latest(w.prospects(), NOW), OPPORTUNITY_KEYS))
+    return _opp_out(merge_upsert(base, opportunity_latest(w.prospects((1,)), NOW), OPPORTUNITY_KEYS))
 
 
 def _fi(spark, d):
@@ -287,10 +311,16 @@ def event_funnel(spark, d):
 
 def event_funnel_upsert(spark, d):
     w = _ws(spark, d)
-    base, new = w.recomputed((0,)).funnel, w.recomputed().funnel
+    base, new = w.recomputed((0,)).funnel, w.recomputed((1,)).funnel
     return merge_upsert(base, new, FUNNEL_KEYS).select(*FUNNEL_COLUMNS, "load_timestamp")
 
 
+def event_funnel_keep(spark, d):
+    w = _ws(spark, d)
+    reg = registrations_for_attribution(w.attribution_registrations())
+    return event_funnel_op(w.contacts(), reg, NOW, "keep").select(*FUNNEL_COLUMNS, "load_timestamp")
+
+
 # ------------------------------------------------------------------------- notices --
 
 def sync_route(spark, d):
@@ -324,18 +354,40 @@ def completion_notice_q(spark, d):
 def warehouse_append_latest(spark, d):
     w = _ws(spark, d)
     conf = WarehouseConf(format="parquet", root=fresh_dir(spark, "warehouse"))
-    append_warehouse(w.contacts((0,)), conf, "contact", 0)
-    append_warehouse(w.contacts(), conf, "contact", 1)
-    append_warehouse(w.contacts(), conf, "contact", 1)          # a replayed batch overwrites itself
+    append_warehouse(w.contacts((0,)), conf, "contact", "run1", 0)
+    append_warehouse(w.contacts((1,)), conf, "contact", "run2", 0)      # a new run starts its batch ids again
+    append_warehouse(w.contacts((1,)), conf, "contact", "run2", 0)      # a replayed batch overwrites itself
     back = read_warehouse(spark, conf, "contact")
     return latest_from_warehouse(back, CONTACT_KEYS).select(*CONTACT_OUT)
 
 
-def stream_sync_gate(spark, d):
+def _gate(spark, d):
+    """The gate over both notice batches (the second is a replay of all notices)."""
     from tidemark.streaming.sync import run_sync_files
     w = _ws(spark, d)
-    return run_sync_files(spark, w.sync_messages(), w.crm_messages(), w.attribution_registrations(), w.rates(),
-                          NOW, FUNNEL_CONF).select(*FUNNEL_COLUMNS, "load_timestamp")
+    m = w.sync_messages()
+    return run_sync_files(spark, [m.filter(F.col("batch_no") == b).drop("batch_no") for b in range(2)],
+                          w.crm_messages().drop("batch_no"), w.attribution_registrations(), w.rates(), NOW,
+                          (fx.SYNC_TOPIC, fx.PROSPECT_TOPIC), FUNNEL_CONF)
+
+
+def stream_sync_gate(spark, d):
+    return _gate(spark, d)[0].read("event_agg").select(*FUNNEL_COLUMNS, "load_timestamp")
+
+
+def stream_sync_tables(spark, d):
+    """Rows per table and tenant after the gate: what was erased is gone, what was recomputed is there,
+    and each notice batch has published one message per tenant."""
+    store, published = _gate(spark, d)
+    notices = spark.read.schema("value string").json(published).select(
+        F.get_json_object("value", "$.context.oId").cast("bigint").alias("organiser_Id"))
+    tables = {t: store.read(t) for t in ("prospects", "user_registrations", "contacts", "opportunities", "event_agg")}
+    out = None
+    for name, df in {**tables, "notices": notices}.items():
+        tenant = "organiser_Id" if "organiser_Id" in df.columns else "organiser_id"
+        part = df.groupBy(F.col(tenant).alias("organiser_Id")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.select("table_name", "organiser_Id", "n_rows")
 
 
 # name -> query; the comment lists the SURVEY §2 operator ids the check covers
@@ -382,4 +434,7 @@ QUERIES: dict[str, Query] = {
     "warehouse_append_latest": warehouse_append_latest,  # S6 K14
     "stream_cdc_apply": stream_cdc_apply,  # S1 S8 T1-T4 T7
     "stream_sync_gate": stream_sync_gate,  # S2 T2 T5 T6 T8
+    "stream_sync_tables": stream_sync_tables,  # S7 M5 A7
+    "state_two_writers": state_two_writers,  # M4 M5
+    "event_funnel_keep": event_funnel_keep,  # A6
 }

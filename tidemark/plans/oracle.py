@@ -19,6 +19,15 @@ UR_COLS = ["organiser_id", "userId", "_id", "event_id", "exhibitor_id", "firstNa
            "isLoggedIn", "localCreatedAt", "source", "speaker_id", "email", "load_timestamp"]
 CHANGE_COLS = ["_id", *REG_FIELDS, "ts_ms", '"partition"', '"offset"', "OPS"]
 
+OPP_COLS = ["organiser_Id", "opportunity_Id", "prospect_id", "opportunity_Amount", "opportunity_Currency", "base_currency",
+            "opportunity_LastActivityDate", "opportunity_AccountId", "opportunity_IsClosed", "opportunity_CloseDate",
+            "opportunity_Closed_Amount", "opportunity_IsWon", "opportunity_Loss_Amount", "Opportunity_StageName", "opportunity_Name",
+            "opportunity_LeadSource", "opportunity_type", "account_Id", "account_Name", "account_OwnerId", "account_OwnerName"]
+FLAT_COLS = [*[c for c in OPP_COLS if c not in ("prospect_id", "Opportunity_StageName")], "opportunity_PayloadStageName", "opportunity_ContactId",
+             "lead_Id", "lead_Email", "lead_LeadSource", "lead_ConvertedOpportunityId", "lead_ConvertedAccountId",
+             "lead_ConvertedContactId", "lead_ConvertedDate", "lead_IsConverted", "lead_Status", "lead_Name", "lead_Industry",
+             "lead_Country", "record_timeStamp"]
+
 CTES: dict[str, tuple[list[str], str]] = {}
 
 
@@ -108,6 +117,16 @@ SELECT CAST(c_nationkey AS BIGINT) AS organiser_id, o_orderkey,
        o_totalprice AS amount, o_orderstatus IN ('F', 'P') AS is_closed, o_orderstatus = 'F' AS is_won,
        'C' || CAST(c_nationkey % 5 AS VARCHAR) AS currency, 'C0' AS base_currency,
        CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE epoch_us(o_orderdate) // 1000000 END AS created_s,
+       'A' || o_orderkey AS last_activity, 'AC' || (o_orderkey % 97) AS account_id,
+       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS close_date,
+       CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 2 END AS closed_amount,
+       CASE WHEN o_orderstatus = 'P' THEN o_totalprice / 4 END AS loss_amount,
+       'OC' || (o_orderkey % 89) AS contact_ref, 'ST' || (o_orderkey % 6) AS stage, 'Opp ' || o_orderkey AS opp_name,
+       'T' || (o_orderkey % 3) AS opp_type, 'OP' || o_orderkey AS lead_conv_opp, 'AC' || (o_orderkey % 97) AS lead_conv_account,
+       'CT' || o_custkey AS lead_conv_contact, CAST(o_orderdate AS DATE) + 1 AS lead_conv_date, o_orderkey % 2 = 0 AS lead_converted,
+       'S' || (o_orderkey % 4) AS lead_status, 'Lead ' || o_orderkey AS lead_name, 'I' || (o_orderkey % 5) AS lead_industry,
+       'N' || c_nationkey AS lead_country, 'Account ' || (o_orderkey % 97) AS account_name, 'OW' || (o_orderkey % 11) AS owner_id,
+       'Owner ' || (o_orderkey % 11) AS owner_name,
        o_custkey, {ms('o_orderdate')} + o_orderkey AS record_ts,
        CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 0 ELSE 1 END AS batch_no
 FROM orders JOIN customer ON o_custkey = c_custkey""")
@@ -230,6 +249,19 @@ SELECT p.organiser_id AS organiser_Id, p.o_orderkey, p.opportunity_id AS opportu
        CASE WHEN p.lead_id IS NOT NULL THEN p.created_s END AS lead_modified_s,
        p.record_ts AS record_timeStamp, coalesce(p.lead_id, p.opportunity_id) AS prospect_id,
        h.stage_name AS Opportunity_StageName, h.stage_date AS OpportunityCurrentStageDate,
+       p.last_activity AS opportunity_LastActivityDate, p.account_id AS opportunity_AccountId, p.close_date AS opportunity_CloseDate,
+       p.closed_amount AS opportunity_Closed_Amount, p.loss_amount AS opportunity_Loss_Amount, p.contact_ref AS opportunity_ContactId,
+       p.stage AS opportunity_PayloadStageName, p.opp_name AS opportunity_Name, p.opp_type AS opportunity_type,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_conv_opp END AS lead_ConvertedOpportunityId,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_conv_account END AS lead_ConvertedAccountId,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_conv_contact END AS lead_ConvertedContactId,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_conv_date END AS lead_ConvertedDate,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_converted END AS lead_IsConverted,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_status END AS lead_Status,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_name END AS lead_Name,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_industry END AS lead_Industry,
+       CASE WHEN p.lead_id IS NOT NULL THEN p.lead_country END AS lead_Country,
+       p.account_id AS account_Id, p.account_name AS account_Name, p.owner_id AS account_OwnerId, p.owner_name AS account_OwnerName,
        p.batch_no, p.o_orderkey % 11 = 0 AS contacts_missing
 FROM fx_prospects p LEFT JOIN hist_latest h ON h.o_orderkey = p.o_orderkey""")
 
@@ -296,8 +328,7 @@ WHERE f.SF_Id IS NOT NULL""")
         f"fan_{tag}", "organiser_Id, SF_Id",
         ["touchpoint_timestamp", "opportunity_Id", "prospect_id", "localCreatedAt", "communities_id"]))
     cte(f"opp_{tag}", [prosp], f"""
-SELECT organiser_Id, opportunity_Id, prospect_id, opportunity_Amount, opportunity_IsClosed, opportunity_IsWon,
-       Opportunity_StageName, opp_modified_s AS last_modified_s, CAST({NOW} AS BIGINT) AS load_timestamp
+SELECT {", ".join(OPP_COLS)}, opp_created_s AS created_s, opp_modified_s AS last_modified_s, CAST({NOW} AS BIGINT) AS load_timestamp
 FROM {prosp} WHERE opportunity_Id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY organiser_Id, opportunity_Id
                            ORDER BY opp_modified_s DESC NULLS LAST, prospect_id DESC NULLS LAST) = 1""")
@@ -336,8 +367,34 @@ LEFT JOIN leads_{tag} l ON l.organiser_Id = k.organiser_Id AND l.event_id = k.ev
 LEFT JOIN att_metrics a ON a.organiser_Id = k.organiser_Id AND a.event_id = k.event_id""")
 
 
+def _funnel_keep() -> str:
+    """The funnel with unattributed prospects under a NULL event: keys compare NULL-safe."""
+    eq = lambda t: null_safe("k", t, ["organiser_Id", "event_id"])
+    return build(["keys_all", "piv_all", "leads_all", "att_metrics"], f"""
+SELECT k.organiser_Id, k.event_id,
+       CAST(coalesce(p.cnt_opportunity_0, 0) + coalesce(p.cnt_opportunity_1, 0) AS BIGINT) AS Opportunity_Count,
+       CAST(coalesce(p.cnt_opportunity_1, 0) AS BIGINT) AS ClosedWon_Count,
+       CAST(coalesce(p.amt_opportunity_0, 0) + coalesce(p.amt_opportunity_1, 0) AS {MONEY}) AS Opportunity_Amount,
+       CAST(coalesce(p.amt_opportunity_1, 0) AS {MONEY}) AS ClosedWon_Amount,
+       CAST(coalesce(l.cnt_leads, 0) AS BIGINT) AS leads_count,
+       CAST(coalesce(a.att_0, 0) + coalesce(a.att_1, 0) AS BIGINT) AS regn,
+       CAST(coalesce(a.att_1, 0) AS BIGINT) AS atts, CAST({NOW} AS BIGINT) AS load_timestamp
+FROM keys_all k LEFT JOIN piv_all p ON {eq("p")} LEFT JOIN leads_all l ON {eq("l")} LEFT JOIN att_metrics a ON {eq("a")}""")
+
+
+# the joined table when the disabled tenants are erased after each of the first two change batches
+cte("ur_e0", ["joined_f0", "disabled"], "SELECT * FROM joined_f0 WHERE organiser_id NOT IN (SELECT organiser_Id FROM disabled)")
+for prev, cur, erased in (("e0", "f1", "e1"), ("e1", "f2", None)):
+    cte(f"ur_{prev}_{cur}", [f"ur_{prev}", f"joined_{cur}"], f"""
+SELECT * FROM ur_{prev} b WHERE NOT EXISTS (SELECT 1 FROM joined_{cur} s WHERE {null_safe('s', 'b', URK)})
+UNION ALL SELECT * FROM joined_{cur}""")
+    if erased:
+        cte(f"ur_{erased}", [f"ur_{prev}_{cur}", "disabled"],
+            f"SELECT * FROM ur_{prev}_{cur} WHERE organiser_id NOT IN (SELECT organiser_Id FROM disabled)")
+
 _crm("all", "prosp_all")
 _crm("b0", "prosp_b0")
+_crm("b1", "prosp_b1")
 
 CONTACT_SEL = """organiser_Id, SF_Id, recordType, prospect_id, email, Source, opportunity_Id,
        amount_fx AS opportunity_Amount, conversion_rate, IsWon, IsClosed, communities_id, event_id,
@@ -393,10 +450,10 @@ SELECT {RC} FROM reg_f2 r WHERE EXISTS (SELECT 1 FROM keys_f2 k WHERE {null_safe
     "registration_user_join": build(["joined_f2"], f"SELECT {UC} FROM joined_f2"),
     "registration_upsert": build(["ur_f2"], f"SELECT {UC} FROM ur_f2"),
     "stream_cdc_apply": build(["ur_f2"], f"SELECT {UC} FROM ur_f2"),
-    "prospect_flatten": build(["pmsg"], """
-SELECT organiser_Id, opportunity_Id, opportunity_Amount, opportunity_Currency, opportunity_IsClosed,
-       opportunity_IsWon, opportunity_LeadSource, base_currency, lead_Id, lead_Email, lead_LeadSource,
-       record_timeStamp, contacts_missing
+    "prospect_flatten": build(["pmsg", "fx_contacts"], f"""
+SELECT {", ".join(FLAT_COLS)}, opp_created_s AS opportunity_created_s, opp_modified_s AS opportunity_modified_s,
+       lead_created_s, lead_modified_s, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_history,
+       (SELECT count(*) FROM fx_contacts c WHERE c.o_orderkey = pmsg.o_orderkey) AS n_contacts
 FROM pmsg"""),
     "time_parse": build(["pmsg"], """
 SELECT record_timeStamp, opp_created_s AS opportunity_CreatedDate, lead_created_s AS lead_CreatedDate,
@@ -428,10 +485,10 @@ FROM att_all"""),
 SELECT organiser_Id, prospect_id, recordType, SF_Id, initLoginAt, touchpoint_timestamp, touchpoint_date,
        load_timestamp FROM att_all"""),
     "contact_latest": build(["contacts_all"], f"SELECT {CONTACT_SEL} FROM contacts_all"),
-    "contact_upsert": _upsert("contacts_b0", "contacts_all", ["SF_Id", "organiser_Id"], CONTACT_SEL),
-    "warehouse_append_latest": _upsert("contacts_b0", "contacts_all", ["SF_Id", "organiser_Id"], CONTACT_SEL),
+    "contact_upsert": _upsert("contacts_b0", "contacts_b1", ["SF_Id", "organiser_Id"], CONTACT_SEL),
+    "warehouse_append_latest": _upsert("contacts_b0", "contacts_b1", ["SF_Id", "organiser_Id"], CONTACT_SEL),
     "opportunity_latest": build(["opp_all"], "SELECT * FROM opp_all"),
-    "opportunity_upsert": _upsert("opp_b0", "opp_all", ["opportunity_Id", "organiser_Id"], "*"),
+    "opportunity_upsert": _upsert("opp_b0", "opp_b1", ["opportunity_Id", "organiser_Id"], "*"),
     "event_top_amount": build(["top_all"], """
 SELECT organiser_Id, event_id, opportunity_Id, SF_Id, opportunity_Amount, ClosedWon FROM top_all"""),
     "event_opportunity_metrics": build(["top_all"], f"""
@@ -443,10 +500,19 @@ FROM top_all GROUP BY organiser_Id, event_id, ClosedWon"""),
     "event_attendance": build(["att_metrics"], "SELECT * FROM att_metrics"),
     "event_keys_union": build(["keys_all"], "SELECT * FROM keys_all"),
     "event_funnel": build(["funnel_all"], f"SELECT {FUNNEL_SEL} FROM funnel_all"),
-    "event_funnel_upsert": _upsert("funnel_b0", "funnel_all", ["event_id", "organiser_Id"], FUNNEL_SEL),
+    "event_funnel_upsert": _upsert("funnel_b0", "funnel_b1", ["event_id", "organiser_Id"], FUNNEL_SEL),
     "sync_route": build(["fetched", "disabled"], """
 SELECT organiser_Id, 'erase' AS route FROM disabled UNION ALL SELECT organiser_Id, 'recompute' FROM fetched"""),
     "tenant_erasure": _erasure(),
+    "event_funnel_keep": _funnel_keep(),
+    "state_two_writers": build(["ur_e1_f2"], f"SELECT {UC} FROM ur_e1_f2"),
+    "stream_sync_tables": build(["prosp_all", "areg", "contacts_all", "opp_all", "funnel_all", "disabled", "fetched"],
+                                "\nUNION ALL\n".join(
+        [f"SELECT '{n}' AS table_name, organiser_Id, count(*) AS n_rows FROM {t} WHERE organiser_Id NOT IN (SELECT organiser_Id FROM disabled) "
+         "GROUP BY organiser_Id" for n, t in (("prospects", "prosp_all"), ("user_registrations", "areg"))]
+        + [f"SELECT '{n}', organiser_Id, count(*) FROM {t} WHERE organiser_Id IN (SELECT organiser_Id FROM fetched) GROUP BY organiser_Id"
+           for n, t in (("contacts", "contacts_all"), ("opportunities", "opp_all"), ("event_agg", "funnel_all"))]
+        + ["SELECT 'notices', organiser_Id, 2 FROM fetched"])),
     "completion_notice": build(["fetched"], f"""
 SELECT organiser_Id, '{{"context":{{"oId":' || CAST(organiser_Id AS VARCHAR)
        || ',"eId":0,"action":"ORGANISER_SF_DATA_PROCESSING_COMPLETED","actor":"SYSTEM"}},"timeStamp":{NOW}}}' AS value

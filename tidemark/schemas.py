@@ -23,7 +23,8 @@ KAFKA_RECORD = _st(("key", T.BinaryType()), ("value", T.BinaryType()), ("topic",
                    ("timestamp", T.TimestampType()), ("timestampType", T.IntegerType()))
 
 # Change envelope: inner documents stay JSON text and are decoded in a second step.
-ENVELOPE = _st(("schema", S), ("payload", _st(("after", S), ("patch", S), ("filter", S), ("source", S))))
+# (The change producer also sends its own schema text; nobody reads it, so it is not parsed.)
+ENVELOPE = _st(("payload", _st(("after", S), ("patch", S), ("filter", S), ("source", S))))
 FILTER = _st(("_id", S))
 PATCH = _st(("$v", S), ("$set", S))
 SOURCE = _st(("db", S), ("collection", S), ("ts_ms", L))
@@ -40,28 +41,26 @@ REGISTRATION_FIELDS = ["event_id", "exhibitor_id", "firstName", "lastName", "ini
                        "isLoggedIn", "localCreatedAt", "organiser_id", "source", "speaker_id", "userId"]
 
 OPPORTUNITY_DETAILS = _st(
-    ("Id", S), ("Amount", D), ("Currency__c", S), ("LastActivityDate", S), ("AccountId", S),
+    ("Id", S), ("Amount", D), ("LastActivityDate", S), ("AccountId", S),
     ("IsClosed", B), ("CloseDate", T.DateType()), ("Closed_Amount__c", D), ("ContactId", S),
     ("IsWon", B), ("Loss_Amount__c", D), ("CreatedDate", S), ("StageName", S), ("Name", S),
     ("LeadSource", S), ("LastModifiedDate", S), ("Type", S), ("BaseCurrency", S), ("CurrencyIsoCode", S))
-HISTORY_ITEM = _st(("Amount", D), ("StageName", S), ("CreatedDate", T.DateType()), ("OpportunityId", S))
+HISTORY_ITEM = _st(("StageName", S), ("CreatedDate", T.DateType()))
 LEAD_DETAILS = _st(
     ("Id", S), ("Email", S), ("LeadSource", S), ("CreatedDate", S), ("ConvertedOpportunityId", S),
     ("ConvertedAccountId", S), ("ConvertedContactId", S), ("LastModifiedDate", S),
     ("ConvertedDate", T.DateType()), ("IsConverted", B), ("Status", S), ("Name", S),
     ("Industry", S), ("Country", S))
 CONTACT_ITEM = _st(("Id", S), ("Email", S), ("Name", S), ("LeadSource", S))
-ACCOUNT_DETAILS = _st(("Name", S), ("Id", S), ("OwnerId", S), ("owner", _st(("Name", S), ("Id", S))))
+ACCOUNT_DETAILS = _st(("Name", S), ("Id", S), ("owner", _st(("Name", S), ("Id", S))))
 
 NOTICE_CONTEXT = _st(("oId", S), ("action", S), ("actor", S), ("client", S))
 
 PROSPECT_MSG = _st(
-    ("context", NOTICE_CONTEXT),
-    ("meta", _st(("userId", S))),
     ("data", _st(("organiserId", L), ("opportunityDetails", OPPORTUNITY_DETAILS),
                  ("opportunityHistory", T.ArrayType(HISTORY_ITEM)), ("leadDetails", LEAD_DETAILS),
                  ("contacts", T.ArrayType(CONTACT_ITEM)), ("accountDetails", ACCOUNT_DETAILS))),
-    ("timeStamp", L), ("xnId", S))
+    ("timeStamp", L))
 
 SYNC_MSG = _st(("context", NOTICE_CONTEXT))
 
