@@ -161,27 +161,38 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
         m = combine([np.array(x).reshape(S + 1, S) for x in pdf["sums"]])
         return pd.DataFrame({"conv": pdf["conv"].iloc[:1], "idx": [pdf["group"].iloc[0]], "sums": [m.ravel().tolist()]})
 
-    levels = [stage(map_arrow(blocks.select("conv", "idx", "lines"), first, flat), "chat-level-0")]
     group = F.floor(F.col("idx") / FAN).cast("bigint").alias("group")
-    while (levels[-1].agg(F.max("idx")).first()[0] or 0) > 0:
-        grouped = levels[-1].select("conv", "idx", "sums", group)
-        levels.append(stage(grouped.groupBy("conv", "group").applyInPandas(merge, flat), f"chat-level-{len(levels)}"))
 
     @F.pandas_udf("int")
     def best_end(sums: pd.Series) -> pd.Series:
         return sums.map(lambda x: int(np.array(x).reshape(S + 1, S)[START].argmax())).astype("int32")
 
-    ends = levels[-1].select("conv", "idx", F.lit(START).alias("before"), best_end("sums").alias("end"))
-
     def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx")
         after = best_ends([np.array(x).reshape(S + 1, S) for x in pdf["sums"]], int(pdf["before"].iloc[0]), int(pdf["end"].iloc[0]))
         return pd.DataFrame({"conv": pdf["conv"], "idx": pdf["idx"], "before": [int(pdf["before"].iloc[0]), *after[:-1]], "end": after})
 
-    for level in reversed(levels[:-1]):
-        up = ends.select("conv", F.col("idx").alias("group"), "before", "end")
-        ends = level.select("conv", "idx", "sums", group).join(up, ["conv", "group"])
-        ends = ends.groupBy("conv", "group").applyInPandas(hand_down, "conv string, idx bigint, before int, end int")
+    # up: a transcript that is down to one part is done; only the longer ones are combined further
+    level, whole, parts = stage(map_arrow(blocks.select("conv", "idx", "lines"), first, flat), "chat-level-0"), [], []
+    while True:
+        longer = level.filter("idx > 0").select("conv").distinct()
+        if longer.isEmpty():
+            whole.append(level)
+            break
+        longer = stage(longer, "chat-longer")
+        whole.append(level.join(longer, "conv", "left_anti"))
+        parts.append(stage(level.join(longer, "conv", "left_semi").select("conv", "idx", "sums", group), f"chat-parts-{len(parts)}"))
+        level = stage(parts[-1].groupBy("conv", "group").applyInPandas(merge, flat), f"chat-level-{len(parts)}")
+    # down: the ends of a transcript's one part, then of the parts it was combined from
+    ends = None
+    for k in range(len(whole) - 1, -1, -1):
+        done = whole[k].select("conv", "idx", F.lit(START).alias("before"), best_end("sums").alias("end"))
+        if ends is not None:
+            up = ends.select("conv", F.col("idx").alias("group"), "before", "end")
+            handed = (parts[k].join(up, ["conv", "group"]).groupBy("conv", "group")
+                      .applyInPandas(hand_down, "conv string, idx bigint, before int, end int"))
+            done = done.unionByName(handed)
+        ends = done
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
