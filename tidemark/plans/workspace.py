@@ -46,7 +46,8 @@ class Workspace:
         with self._lock:
             if name not in self._paths:
                 path = f"{self.root}/{name}"
-                build().write.mode("overwrite").parquet(path)
+                # files are split by size as well, so large tables do not depend on the core count
+                build().write.option("maxRecordsPerFile", 500_000).mode("overwrite").parquet(path)
                 self._paths[name] = path
         return self.spark.read.parquet(self._paths[name])
 
