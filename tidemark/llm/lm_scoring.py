@@ -40,9 +40,9 @@ CLASSES, PER_CLASS = 64, 64
 VOCABULARY = CLASSES * PER_CLASS
 EMBED, HIDDEN = 16, 24
 TRAIN_ONE_IN = 16
-LANES, STEPS, RATE = 16, 32, 0.08
+LANES, WINDOWS, STEPS, RATE = 128, 48, 32, 0.1
 CHUNK_TOKENS = 1 << 17
-SCORE_TOKENS = 1 << 16
+SCORE_TOKENS, SCORE_DOCS = 1 << 16, 10_000
 END = b""      # no word is empty
 FLUSH_WORDS = 300_000
 
@@ -140,36 +140,59 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e / s, (np.log(s) + top)[:, 0]
 
 
-def output(model: dict, hs: np.ndarray, target: np.ndarray, gradients: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log probability of each target by class and by word in its class. With ``gradients``,
-    adds the weights' gradients and returns that of the states."""
+def output(model: dict, hs: np.ndarray, target: np.ndarray, gradients: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probability of each target by class and by word in its class; adds the weights'
+    gradients to ``gradients`` and returns that of the states."""
     cls, word = target // PER_CLASS, target % PER_CLASS
-    logits = hs @ model["wc"] + model["bc"]
-    p, total = _softmax(logits)
+    p, total = _softmax(hs @ model["wc"] + model["bc"])
     rows = np.arange(len(target))
-    logp = (logits[rows, cls] - total).astype(np.float64)
-    back = np.zeros_like(hs)
-    if gradients is not None:
-        p[rows, cls] -= 1
-        back += p @ model["wc"].T
-        gradients["wc"] += hs.T @ p
-        gradients["bc"] += p.sum(0)
-    order = np.argsort(cls, kind="stable")
-    present, first = np.unique(cls[order], return_index=True)
-    for c, at in zip(present.tolist(), np.split(order, first[1:]), strict=True):
+    logp = np.log(p[rows, cls]).astype(np.float64)
+    p[rows, cls] -= 1
+    back = p @ model["wc"].T
+    gradients["wc"] += hs.T @ p
+    gradients["bc"] += p.sum(0)
+    for c, at in _by_class(cls):
         h = hs[at]
-        logits = h @ model["ww"][c] + model["bw"][c]
-        p, total = _softmax(logits)
+        p, total = _softmax(h @ model["ww"][c] + model["bw"][c])
         own = np.arange(len(at))
-        logp[at] += logits[own, word[at]] - total
-        if gradients is not None:
-            p[own, word[at]] -= 1
-            back[at] += p @ model["ww"][c].T
-            gradients["ww"][c] += h.T @ p
-            gradients["bw"][c] += p.sum(0)
+        logp[at] += np.log(p[own, word[at]])
+        p[own, word[at]] -= 1
+        back[at] += p @ model["ww"][c].T
+        gradients["ww"][c] += h.T @ p
+        gradients["bw"][c] += p.sum(0)
     return logp, back
 
 
+def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(cls, kind="stable")
+    present, first = np.unique(cls[order], return_index=True)
+    yield from zip(present.tolist(), np.split(order, first[1:]), strict=True)
+
+
+def log_probability(model: dict, hs: np.ndarray, target: np.ndarray, safe: bool) -> np.ndarray:
+    """Natural log probability of each target. ``safe``: no logit can overflow (see ``bounded``)."""
+    cls, word = target // PER_CLASS, target % PER_CLASS
+    ones = np.ones(PER_CLASS, hs.dtype)
+
+    def chosen(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
+        own = logits[np.arange(len(pick)), pick]
+        if safe:
+            return own - np.log(np.exp(logits, out=logits) @ ones)
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+        return own - top - np.log(np.exp(logits, out=logits) @ ones)
+
+    logp = chosen(hs @ model["wc"] + model["bc"], cls).astype(np.float64)
+    for c, at in _by_class(cls):
+        logp[at] += chosen(hs[at] @ model["ww"][c] + model["bw"][c], word[at])
+    return logp
+
+
+def bounded(model: dict) -> bool:
+    """States lie within -1 and 1, so a logit is at most its column's absolute sum and bias."""
+    return bool(max((np.abs(model["wc"]).sum(0) + np.abs(model["bc"])).max(), (np.abs(model["ww"]).sum(1) + np.abs(model["bw"])).max()) < 80)
+
+
 def train_window(model: dict, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int, square: dict, rate: float = RATE) -> tuple[np.ndarray, float]:
     """One window (lanes x steps): forward, backpropagation within the window, an Adagrad step. The
     state is cleared where the input is an end. Returns the state after the window."""
@@ -210,8 +233,9 @@ def train_window(model: dict, x: np.ndarray, y: np.ndarray, h: np.ndarray, end:
 
 
 def train_stream(model: dict, stream: np.ndarray, end: int, square: dict) -> None:
-    """Train on one stream of vocabulary numbers, laid out in lanes."""
-    lanes = min(LANES, max(1, len(stream) // (2 * STEPS)))
+    """Train on one stream of vocabulary numbers, laid out in lanes (fewer for short streams, so that
+    these too get about ``WINDOWS`` steps)."""
+    lanes = min(LANES, max(1, len(stream) // (WINDOWS * STEPS)))
     length = len(stream) // lanes
     y = stream[:lanes * length].reshape(lanes, length)
     x = np.concatenate((np.full((lanes, 1), end, stream.dtype), y[:, :-1]), axis=1)
@@ -282,7 +306,7 @@ def score_documents(model: dict, docs: list[np.ndarray], end: int) -> np.ndarray
     begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     table = (model["embed"] @ model["wx"] + model["b"]).astype(np.float32)
     h = np.zeros((len(docs), HIDDEN), np.float32)
-    total = np.zeros(len(docs))
+    total, safe = np.zeros(len(docs)), bounded(model)
     t, last = 0, np.full(len(docs), end)
     while t < lengths[0]:
         alive = int(np.searchsorted(-lengths, -t, side="left"))
@@ -298,7 +322,7 @@ def score_documents(model: dict, docs: list[np.ndarray], end: int) -> np.ndarray
             targets.append(now)
             owners.append(np.arange(alive))
             last[:alive] = now
-        logp, _ = output(model, np.concatenate(states), np.concatenate(targets))
+        logp = log_probability(model, np.concatenate(states), np.concatenate(targets), safe)
         total += np.bincount(np.concatenate(owners), weights=logp, minlength=len(docs))
         t += n
     out = np.zeros(len(docs))
@@ -320,8 +344,8 @@ def lm_score(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats, model, log_c = shared.value
         for b in batches:
-            for lo in range(0, b.num_rows, 4096):
-                part = b.slice(lo, 4096)
+            for lo in range(0, b.num_rows, SCORE_DOCS):
+                part = b.slice(lo, SCORE_DOCS)
                 ids, rows = [], []
                 for raw in raw_bytes(part.column(1)):
                     w, ranks = _lookup(raw, stats.rank)
