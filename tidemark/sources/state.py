@@ -232,31 +232,34 @@ class SnapshotStore:
             own = uuid.uuid4().hex
             return self._commit(table, df.withColumn(BUCKET, F.lit(own)), {own}, source)
 
-    def _change(self, table: str, changes: Sequence[DataFrame], source: str | None, merge) -> int | None:
-        """Merge batch-sized ``changes`` into the buckets they touch."""
+    def _change(self, table: str, changes: Sequence[DataFrame], source: str | None, near: DataFrame | None, merge) -> int | None:
+        """Merge batch-sized ``changes`` into the buckets they touch: those of ``near``, a frame that the
+        caller keeps and that has all keys of the changes, else of the changes themselves (kept here)."""
         with self._lock(table):
             if self.applied(table, source):
                 return None
-            held = [c.persist(StorageLevel.MEMORY_AND_DISK) for c in changes]
+            held = [] if near is not None else [c.persist(StorageLevel.MEMORY_AND_DISK) for c in changes]
             try:
-                touched = set().union(*(self._touched(table, c) for c in held))
+                touched = set().union(*(self._touched(table, c) for c in ([near] if near is not None else held)))
                 if not touched and self._folders(table):
                     return None
-                return self._commit(table, merge(self.read(table, held[0].schema, touched), *held), touched, source)
+                return self._commit(table, merge(self.read(table, changes[0].schema, touched), *changes), touched, source)
             finally:
                 for c in held:
                     c.unpersist()
 
-    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> int | None:
-        return self._change(table, [src], source, lambda base, s: merge_insert(base, s, keys))
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
+                         near: DataFrame | None = None) -> int | None:
+        return self._change(table, [src], source, near, lambda base, s: merge_insert(base, s, keys))
 
-    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> int | None:
-        return self._change(table, [src], source, lambda base, s: merge_upsert(base, s, keys))
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
+               near: DataFrame | None = None) -> int | None:
+        return self._change(table, [src], source, near, lambda base, s: merge_upsert(base, s, keys))
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], source: str | None = None) -> int | None:
+                          cols: Sequence[str], source: str | None = None, near: DataFrame | None = None) -> int | None:
         """Insert-if-absent, then NULL-preserving update; one join with the base, one new version."""
-        return self._change(table, [inserts, patches], source,
+        return self._change(table, [inserts, patches], source, near,
                             lambda base, i, p: merge_insert_patch(base, i, p, keys, cols))
 
     def erase(self, table: str, tenants: DataFrame, key: str, source: str | None = None) -> int | None:
@@ -365,14 +368,16 @@ class DeltaStore:
                 return
             build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
 
-    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> None:
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
+                         near: DataFrame | None = None) -> None:
         self._merge(table, src, keys, source, lambda m: m.whenNotMatchedInsertAll())
 
-    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None) -> None:
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
+               near: DataFrame | None = None) -> None:
         self._merge(table, src, keys, source, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], source: str | None = None) -> None:
+                          cols: Sequence[str], source: str | None = None, near: DataFrame | None = None) -> None:
         self.insert_if_absent(table, inserts, keys, source and f"{source}.insert")
         upd = {c: f"coalesce(s.`{c}`, t.`{c}`)" for c in cols}
         self._merge(table, patches, keys, source, lambda m: m.whenMatchedUpdate(set=upd))
