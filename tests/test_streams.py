@@ -3,7 +3,7 @@ import pytest
 from tidemark import fixtures as fx
 from tidemark.plans.workspace import NOW, workspace
 from tidemark.session import fresh_dir
-from tidemark.sources.state import SnapshotStore
+from tidemark.sources.state import Layout, SnapshotStore
 from tidemark.streaming.cdc import cdc_batch
 from conftest import SF_SMALL, rows
 
@@ -63,7 +63,7 @@ def test_erased_rows_leave_the_disk(spark):
 
 
 def test_only_touched_buckets_are_read_and_written(spark):
-    store = SnapshotStore(spark, fresh_dir(spark, "test-buckets"))
+    store = SnapshotStore(spark, fresh_dir(spark, "test-buckets"), {"users": Layout("_id", parts=64)})
     schema = "_id string, organiser_id long, email string"
     store.insert_if_absent("users", spark.createDataFrame([(f"u{i}", 1, "a") for i in range(500)], schema), ["_id"], "cdc.a.0")
     full = store.buckets("users")

@@ -73,15 +73,16 @@ class Layout:
         return (self.group(F.col(self.tenant)) * self.parts + part).cast("string")
 
 
+#: Default buckets: few, as each is a file or more per version; large tables are given more.
 LAYOUTS = {
-    "users": Layout("_id", parts=64),
-    "registrations": Layout("_id", parts=64),
-    "user_registrations": Layout("_id", "organiser_id", 16, 4),
-    "prospects": Layout("prospect_id", "organiser_Id", 16, 4),
-    "contacts": Layout("SF_Id", "organiser_Id", 16, 4),
-    "opportunities": Layout("opportunity_Id", "organiser_Id", 16, 4),
-    "event_agg": Layout("event_id", "organiser_Id", 16, 1),
-    "contacts_batch": Layout("SF_Id", "organiser_Id", 16, 4),
+    "users": Layout("_id", parts=16),
+    "registrations": Layout("_id", parts=16),
+    "user_registrations": Layout("_id", "organiser_id", 8, 2),
+    "prospects": Layout("prospect_id", "organiser_Id", 8, 2),
+    "contacts": Layout("SF_Id", "organiser_Id", 8, 2),
+    "opportunities": Layout("opportunity_Id", "organiser_Id", 8, 2),
+    "event_agg": Layout("event_id", "organiser_Id", 8, 1),
+    "contacts_batch": Layout("SF_Id", "organiser_Id", 8, 2),
 }
 
 
