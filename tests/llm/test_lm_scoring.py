@@ -113,3 +113,12 @@ def test_training_learns_a_repeating_text():
     before = lm.score_documents(model, [stream[:80]], 7)[0]
     lm.train_stream(model, stream, 7, {k: np.full_like(v, 1e-6) for k, v in model.items()})
     assert lm.score_documents(model, [stream[:80]], 7)[0] > before / 4
+
+
+def test_every_training_document_reaches_the_weights(spark):
+    text = "the cat sat on the mat and the dog sat on the cat " * 20
+    for i in range(8):
+        training = spark.createDataFrame([(i, text)], "doc_id bigint, text string")
+        stats = lm.statistics(lm.word_counts(training))
+        start, model = lm.initial_model(stats), lm.train(training, stats)
+        assert any(not np.allclose(model[k], start[k], atol=1e-4) for k in ("wh", "wx", "wc")), i

@@ -7,9 +7,8 @@ by a shuffled join.
 
 The model is a gated recurrent unit over the ``VOCABULARY`` most frequent words, with a softmax factored into
 word classes by frequency rank. Its output biases start at the words' training frequencies. Every task
-trains a copy on its share of the training documents (one in ``TRAIN_ONE_IN`` by hash, so training grows with the
-corpus) by truncated backpropagation in numpy over windows of ``STEPS`` tokens, the state being carried from
-window to window; Spark averages the copies, weighted by tokens. A word outside the vocabulary costs the unknown
+trains a copy on its share of the training documents (no document is left out) by truncated backpropagation in
+numpy over windows of ``STEPS`` tokens, the state being carried from window to window; Spark averages the copies, weighted by tokens. A word outside the vocabulary costs the unknown
 word's probability times its share (c + 1) / (tokens + words + 1) of the rest.
 
 Scoring runs the documents of a batch side by side; their state is carried across windows from the first word
@@ -39,7 +38,6 @@ HEAD_SHARE = 1 << 17
 CLASSES, PER_CLASS = 64, 64
 VOCABULARY = CLASSES * PER_CLASS
 EMBED, HIDDEN = 16, 24
-TRAIN_ONE_IN = 16
 LANES, WINDOWS, STEPS, RATE = 128, 48, 32, 0.1
 CHUNK_TOKENS = 1 << 17
 SCORE_TOKENS, SCORE_DOCS = 1 << 16, 10_000
@@ -287,9 +285,8 @@ def train(training: DataFrame, stats: Statistics) -> dict[str, np.ndarray]:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(np.arange(i, i + len(part), dtype=np.int32)),
                                                       pa.array(part), pa.array(np.full(len(part), seen))], names=["name", "at", "value", "weight"])
 
-    share = training.filter(F.pmod(F.xxhash64(F.lit("model"), "doc_id"), F.lit(TRAIN_ONE_IN)) == 0).select(F.col("text").cast("string"))
     # the sums are bounded by the model's size
-    sums = (map_arrow(share, run, "name string, at int, value double, weight bigint").groupBy("name", "at")
+    sums = (map_arrow(training.select(F.col("text").cast("string")), run, "name string, at int, value double, weight bigint").groupBy("name", "at")
             .agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas())
     model = {k: v.copy() for k, v in start.items()}
     for name, part in sums.groupby("name"):
