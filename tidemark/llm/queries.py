@@ -9,6 +9,7 @@ from tidemark.llm.chat import chat_format
 from tidemark.llm.common import read_table
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.fill_middle import fill_middle, restore
 from tidemark.llm.language_id import language_id
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.line_dedup import line_dedup
@@ -64,9 +65,15 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (fill_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                    F.sha2(restore(), 256).alias("restored_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_license_scan, op4_chat_formatting, op5_language_id, op6_lm_scoring, op7_warc_revisits,
-    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup)}
+    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup, op12_fill_middle)}
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
@@ -117,4 +124,17 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, source, size, source_size, target,
                (size * (passes + CASE WHEN upto <= target - passes * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM x""",
+    "op12_fill_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        g AS (SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+                     ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+        c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+        p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                                WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p""",
 }
