@@ -16,6 +16,7 @@ from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.lm_scoring import lm_score
 from tidemark.llm.mixing import mix
 from tidemark.llm.simhash import simhash_dedup
+from tidemark.llm.url_filter import ALLOW, BLOCK, Rule, url_filter
 from tidemark.llm.warc import ALPHABET, read_archives, write_archives
 from tidemark.session import fresh_dir
 
@@ -71,9 +72,19 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(restore(), 256).alias("restored_sha256")))
 
 
+#: Fixed values of the rules.
+URL_RULES = (Rule("org", "/", ALLOW), Rule("example.org", "/es/", BLOCK), Rule("example.org", "/en/1", BLOCK), Rule("com", "/fr/", ALLOW),
+             Rule("com", "/de/", BLOCK))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_filter(read_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+            .select("page_id", "host", "path", "rule", "verdict", "score"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_license_scan, op4_chat_formatting, op5_language_id, op6_lm_scoring, op7_warc_revisits,
-    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup, op12_fill_middle)}
+    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup, op12_fill_middle, op13_url_filters)}
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
