@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import chat_format
-from tidemark.llm.common import read_table
+from tidemark.llm.common import read_table, stage
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.fill_middle import fill_middle, restore
@@ -15,6 +15,7 @@ from tidemark.llm.license_scan import license_scan
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.lm_scoring import lm_score
 from tidemark.llm.mixing import mix
+from tidemark.llm.prefix_trie import light, placed, trie
 from tidemark.llm.simhash import simhash_dedup
 from tidemark.llm.url_filter import ALLOW, BLOCK, Rule, url_filter
 from tidemark.llm.warc import ALPHABET, read_archives, write_archives
@@ -66,6 +67,24 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def rebuilt(turns: DataFrame, block: int = 100, most: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Conversations rebuilt from ``placed`` turns: the first h turns of the block's first one, then the
+    own turns after the first h. Returns their turns and the ids of all of them."""
+    ids = turns.groupBy("conv_id").agg(F.count("*").alias("own")).withColumns(
+        {"h": F.crc32(F.col("conv_id").cast("string")) % most, "base": F.col("conv_id") - F.col("conv_id") % block})
+    heads = (turns.filter((F.col("conv_id") % block == 0) & (F.col("place") < most - 1)).groupBy(F.col("conv_id").alias("base"))
+             .agg(F.sort_array(F.collect_list(F.struct("place", "digest", "chars"))).alias("first")))     # at most most - 1 entries
+    ids = stage(ids.join(heads, "base", "left").withColumn("taken", F.filter(F.coalesce("first", F.array()), lambda x: x["place"] < F.col("h")))
+                .select("conv_id", "h", "taken"), "rebuilt-ids")
+    own = (turns.join(ids.select("conv_id", "h", F.size("taken").alias("n_taken")), "conv_id").filter("place >= h")
+           .select("conv_id", (F.col("place") - F.col("h") + F.col("n_taken")).alias("place"), "digest", "chars"))
+    return ids.select("conv_id", F.inline("taken")).unionByName(own), ids.select("conv_id")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(*rebuilt(placed(light(read_table(spark, sf_dir, "conversations")))))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (fill_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
             .select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -84,7 +103,7 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_license_scan, op4_chat_formatting, op5_language_id, op6_lm_scoring, op7_warc_revisits,
-    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup, op12_fill_middle, op13_url_filters)}
+    op8_source_mixing, op9_benchmark_decontamination, op10_simhash_dedup, op11_prefix_trie, op12_fill_middle, op13_url_filters)}
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
@@ -135,6 +154,29 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, source, size, source_size, target,
                (size * (passes + CASE WHEN upto <= target - passes * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM x""",
+    "op11_prefix_trie": """
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+                          md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT conv_id, m, length(text)::BIGINT AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m) - 1 AS place FROM t),
+        c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, conv_id::VARCHAR AS digits FROM o),
+        h AS (SELECT conv_id, base, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(digits) + 1), lambda i: ord(substr(digits, i::INT, 1))::BIGINT)),
+                     lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                              lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 6 AS h FROM c),
+        r AS (SELECT h.conv_id, o.m, o.chars, 0 AS own, place FROM h JOIN o ON o.conv_id = h.base AND o.place < h.h
+              UNION ALL SELECT h.conv_id, o.m, o.chars, 1, place FROM h JOIN o ON o.conv_id = h.conv_id AND o.place >= h.h),
+        w AS (SELECT conv_id, chars, row_number() OVER p AS depth, md5(string_agg(m, '') OVER p) AS key FROM r WINDOW p AS (PARTITION BY conv_id ORDER BY own, place)),
+        k AS (SELECT conv_id, chars, depth, key FROM w UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+        l AS (SELECT conv_id, chars, depth, key, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+                     depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM k),
+        n AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, any_value(parent) AS parent,
+                     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256 FROM l GROUP BY depth, key),
+        f AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n AS x WHERE x.depth = n.depth + 1 AND x.parent = n.key) AS n_children
+              FROM n LEFT JOIN n AS p ON p.key = n.parent AND p.depth = n.depth - 1),
+        s AS (SELECT l.depth, l.key, sum((f.n_convs - 1) * f.chars) AS saved, count(*) FILTER (WHERE f.n_children = 0) AS leaves
+              FROM f JOIN l ON l.conv_id = f.conv_id AND l.depth <= f.depth GROUP BY l.depth, l.key)
+        SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, f.ends_sha256
+        FROM f JOIN s ON s.depth = f.depth AND s.key = f.key""",
     "op12_fill_middle": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
         g AS (SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
