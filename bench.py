@@ -2,7 +2,7 @@
 
 Each step is computed from its stored inputs (Kafka-shaped message tables and
 current-state tables, written once in a setup phase), exactly as the streaming
-job runs it, and fully executed (noop sink, or the real snapshot writes for the
+job runs it, and fully executed (noop sink, or the real state writes for the
 stream runs). Stream input is written outside the timed region. Prints one JSON line, with
 the shuffle and spill megabytes of each step (all its repeats) from the event log.
 
@@ -36,7 +36,7 @@ from tidemark.plans.crm import recompute  # noqa: E402
 from tidemark.plans.workspace import FUNNEL_CONF, NOW, workspace  # noqa: E402
 from tidemark.session import build_session, fresh_dir  # noqa: E402
 from tidemark.sources.kafka import StreamConf, kafka_record, read_changes  # noqa: E402
-from tidemark.sources.state import SnapshotStore  # noqa: E402
+from tidemark.sources.state import ParquetStore  # noqa: E402
 
 
 def run(df) -> None:
@@ -80,7 +80,7 @@ def main() -> None:
 
     def cdc_batch():
         # the change stream's foreachBatch body on one batch holding every message
-        store = SnapshotStore(spark, fresh_dir(spark, "bench-cdc"))
+        store = ParquetStore(spark, fresh_dir(spark, "bench-cdc"))
         cdc_batch_fn(store, now=NOW)(cdc_msgs.drop("file_no"), 0)
 
     def crm_ingest():
@@ -93,7 +93,7 @@ def main() -> None:
         run(event_funnel(contacts, registrations_for_attribution(regs), NOW, FUNNEL_CONF.unattributed))
 
     def flagship_chain():
-        store = SnapshotStore(spark, fresh_dir(spark, "bench-chain"))
+        store = ParquetStore(spark, fresh_dir(spark, "bench-chain"))
         store.put("prospects", prepare_prospects(decode_prospects(kafka_record(crm_msgs.drop("batch_no"))), NOW))
         r = recompute(store.read("prospects"), regs, rates, NOW, None, FUNNEL_CONF)
         store.put("contacts", r.contacts)
@@ -105,7 +105,7 @@ def main() -> None:
         """Three files, each drained by its own run; returns the seconds of the runs alone."""
         root = fresh_dir(spark, "bench-stream-cdc")
         source = StreamConf(format="parquet", path=f"{root}/in")
-        fn, took = cdc_batch_fn(SnapshotStore(spark, f"{root}/state"), now=NOW), 0.0
+        fn, took = cdc_batch_fn(ParquetStore(spark, f"{root}/state"), now=NOW), 0.0
         for i in range(3):
             cdc_msgs.filter(F.col("file_no") == i).drop("file_no").write.mode("append").parquet(source.path)
             t = time.time()
@@ -116,7 +116,7 @@ def main() -> None:
     def stream_sync():
         """Two notice batches through the gate; returns the seconds of the runs alone."""
         root = fresh_dir(spark, "bench-stream-sync")
-        store, took = SnapshotStore(spark, f"{root}/state"), 0.0
+        store, took = ParquetStore(spark, f"{root}/state"), 0.0
         store.put("user_registrations", regs)
         crm_msgs.drop("batch_no").write.parquet(f"{root}/crm_in")
         for i in range(2):

@@ -29,19 +29,29 @@ def test_several_rates_for_a_pair_need_an_order(spark):
         usable_rates(rates.filter("day = 1"), max_rate_rows=0)
 
 
-def test_rows_that_are_not_kept_are_rejects(spark):
-    """Counts in = rows kept + rejects, for payloads and for change documents."""
-    from tidemark.operators.decode import decode_registration_inserts, decode_users, rejected_changes
-    from tidemark.operators.prospects import keep_valid, rejects
-    p = spark.createDataFrame([(1, "a"), (None, "b"), (2, None), (None, None)], "organiser_Id long, prospect_id string")
-    assert keep_valid(p).count() + rejects(p).count() == 4
+def test_every_message_is_kept_ruled_out_or_rejected(spark):
+    """Counts in = kept + ruled out + rejected, for each decoder."""
+    from tidemark.operators.decode import dead_letters, fate_counts, prospect_fates, registration_insert_fates, sync_fates, user_fates
     env = "topic string, partition int, offset long, db string, collection string, ts_ms long, _id string, after string, v string, set_doc string"
-    doc = '{"_id":{"$oid":"%s"},"email":"e","organiser_id":"%s","firstName":"f","lastName":"l"}'
-    df = spark.createDataFrame([("t", 0, 1, "d", "c", 1, None, doc % ("a", "7"), None, None), ("t", 0, 2, "d", "c", 1, None, doc % ("b", "acme"), None, None),
-                                ("t", 0, 3, "d", "c", 1, "x", None, None, '{"organiser_id":"acme"}')], env)
-    bad = rejected_changes(df)
-    assert decode_users(df).count() == decode_registration_inserts(df).count() == 1
-    assert rows(bad, "offset", "organiser_id") == [(2, "acme"), (3, "acme")]
+    doc = '{"_id":{"$oid":"%s"},"email":"e","organiser_id":%s,"firstName":"f","lastName":"l","event_id":%s}'
+    texts = [doc % ("a", '"7"', 1), doc % ("b", '"acme"', 1), doc % ("c", '"7"', '"x"'), "{broken", doc % ("d", "null", 1)]
+    df = spark.createDataFrame([("t", 0, i, "d", "c", 1, None, t, None, None) for i, t in enumerate(texts)], env)
+    assert rows(fate_counts(registration_insert_fates(df)), "fate", "reason", "n") == [
+        ("kept", "a field of another type", 1), ("kept", None, 1), ("rejected", "tenant id is not a number", 1), ("rejected", "unreadable document", 1),
+        ("ruled out", "no tenant", 1)]
+    assert rows(dead_letters(user_fates(df)), "offset", "reason", "value") == [(1, "tenant id is not a number", texts[1]), (3, "unreadable document", "{broken")]
+    rec = [None, "", "{broken", "[]", "null", "{}", '{"data":{}}', '{"data":{"organiserId":3}}', '{"data":{"organiserId":3,"leadDetails":{"Id":"l","CreatedDate":"soon"}}}']
+    df = spark.createDataFrame([("t", 0, i, t) for i, t in enumerate(rec)], "topic string, partition int, offset long, value string")
+    got = {r["offset"]: (r["fate"], r["reason"]) for r in prospect_fates(df).collect()}
+    assert [got[i] for i in (0, 1, 2, 4, 5, 6, 7, 8)] == [("rejected", "no value")] * 2 + [("rejected", "unreadable payload")] * 3 + [
+        ("rejected", "no tenant"), ("rejected", "no lead or opportunity id"), ("kept", "unreadable time")]
+    assert got[3][0] == "rejected" and prospect_fates(df).filter("offset = 8").first()["unread_times"] == 1
+    notices = [None, "{", '{"context":{"oId":"x","action":"%s"}}' % ACTION_FETCHED, '{"context":{"action":"%s"}}' % ACTION_DISABLED,
+               '{"context":{"oId":"x","action":"other"}}', '{"context":{"oId":"4","action":"%s"}}' % ACTION_FETCHED]
+    df = spark.createDataFrame([("t", 0, i, t) for i, t in enumerate(notices)], "topic string, partition int, offset long, value string")
+    assert [(r["fate"], r["reason"]) for r in sync_fates(df).orderBy("offset").collect()] == [
+        ("rejected", "no value"), ("rejected", "unreadable notice"), ("rejected", "tenant id is not a number"), ("rejected", "no tenant"),
+        ("ruled out", "other action"), ("kept", None)]
 
 
 def test_a_new_run_does_not_overwrite_an_old_one(spark):

@@ -50,6 +50,21 @@ def test_parse_time_extra_pattern(spark):
     assert r["t"] == 907372800
 
 
+TIMES = [("2021-03-03T16:05:07.000+0000", 1614787507), ("2021-03-03", 1614729600), ("1614787507", 1614787507), ("1614787507123", 1614787507),
+         ("1614787507.5", 1614787507), ("Wed, 03 Mar 2021 16:05:07 +0000", 1614787507), ("Wed, 3 Mar 2021 16:05:07 GMT", 1614787507),
+         ("Wed, 03 Mar 2021 18:05:07 +0200", 1614787507), ("Mar 3, 2021 4:05 PM", 1614787500), ("March 3, 2021 4:05pm", 1614787500),
+         ("Mar 3 2021 16:05", 1614787500), ("March 3, 2021", 1614729600), ("03/03/2021 16:05", 1614787500), ("3/3/2021 4:05 PM", 1614787500),
+         ("25/12/2021", 1640390400), ("2021/3/3 16:05:07", 1614787507), ("2021-03-03 4:05 PM", 1614787500), ("3.3.2021 16:05", 1614787500),
+         ("20210303T160507Z", 1614787507), ("3 March 2021 16:05", 1614787500), (" 2021-03-03 16:05 ", 1614787500), ("n/a", None), ("", None),
+         ("13/13/2021", None), ("Foo 3, 2021", None), (None, None), ("99999999999", None), ("2021-02-30", None)]
+
+
+def test_time_forms(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(TIMES)], "i int, t string")
+    got = df.select("i", F.unix_timestamp(parse_time("t")).alias("s")).orderBy("i").collect()
+    assert [(TIMES[r["i"]][0], r["s"]) for r in got] == TIMES
+
+
 def test_latest_stage_handles_null_empty_and_null_dates(spark):
     schema = "h array<struct<CreatedDate:date,StageName:string>>"
     df = spark.createDataFrame([(None,), ([],), ([(None, "B"), (None, "A")],),

@@ -2,7 +2,7 @@ import json
 
 from tidemark.operators.decode import decode_prospects
 from tidemark.operators.prospects import (
-    contact_rows, lead_contact_union, prepare_prospects, rejects, with_latest_stage, with_prospect_key,
+    contact_rows, lead_contact_union, prepare_prospects, with_latest_stage, with_prospect_key,
 )
 from tidemark.schemas import KAFKA_RECORD
 from tidemark.sources.kafka import kafka_record
@@ -39,11 +39,9 @@ def test_contacts_null_and_empty_give_no_rows(spark):
     assert [(r["SF_Id"], r["prospect_id"]) for r in contact_rows(p).collect()] == [("C1", "OP3")]
 
 
-def test_rejects_and_tenant_scoped_key(spark):
+def test_tenant_scoped_key(spark):
     d = decoded(spark, [msg(opp=None), msg(org=None), msg(org=1, opp="S", ts=1), msg(org=2, opp="S", ts=2),
                         msg(org=1, opp="S", ts=3)])
-    keyed = with_prospect_key(d)
-    assert sorted(r["reject_reason"] for r in rejects(keyed).collect()) == ["no lead or opportunity id", "no tenant"]
     kept = prepare_prospects(d, 0)
     assert sorted((r["organiser_Id"], r["record_timeStamp"]) for r in kept.collect()) == [(1, 3), (2, 2)]
     legacy = prepare_prospects(d, 0, legacy_key=True)

@@ -282,3 +282,35 @@ def sync_messages(spark: SparkSession, d: str) -> DataFrame:
     off = F.col("oId").cast("bigint") * 2 + F.col("copy")
     return n.select(*_record(F.col("oId"), value, SYNC_TOPIC, 0, off, F.lit(0).cast("bigint")),
                     (F.col("copy") - 1).alias("batch_no"))
+
+
+# Damaged messages and time texts --------------------------------------------------------
+
+def damaged(messages: DataFrame) -> DataFrame:
+    """``messages`` of which some, by offset, cannot be read: cut in half, without value, not an object, a tenant that is
+    no number, broken inner documents, a field of another type."""
+    text, k = F.col("value").cast("string"), F.col("offset") % 97
+    changed = (F.when(k == 5, F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))).when(k == 6, F.lit(None))
+               .when(k == 7, F.lit('"text"'))
+               .when(k == 8, F.regexp_replace(F.regexp_replace(F.regexp_replace(
+                   text, r'organiser_id\\":(\\")?[0-9]+(\\")?', r'organiser_id\\":\\"acme\\"'), '"oId":"[0-9]+"', '"oId":"acme"'),
+                   '"organiserId":[0-9]+', '"organiserId":null'))
+               .when(k == 9, F.regexp_replace(F.replace(text, F.lit('"after":"{'), F.lit('"after":"{{')), '"organiserId":[0-9]+', '"organiserId":"x"'))
+               .when(k == 10, F.regexp_replace(F.replace(text, F.lit('"patch":"{'), F.lit('"patch":"{{')), '"Amount":[0-9.E]+', '"Amount":"much"'))
+               .when(k == 11, F.replace(text, F.lit('"filter":"{'), F.lit('"filter":"{{'))).otherwise(text))
+    return messages.withColumn("value", changed.cast("binary"))
+
+
+#: How times are written by form number (order key modulo their number); the last is no time.
+TIME_TEXTS = ("yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'", "EEE, dd MMM yyyy HH:mm:ss '+0000'", "MMM d, yyyy h:mm a", "MMMM d, yyyy", "seconds", "milliseconds",
+              "M/d/yyyy H:mm", "yyyy/MM/dd HH:mm:ss", "dd.MM.yyyy HH:mm", "yyyyMMdd'T'HHmmss'Z'", "yyyy-MM-dd h:mm a", "EEEE, d MMM yyyy HH:mm:ss 'GMT'", "none")
+
+
+def time_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Each order's date, some seconds into the day, as text in one of the forms."""
+    k = F.col("o_orderkey")
+    at = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + k % 86_400)
+    texts = {"seconds": F.unix_timestamp(at).cast("string"), "milliseconds": F.unix_millis(at).cast("string"), "none": F.lit("n/a")}
+    form = k % len(TIME_TEXTS)
+    text = F.coalesce(*[F.when(form == i, texts[f] if f in texts else F.date_format(at, f)) for i, f in enumerate(TIME_TEXTS)])
+    return table(spark, d, "orders").select("o_orderkey", form.alias("form"), text.alias("text"))

@@ -1,68 +1,138 @@
-"""JSON messages -> typed columns (change envelopes, CRM prospects, sync notices)."""
+"""JSON messages -> typed columns (change envelopes, CRM prospects, sync notices).
+
+Each decoder has a ``..._fates`` form that returns every message with its ``fate``: ``kept``, ``ruled out`` (by the
+rule that ``reason`` names) or ``rejected`` (it could not be read, ``reason`` says why and ``value`` holds the
+text). A kept message of which a part could not be read has a reason too. ``dead_letters`` collects what
+was not read, and the plain decoders return the kept rows alone."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.functions.scalars import parse_time
+from tidemark.functions.scalars import any_not_null, parse_time
+
+KEPT, RULED_OUT, REJECTED = "kept", "ruled out", "rejected"
+CORRUPT = "_corrupt_record"
+NO_VALUE, PARTLY_READ, BAD_TENANT = "no value", "a field of another type", "tenant id is not a number"
+EMPTY_CHANGE = "empty change"
+DEAD_LETTER_COLUMNS = ["topic", "partition", "offset", "decoder", "reason", "kept", "organiser_Id", "value"]
 
 
 def parse_once(df: DataFrame, keep: list, docs: dict) -> DataFrame:
     """Select ``keep`` plus one struct column per ``docs`` entry (alias -> (json
-    column, schema)), each JSON document parsed exactly once per row.
+    column, schema)), each JSON document parsed exactly once per row. The struct also has
+    ``_corrupt_record``: the text where it, or a field of it, could not be read.
 
     A plain projection of ``from_json`` lets the optimizer push later filters
     below it and substitute every field reference with its own (pruned)
     ``from_json`` call, so a filter on ten fields parses the text ten more times.
     Producing the parsed structs from a generator (``inline`` of a one-element
     array) keeps predicates on them above the parse."""
-    parsed = F.struct(*[F.from_json(c, schema).alias(alias) for alias, (c, schema) in docs.items()])
+    def flagged(schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+    parsed = F.struct(*[F.from_json(c, flagged(schema)).alias(alias) for alias, (c, schema) in docs.items()])
     return df.select(*keep, F.inline(F.array(parsed)))
 
 
-def decode_envelope(rec: DataFrame) -> DataFrame:
+def _unread(text: str | Column, doc: str, must: Column) -> Column:
+    """A text that is there but has nothing of what is needed."""
+    text = F.col(text) if isinstance(text, str) else text
+    return text.isNotNull() & (F.col(doc).isNull() | (F.col(doc)[CORRUPT].isNotNull() & must.isNull()))
+
+
+def _judge(df: DataFrame, keep: list, decoder: str, rejects: list[tuple], rules: list[tuple] = (), notes: list[tuple] = (),
+           value: str = "value") -> DataFrame:
+    """``keep`` of ``df`` plus decoder, fate and reason; ``value`` where there is something to report."""
+    def first(pairs) -> Column:
+        return reduce(lambda acc, p: acc.when(p[0], F.lit(p[1])), pairs, F.when(F.lit(False), F.lit(None).cast("string")))
+
+    bad, ruled, noted = first(rejects), first(rules), first(notes)
+    fate = F.when(bad.isNotNull(), REJECTED).when(ruled.isNotNull(), RULED_OUT).otherwise(KEPT)
+    return df.select(*keep, F.lit(decoder).alias("decoder"), fate.alias("fate"), F.coalesce(bad, ruled, noted).alias("reason"),
+                     F.when(bad.isNotNull() | (ruled.isNull() & noted.isNotNull()), F.col(value)).alias("value"))
+
+
+def kept(fates: DataFrame) -> DataFrame:
+    return fates.filter(F.col("fate") == KEPT)
+
+
+def dead_letters(*fates: DataFrame) -> DataFrame:
+    """What could not be read, wholly (``kept`` false) or in part (the rest is in the tables)."""
+    def shape(df: DataFrame) -> DataFrame:
+        tenant = next((c for c in df.columns if c.lower() == "organiser_id"), None)
+        found = df.filter((F.col("fate") == REJECTED) | ((F.col("fate") == KEPT) & F.col("reason").isNotNull()))
+        return found.select("topic", "partition", "offset", "decoder", "reason", (F.col("fate") == KEPT).alias("kept"),
+                            (F.col(tenant) if tenant else F.lit(None)).cast("bigint").alias("organiser_Id"), "value")
+    return reduce(DataFrame.unionByName, map(shape, fates))
+
+
+def envelope_fates(rec: DataFrame) -> DataFrame:
     """Two-step decode of a change record: the payload's inner documents are JSON text.
 
-    Output: topic, partition, offset, db, collection, ts_ms, _id (filter id as JSON
+    Columns: topic, partition, offset, db, collection, ts_ms, _id (filter id as JSON
     text), after (document JSON), v and set_doc (the patch's ``$v`` and ``$set``)."""
-    d = parse_once(rec, ["topic", "partition", "offset"], {"m": ("value", S.ENVELOPE)})
-    d = parse_once(d, ["topic", "partition", "offset", F.col("m.payload.after").alias("after")],
+    at = ["topic", "partition", "offset", "value"]
+    d = parse_once(rec, at, {"m": ("value", S.ENVELOPE)})
+    d = parse_once(d, [*at, F.col("m.payload").isNotNull().alias("read"), F.col("m.payload.after").alias("after"),
+                       F.col("m.payload.filter").alias("filter_text"), F.col("m.payload.patch").alias("patch_text")],
                    {"src": (F.col("m.payload.source"), S.SOURCE), "flt": (F.col("m.payload.filter"), S.FILTER),
                     "pat": (F.col("m.payload.patch"), S.PATCH)})
-    return d.select(
-        "topic", "partition", "offset",
-        F.col("src.db").alias("db"), F.col("src.collection").alias("collection"), F.col("src.ts_ms").alias("ts_ms"),
-        F.col("flt._id").alias("_id"), "after", F.col("pat")["$v"].alias("v"), F.col("pat")["$set"].alias("set_doc"))
+    df = d.select(
+        *at, F.col("src.db").alias("db"), F.col("src.collection").alias("collection"), F.col("src.ts_ms").alias("ts_ms"),
+        F.col("flt._id").alias("_id"), "after", F.col("pat")["$v"].alias("v"), F.col("pat")["$set"].alias("set_doc"),
+        "read", _unread("filter_text", "flt", F.col("flt._id")).alias("bad_filter"),
+        _unread("patch_text", "pat", F.col("pat")["$set"]).alias("bad_patch"))
+    blank = F.col("value").isNull() | (F.trim("value") == "")
+    return _judge(df, ENVELOPE_COLUMNS, "envelope", [(blank, NO_VALUE), (~F.col("read"), "unreadable envelope"),
+                                   (F.col("collection").isNull(), "unreadable source"),
+                                   (F.col("bad_filter"), "unreadable filter"),
+                                   (F.col("bad_patch"), "unreadable patch")])
+
+
+ENVELOPE_COLUMNS = ["topic", "partition", "offset", "db", "collection", "ts_ms", "_id", "after", "v", "set_doc"]
+
+
+def decode_envelope(rec: DataFrame) -> DataFrame:
+    """Every record; what could not be read has NULL fields (``envelope_fates`` tells why)."""
+    return envelope_fates(rec).select(*ENVELOPE_COLUMNS)
 
 
 def route(env: DataFrame, collection: str) -> DataFrame:
     return env.filter(F.col("collection") == F.lit(collection))
 
 
-def decode_users(env: DataFrame) -> DataFrame:
-    """User inserts (documents with ``after``); e-mail and tenant are mandatory.
+_PLACE = ["topic", "ts_ms", "partition", "offset"]
+def user_fates(env: DataFrame) -> DataFrame:
+    """User documents: e-mail and tenant are mandatory; changes without a document are ignored.
 
     The tenant id is normalised to bigint here, once."""
-    d = parse_once(env.filter(F.col("after").isNotNull()), ["ts_ms", "partition", "offset"],
-                   {"d": ("after", S.USER_DOC)})
-    return (d.select(F.col("d._id")["$oid"].alias("_id"),
-                    F.col("d.organiser_id").try_cast("bigint").alias("organiser_id"),
-                    F.col("d.email").alias("email"), "ts_ms", "partition", "offset")
-            .filter(F.col("organiser_id").isNotNull() & F.col("email").isNotNull()))
+    d = parse_once(env, [*_PLACE, "after"], {"d": ("after", S.USER_DOC)})
+    tenant = F.col("d.organiser_id")
+    df = d.select(*_PLACE, "after", F.col("d._id")["$oid"].alias("_id"), tenant.try_cast("bigint").alias("organiser_id"),
+                  F.col("d.email").alias("email"), tenant.isNull().alias("no_tenant"),
+                  _unread("after", "d", F.col("d._id")["$oid"]).alias("unread"), F.col("d")[CORRUPT].isNotNull().alias("partly"))
+    return _judge(df, [*_PLACE, "_id", "organiser_id", "email"], "users", [(F.col("unread"), "unreadable document"),
+                                (~F.col("no_tenant") & F.col("organiser_id").isNull(), BAD_TENANT)],
+                  [(F.col("after").isNull(), "no document"), (F.col("no_tenant"), "no tenant"), (F.col("email").isNull(), "no e-mail")],
+                  [(F.col("partly"), PARTLY_READ)], "after")
+
 
+def users_of(fates: DataFrame) -> DataFrame:
+    return kept(fates).select("_id", "organiser_id", "email", "ts_ms", "partition", "offset")
 
-def rejected_changes(env: DataFrame) -> DataFrame:
-    """Changes whose tenant id is not a number, with their documents (side output). Inserts among
-    them do not enter the tables; patches do, without the tenant."""
-    tenant = F.coalesce(F.get_json_object("after", "$.organiser_id"), F.get_json_object("set_doc", "$.organiser_id"))
-    return (env.filter(F.coalesce("after", "set_doc").contains("organiser_id")).withColumn("organiser_id", tenant)
-            .filter(F.col("organiser_id").isNotNull() & F.col("organiser_id").try_cast("bigint").isNull())
-            .select("topic", "partition", "offset", "collection", "ts_ms", "_id", "after", "set_doc", "organiser_id",
-                    F.lit("tenant id is not a number").alias("reject_reason")))
+
+def decode_users(env: DataFrame) -> DataFrame:
+    return users_of(user_fates(env))
+
+
+_CHANGE = ["_id", *S.REGISTRATION_FIELDS, "ts_ms", "partition", "offset", "OPS"]
 
 
 def _registration_cols(d: str):
@@ -76,46 +146,70 @@ def _registration_cols(d: str):
             F.col(f"{d}.userId")["$oid"].alias("userId")]
 
 
-def decode_registration_inserts(env: DataFrame, max_name_len: int = 264,
-                                allow_null_names: bool = False) -> DataFrame:
-    """Registration documents from ``after``; tagged ``OPS='INSERT'``.
-
-    Rows need a tenant and names of at most ``max_name_len`` characters; a NULL name
-    fails the length test and drops the row unless ``allow_null_names``."""
-    d = parse_once(env.filter(F.col("after").isNotNull()), ["ts_ms", "partition", "offset"],
-                   {"d": ("after", S.REGISTRATION_DOC)})
-    df = d.select(F.col("d._id")["$oid"].alias("_id"), *_registration_cols("d"), "ts_ms", "partition", "offset")
+def registration_insert_fates(env: DataFrame, max_name_len: int = 264, allow_null_names: bool = False) -> DataFrame:
+    """Registration documents from ``after``. Rows need a tenant and names of at most ``max_name_len``
+    characters; a NULL name fails the length test and rules the row out unless ``allow_null_names``."""
+    d = parse_once(env.filter(F.col("after").isNotNull()), [*_PLACE, "after"], {"d": ("after", S.REGISTRATION_DOC)})
+    df = d.select(F.col("d._id")["$oid"].alias("_id"), *_registration_cols("d"), *_PLACE, "after", F.lit("INSERT").alias("OPS"),
+                  F.col("d.organiser_id").isNull().alias("no_tenant"),
+                  _unread("after", "d", F.col("d._id")["$oid"]).alias("unread"), F.col("d")[CORRUPT].isNotNull().alias("partly"))
 
     def ok(c):
-        good = F.length(c) <= max_name_len
-        return (good | c.isNull()) if allow_null_names else good
+        return F.coalesce(F.length(c) <= max_name_len, F.lit(allow_null_names))
 
-    return (df.filter(F.col("organiser_id").isNotNull() & ok(F.col("firstName")) & ok(F.col("lastName")))
-            .withColumn("OPS", F.lit("INSERT")))
+    return _judge(df, ["topic", *_CHANGE], "registrations", [(F.col("unread"), "unreadable document"),
+                                        (~F.col("no_tenant") & F.col("organiser_id").isNull(), BAD_TENANT)],
+                  [(F.col("no_tenant"), "no tenant"), (~(ok("firstName") & ok("lastName")), "name missing or too long")],
+                  [(F.col("partly"), PARTLY_READ)], "after")
 
 
-def decode_registration_patches(env: DataFrame) -> DataFrame:
-    """Patches (no ``after``): id from the filter document, fields from ``$set``;
-    tagged ``OPS='UPDATE'``. Deletes and unset-only patches decode to all-NULL fields."""
-    d = parse_once(env.filter(F.col("after").isNull()), ["ts_ms", "partition", "offset"],
+def changes_of(fates: DataFrame) -> DataFrame:
+    """Registration changes that were not ruled out or rejected, but for patches without a known field
+    (``drop_empty`` rules those out)."""
+    return fates.filter((F.col("fate") == KEPT) | ((F.col("fate") == RULED_OUT) & (F.col("reason") == EMPTY_CHANGE))).select(*_CHANGE)
+
+
+def decode_registration_inserts(env: DataFrame, max_name_len: int = 264, allow_null_names: bool = False) -> DataFrame:
+    """Kept registration documents, tagged ``OPS='INSERT'``."""
+    return changes_of(registration_insert_fates(env, max_name_len, allow_null_names))
+
+
+def registration_patch_fates(env: DataFrame) -> DataFrame:
+    """Patches (no ``after``): id from the filter document, fields from ``$set``.
+    Deletes and patches without a known field change nothing."""
+    d = parse_once(env.filter(F.col("after").isNull()), [*_PLACE, F.col("_id").alias("id_text"), "set_doc"],
                    {"f": ("_id", S.OID), "d": ("set_doc", S.REGISTRATION_DOC)})
-    return (d.select(F.col("f")["$oid"].alias("_id"), *_registration_cols("d"),
-                    "ts_ms", "partition", "offset")
-            .withColumn("OPS", F.lit("UPDATE")))
+    fields = _registration_cols("d")
+    df = d.select(F.col("f")["$oid"].alias("_id"), *fields, *_PLACE, "set_doc", F.lit("UPDATE").alias("OPS"),
+                  _unread("id_text", "f", F.col("f")["$oid"]).alias("bad_id"),
+                  F.col("d")[CORRUPT].isNotNull().alias("partly"),
+                  (F.col("d.organiser_id").isNotNull() & F.col("d.organiser_id").try_cast("bigint").isNull()).alias("bad_tenant"))
+    some = any_not_null(S.REGISTRATION_FIELDS)
+    return _judge(df, ["topic", *_CHANGE], "patches", [(F.col("bad_id"), "unreadable id"), (F.col("partly") & ~some, "unreadable fields")],
+                  [(~some & ~F.col("bad_tenant"), EMPTY_CHANGE)],
+                  [(F.col("bad_tenant"), BAD_TENANT), (F.col("partly"), PARTLY_READ)], "set_doc")
+
+
+def decode_registration_patches(env: DataFrame) -> DataFrame:
+    """Patches tagged ``OPS='UPDATE'``, empty ones included (``drop_empty`` rules them out)."""
+    return changes_of(registration_patch_fates(env))
 
 
 # CRM payload --------------------------------------------------------------------------
 
-def decode_prospects(rec: DataFrame, time_patterns: Sequence[str] = ()) -> DataFrame:
+def prospect_fates(rec: DataFrame, time_patterns: Sequence[str] = ()) -> DataFrame:
     """Flatten a CRM prospect payload to one row of named columns (the payload's
-    nested history and contacts stay arrays)."""
-    d = parse_once(rec, ["partition", "offset"], {"m": ("value", S.PROSPECT_MSG)})
+    nested history and contacts stay arrays). ``unread_times`` counts the four time texts that gave NULL."""
+    at = [c for c in ("topic", "partition", "offset") if c in rec.columns]
+    d = parse_once(rec, [*at, F.col("value").alias("message")], {"m": ("value", S.PROSPECT_MSG)})
     o, ld, a = "m.data.opportunityDetails", "m.data.leadDetails", "m.data.accountDetails"
 
     def t(c):
         return parse_time(F.col(c), time_patterns)
 
-    return d.select(
+    df = d.select(
+        *at, "message", F.col("m.data").isNotNull().alias("read"), F.col("m")[CORRUPT].isNotNull().alias("partly"),
+        F.array(*(F.col(f"{x}.{c}") for x in (o, ld) for c in ("CreatedDate", "LastModifiedDate"))).alias("time_texts"),
         F.col("m.data.organiserId").cast("bigint").alias("organiser_Id"),
         F.col(f"{o}.Id").alias("opportunity_Id"),
         F.col(f"{o}.Amount").alias("opportunity_Amount"),
@@ -155,13 +249,46 @@ def decode_prospects(rec: DataFrame, time_patterns: Sequence[str] = ()) -> DataF
         F.col(f"{a}.Name").alias("account_Name"),
         F.col(f"{a}.owner.Id").alias("account_OwnerId"),
         F.col(f"{a}.owner.Name").alias("account_OwnerName"),
-        F.col("m.timeStamp").alias("record_timeStamp"),
-    )
+        F.col("m.timeStamp").alias("record_timeStamp"))
+    times = [F.col(f"{x}_{c}") for x in ("opportunity", "lead") for c in ("CreatedDate", "LastModifiedDate")]
+    unread = reduce(lambda x, y: x + y, [(F.col("time_texts")[i].isNotNull() & c.isNull()).cast("int") for i, c in enumerate(times)])
+    blank = F.col("message").isNull() | (F.trim("message") == "")
+    columns = [c for c in df.columns if c not in ("read", "partly", "message", "time_texts")]
+    return _judge(df, [*columns, unread.alias("unread_times")], "prospects", [(blank, NO_VALUE), (~F.col("read"), "unreadable payload"),
+                                    (F.col("organiser_Id").isNull(), "no tenant"),
+                                    (F.coalesce("lead_Id", "opportunity_Id").isNull(), "no lead or opportunity id")],
+                  notes=[(F.col("partly"), PARTLY_READ), (unread > 0, "unreadable time")], value="message")
+
+
+_ABOUT = ["topic", "partition", "offset", "decoder", "fate", "reason", "value", "unread_times"]
+
+
+def decode_prospects(rec: DataFrame, time_patterns: Sequence[str] = ()) -> DataFrame:
+    """Every payload, flattened; what could not be read has NULL fields (``prospect_fates`` tells why)."""
+    return prospect_fates(rec, time_patterns).drop(*_ABOUT)
+
+
+def sync_fates(rec: DataFrame) -> DataFrame:
+    """Sync notices -> organiser_Id (bigint), action, actor, client. Notices of other actions are ruled
+    out; those that ask for something must name a tenant."""
+    at = [c for c in ("topic", "partition", "offset") if c in rec.columns]
+    d = parse_once(rec, [*at, F.col("value").alias("message")], {"m": ("value", S.SYNC_MSG)})
+    df = d.select(*at, "message", F.col("m.context").isNotNull().alias("read"), F.col("m.context.oId").isNull().alias("no_tenant"),
+                  F.col("m.context.oId").try_cast("bigint").alias("organiser_Id"), F.col("m.context.action").alias("action"),
+                  F.col("m.context.actor").alias("actor"), F.col("m.context.client").alias("client"))
+    blank = F.col("message").isNull() | (F.trim("message") == "")
+    asks = F.coalesce(F.col("action").isin(S.ACTION_DISABLED, S.ACTION_FETCHED), F.lit(False))
+    return _judge(df, [*at, "organiser_Id", "action", "actor", "client"], "notices", [(blank, NO_VALUE), (~F.col("read"), "unreadable notice"), (asks & F.col("no_tenant"), "no tenant"),
+                                  (asks & F.col("organiser_Id").isNull(), BAD_TENANT)],
+                  [(~asks, "other action")], value="message")
 
 
 def decode_sync(rec: DataFrame) -> DataFrame:
-    """Sync notices -> organiser_Id (bigint, NULL when not numeric), action, actor, client."""
-    return parse_once(rec, [], {"m": ("value", S.SYNC_MSG)}).select(F.col("m.context").alias("c")).select(
-        F.col("c.oId").try_cast("bigint").alias("organiser_Id"),
-        F.col("c.action").alias("action"), F.col("c.actor").alias("actor"),
-        F.col("c.client").alias("client"))
+    """Every notice -> organiser_Id (NULL when not numeric), action, actor, client."""
+    return sync_fates(rec).select("organiser_Id", "action", "actor", "client")
+
+
+def fate_counts(*fates: DataFrame) -> DataFrame:
+    """Messages by decoder, fate and reason."""
+    rows = reduce(DataFrame.unionByName, [f.select("decoder", "fate", "reason") for f in fates])
+    return rows.groupBy("decoder", "fate", "reason").agg(F.count("*").alias("n"))

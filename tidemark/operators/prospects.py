@@ -26,13 +26,6 @@ def with_latest_stage(df: DataFrame) -> DataFrame:
             .drop("opportunity_PayloadStageName"))
 
 
-def rejects(df: DataFrame) -> DataFrame:
-    """Rows that cannot be kept, with the reason (side output, never silently lost)."""
-    reason = (F.when(F.col("organiser_Id").isNull(), F.lit("no tenant"))
-              .when(F.col("prospect_id").isNull(), F.lit("no lead or opportunity id")))
-    return df.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
-
-
 def keep_valid(df: DataFrame) -> DataFrame:
     return df.filter(F.col("organiser_Id").isNotNull() & F.col("prospect_id").isNotNull())
 

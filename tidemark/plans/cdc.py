@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import (
     REGISTRATION_COLUMNS, USER_REGISTRATION_KEYS, apply_registration_changes, apply_user_inserts,
-    changed_keys, changed_rows, registration_changes, with_user,
+    change_types, changed_keys, changed_rows, registration_changes, with_bucket, with_user,
 )
 from tidemark.operators.decode import (
-    decode_registration_inserts, decode_registration_patches, decode_users, route,
+    KEPT, REJECTED, RULED_OUT, decode_registration_inserts, decode_registration_patches, decode_users, envelope_fates, kept,
+    registration_insert_fates, registration_patch_fates, route, user_fates,
 )
 from tidemark.operators.merge import merge_upsert
 from tidemark.sources.state import empty_frame
@@ -57,6 +59,40 @@ def empty_state(spark: SparkSession) -> CdcState:
                     empty_frame(spark, USER_REGISTRATIONS_SCHEMA))
 
 
+@dataclass
+class ChangeFates:
+    """Every message of a batch with its fate, by decoder (see ``operators.decode``)."""
+    envelopes: DataFrame
+    users: DataFrame
+    inserts: DataFrame
+    patches: DataFrame
+
+    def by_name(self) -> dict[str, DataFrame]:
+        return {"envelopes": self.envelopes, "users": self.users, "registrations": self.inserts, "patches": self.patches}
+
+
+def change_fates(rec: DataFrame, conf: CdcConf = CdcConf(), keep=lambda df: df) -> ChangeFates:
+    """Kafka-shaped change records, decoded. ``keep`` may hold the envelopes, which every decoder reads. Envelopes of
+    other collections are ruled out where the kept ones go on to the decoder of their collection."""
+    known = F.col("collection").isin(conf.users_collection, conf.registrations_collection)
+    env = envelope_fates(rec)
+    other = (F.col("fate") == KEPT) & ~known
+    env = keep(env.withColumns({"fate": F.when(other, RULED_OUT).otherwise(F.col("fate")), "reason": F.when(other, "other collection").otherwise(F.col("reason"))}))
+    read = kept(env)
+    comm = route(read, conf.registrations_collection)
+    return ChangeFates(env, user_fates(route(read, conf.users_collection)), registration_insert_fates(comm), registration_patch_fates(comm))
+
+
+def decoded_batch(envelopes: DataFrame, users: DataFrame, inserts: DataFrame, patches: DataFrame) -> DataFrame:
+    """One frame of what the decoders made of a batch (kept envelopes are in theirs): registration changes are
+    typed and bucketed, rows that carry nothing to apply or to report are left out."""
+    about = ["topic", "partition", "offset", "decoder", "fate", "reason", "value"]
+    out = envelopes.select(*about)
+    for df in (users, with_bucket(change_types(inserts)), with_bucket(change_types(patches))):
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out.filter((F.col("fate") == REJECTED) | ((F.col("fate") == KEPT) & (F.col("decoder") != "envelope")))
+
+
 def batch_changes(env: DataFrame, conf: CdcConf = CdcConf()) -> tuple[DataFrame, DataFrame]:
     """Decoded envelopes -> (user inserts, registration change set)."""
     users = decode_users(route(env, conf.users_collection))

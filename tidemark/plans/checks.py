@@ -15,8 +15,9 @@ from tidemark.operators.attribution import (
     with_touch_points,
 )
 from tidemark.operators.changes import change_types, change_union, changed_keys, changed_rows, latest_patches
+from tidemark.functions.scalars import parse_time
 from tidemark.operators.decode import (
-    decode_prospects, decode_registration_inserts, decode_registration_patches, decode_sync, route,
+    decode_prospects, decode_registration_inserts, decode_registration_patches, decode_sync, fate_counts, prospect_fates, route, sync_fates,
 )
 from tidemark.operators.funnel import (
     FUNNEL_COLUMNS, FUNNEL_KEYS, attendance_metrics, event_keys, funnel_input, lead_metrics, opportunity_metrics,
@@ -28,12 +29,14 @@ from tidemark.operators.notify import completion_notice, tenants_with_action
 from tidemark.operators.prospects import (
     contact_rows, lead_contact_union, with_latest_stage,
 )
-from tidemark.plans.cdc import USER_REGISTRATION_COLUMNS
+from tidemark.plans.cdc import USER_REGISTRATION_COLUMNS, change_fates
 from tidemark.plans.crm import erase
 from tidemark.plans.workspace import FUNNEL_CONF, NOW, workspace
 from tidemark.session import fresh_dir
 from tidemark.sources.kafka import kafka_record
-from tidemark.sources.warehouse import WarehouseConf, append_warehouse, latest_from_warehouse, read_warehouse
+from tidemark.sources.warehouse import (
+    WarehouseConf, append_attempt, append_warehouse, latest_from_warehouse, read_appended, read_warehouse,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +130,28 @@ def registration_upsert(spark, d):
     return _ws(spark, d).cdc_state(2).user_registrations.select(*USER_REGISTRATION_COLUMNS)
 
 
+def message_fates(spark, d):
+    """What becomes of every message, some of them damaged: kept, ruled out by a rule, or rejected for a reason. The
+    envelopes kept are the messages of the next three decoders, so the counts of each add up to what went in."""
+    w = _ws(spark, d)
+    changes = change_fates(kafka_record(fx.damaged(w.cdc_messages().drop("file_no"))))
+    prospects = prospect_fates(kafka_record(fx.damaged(w.crm_messages().drop("batch_no"))))
+    notices = sync_fates(kafka_record(fx.damaged(w.sync_messages().drop("batch_no"))))
+    return fate_counts(*changes.by_name().values(), prospects, notices)
+
+
+def dead_letter_table(spark, d):
+    """The dead letters after the change stream and the CRM payload stream have run over damaged messages."""
+    from tidemark.sources.state import ParquetStore, read_dead_letters
+    from tidemark.streaming.cdc import cdc_batch
+    from tidemark.streaming.sync import ingest_batch
+    w, store = _ws(spark, d), ParquetStore(spark, fresh_dir(spark, "dead-letters"))
+    for batch_id in (0, 0):      # the second time is a replay
+        cdc_batch(store, now=NOW, run_id="check")(fx.damaged(w.cdc_messages().drop("file_no")), batch_id)
+        ingest_batch(store, now=NOW, run_id="check")(fx.damaged(w.crm_messages().drop("batch_no")), batch_id)
+    return read_dead_letters(store).select("topic", "partition", "offset", "decoder", "reason", "kept", "organiser_Id")
+
+
 def _stream_files(spark, d):
     m = _ws(spark, d).cdc_messages()
     return [m.filter(F.col("file_no") == f).drop("file_no") for f in range(3)]
@@ -138,10 +163,11 @@ def stream_cdc_apply(spark, d):
 
 
 def state_two_writers(spark, d):
-    """Change batch, erasure, change batch, erasure, replay of that batch, change batch, replays."""
-    from tidemark.sources.state import SnapshotStore
+    """Change batch, erasure, change batch, erasure, replay of that batch, change batch, replays: what was erased
+    between two batches stays erased, and what the later ones bring is there."""
+    from tidemark.sources.state import ParquetStore
     from tidemark.streaming.cdc import cdc_batch
-    store = SnapshotStore(spark, fresh_dir(spark, "two-writers"))
+    store = ParquetStore(spark, fresh_dir(spark, "two-writers"))
     fn = cdc_batch(store, now=NOW, run_id="check")
     files = _stream_files(spark, d)
     sync = decode_sync(kafka_record(_ws(spark, d).sync_messages().drop("batch_no")))
@@ -149,7 +175,7 @@ def state_two_writers(spark, d):
     for i, replays in ((0, ()), (1, (1, 0)), (2, (2, 1))):
         fn(files[i], i)
         if i < 2:
-            store.erase("user_registrations", disabled, "organiser_id", f"sync.check.{i}")
+            store.erase(disabled, store.begin("sync.check", i)[0])
         for r in replays:
             fn(files[r], r)
     return store.read("user_registrations").select(*USER_REGISTRATION_COLUMNS)
@@ -178,6 +204,11 @@ def time_parse(spark, d):
                     _secs("opportunity_LastModifiedDate", "last_modified_s"))
 
 
+def time_forms(spark, d):
+    t = fx.time_texts(spark, d)
+    return t.select("o_orderkey", "form", F.unix_timestamp(parse_time("text")).alias("seconds"))
+
+
 def prospect_latest_stage(spark, d):
     p = with_latest_stage(_decoded(spark, d))
     return p.select("record_timeStamp", "Opportunity_StageName", "OpportunityCurrentStageDate")
@@ -361,6 +392,18 @@ def warehouse_append_latest(spark, d):
     return latest_from_warehouse(back, CONTACT_KEYS).select(*CONTACT_OUT)
 
 
+def warehouse_append_only(spark, d):
+    """The same over a connector that only appends: an attempt that failed half-way, and a batch done twice."""
+    w = _ws(spark, d)
+    conf = WarehouseConf(format="parquet", root=fresh_dir(spark, "warehouse"), append_only=True)
+    append_warehouse(w.contacts((0,)), conf, "contact", "run1", 0)
+    old = w.contacts((1,)).withColumn("event_id", F.lit(-1).cast("bigint"))
+    append_attempt(old, conf, "contact", "run2", 0)                     # its driver was lost before the attempt was completed
+    append_warehouse(w.contacts((1,)), conf, "contact", "run2", 0)
+    append_warehouse(old, conf, "contact", "run2", 0)                   # completed once more after a replay: the first one counts
+    return read_appended(spark, conf, "contact").select(*CONTACT_OUT)
+
+
 def _gate(spark, d):
     """The gate over both notice batches (the second is a replay of all notices)."""
     from tidemark.streaming.sync import run_sync_files
@@ -406,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "registration_upsert": registration_upsert,  # M4
     "prospect_flatten": prospect_flatten,  # S2 P5
     "time_parse": time_parse,  # V3
+    "time_forms": time_forms,  # V3
     "prospect_latest_stage": prospect_latest_stage,  # X9 K6 K7
     "prospect_key_latest": prospect_key_latest,  # X8 F7 W2 D3
     "prospect_upsert": prospect_upsert,  # M4
@@ -432,6 +476,9 @@ QUERIES: dict[str, Query] = {
     "tenant_erasure": tenant_erasure,  # M5 X15
     "completion_notice": completion_notice_q,  # P7 V4 X17 S7
     "warehouse_append_latest": warehouse_append_latest,  # S6 K14
+    "warehouse_append_only": warehouse_append_only,  # S6
+    "message_fates": message_fates,  # P1-P6 F10 A7
+    "dead_letter_table": dead_letter_table,  # P1-P5
     "stream_cdc_apply": stream_cdc_apply,  # S1 S8 T1-T4 T7
     "stream_sync_gate": stream_sync_gate,  # S2 T2 T5 T6 T8
     "stream_sync_tables": stream_sync_tables,  # S7 M5 A7

@@ -61,8 +61,6 @@ def recompute(prospects: DataFrame, user_registrations: DataFrame, rates: DataFr
 
 ERASE_KEYS = {"prospects": "organiser_Id", "user_registrations": "organiser_id", "contacts": "organiser_Id",
               "opportunities": "organiser_Id", "event_agg": "organiser_Id"}
-# What a store erases besides: the last recomputed contacts, and rejected payloads.
-STORE_ERASE_KEYS = {**ERASE_KEYS, "contacts_batch": "organiser_Id", "prospect_rejects": "organiser_Id"}
 
 
 def erase(tables: dict[str, DataFrame], tenants: DataFrame, keys: dict[str, str] = ERASE_KEYS) -> dict[str, DataFrame]:

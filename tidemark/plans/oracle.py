@@ -198,6 +198,47 @@ WHERE {' OR '.join(f'{c} IS NOT NULL' for c in REG_FIELDS)}""")
 cte("users_state", ["fx_users"], """
 SELECT _id, organiser_id, email FROM fx_users WHERE organiser_id IS NOT NULL AND email IS NOT NULL""")
 
+# What becomes of messages of which some are damaged (by offset modulo 97), in two steps for change records.
+def _case(*pairs: tuple[str, str]) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r in pairs) + " END"
+
+
+FIELDS_SET = " OR ".join(f"{c} IS NOT NULL" for c in ("event_id", "firstName", "initLoginAt", "isLoggedIn", "source"))
+cte("chg_msgs", ["fx_users", "fx_registrations", "fx_patches"], f"""
+SELECT 'users' AS kind, 'cdc.app.users' AS topic, 0 AS "partition", kafka_offset AS "offset", organiser_id, kafka_offset % 97 AS k,
+       email IS NULL AS a, false AS is_delete, {_case(("email IS NULL", "no e-mail"))} AS rule FROM fx_users
+UNION ALL
+SELECT 'registrations', 'cdc.app.communities', 0, kafka_offset, organiser_id, kafka_offset % 97, false, false,
+       CASE WHEN firstName IS NULL OR length(firstName) > 264 OR lastName IS NULL OR length(lastName) > 264 THEN 'name missing or too long' END
+FROM fx_registrations
+UNION ALL
+SELECT 'patches', 'cdc.app.communities', 1, kafka_offset, NULL, kafka_offset % 97, false, is_delete,
+       CASE WHEN is_delete OR NOT ({FIELDS_SET}) THEN 'empty change' END FROM fx_patches""")
+cte("env_fates", ["chg_msgs"], f"""
+SELECT *, {_case(("k IN (5, 7)", "unreadable envelope"), ("k = 6", "no value"), ("kind = 'patches' AND k = 11", "unreadable filter"),
+                 ("kind = 'patches' AND k = 10 AND NOT is_delete", "unreadable patch"))} AS env_reason FROM chg_msgs""")
+cte("msg_fates", ["env_fates", "fx_prospects", "fx_notices"], f"""
+SELECT topic, "partition", "offset", 'envelope' AS decoder, CASE WHEN env_reason IS NULL THEN 'kept' ELSE 'rejected' END AS fate,
+       env_reason AS reason, CAST(NULL AS BIGINT) AS organiser_Id FROM env_fates
+UNION ALL
+SELECT topic, "partition", "offset", kind,
+       CASE WHEN kind <> 'patches' AND k IN (8, 9) THEN 'rejected' WHEN rule IS NOT NULL THEN 'ruled out' ELSE 'kept' END,
+       CASE WHEN kind <> 'patches' AND k = 8 THEN 'tenant id is not a number' WHEN kind <> 'patches' AND k = 9 THEN 'unreadable document' ELSE rule END,
+       CASE WHEN kind <> 'patches' AND k NOT IN (8, 9) THEN organiser_id END
+FROM env_fates WHERE env_reason IS NULL
+UNION ALL
+SELECT 'crm.prospects.ingest', 0, o_orderkey, 'prospects', CASE WHEN k IN (5, 6, 7, 8, 9) THEN 'rejected' ELSE 'kept' END,
+       {_case(("k IN (5, 7)", "unreadable payload"), ("k = 6", "no value"), ("k IN (8, 9)", "no tenant"), ("k = 10", "a field of another type"),
+              ("created_s IS NULL", "unreadable time"))}, CASE WHEN k NOT IN (5, 6, 7, 8, 9) THEN organiser_id END
+FROM (SELECT *, o_orderkey % 97 AS k FROM fx_prospects)
+UNION ALL
+SELECT 'crm.organiser.sync', 0, off, 'notices',
+       CASE WHEN k IN (5, 6, 7) OR (k = 8 AND asks) THEN 'rejected' WHEN NOT asks THEN 'ruled out' ELSE 'kept' END,
+       CASE WHEN k IN (5, 7) THEN 'unreadable notice' WHEN k = 6 THEN 'no value' WHEN NOT asks THEN 'other action'
+            WHEN k = 8 THEN 'tenant id is not a number' END, NULL
+FROM (SELECT off, off % 97 AS k, action IN ('ORGANISER_ROI_DISABLED', 'ORGANISER_SF_DATA_FETCHING_COMPLETED') AS asks
+      FROM (SELECT CAST(oId AS BIGINT) * 2 + row_number() OVER (PARTITION BY oId ORDER BY action) AS off, action FROM fx_notices))""")
+
 ORDER_CHG = ["ts_ms", '"partition"', '"offset"']
 
 
@@ -487,6 +528,8 @@ SELECT organiser_Id, prospect_id, recordType, SF_Id, initLoginAt, touchpoint_tim
     "contact_latest": build(["contacts_all"], f"SELECT {CONTACT_SEL} FROM contacts_all"),
     "contact_upsert": _upsert("contacts_b0", "contacts_b1", ["SF_Id", "organiser_Id"], CONTACT_SEL),
     "warehouse_append_latest": _upsert("contacts_b0", "contacts_b1", ["SF_Id", "organiser_Id"], CONTACT_SEL),
+    "warehouse_append_only": build(["contacts_b0", "contacts_b1"],
+                                   f"SELECT {CONTACT_SEL} FROM contacts_b0 UNION ALL SELECT {CONTACT_SEL} FROM contacts_b1"),
     "opportunity_latest": build(["opp_all"], "SELECT * FROM opp_all"),
     "opportunity_upsert": _upsert("opp_b0", "opp_b1", ["opportunity_Id", "organiser_Id"], "*"),
     "event_top_amount": build(["top_all"], """
@@ -505,6 +548,15 @@ FROM top_all GROUP BY organiser_Id, event_id, ClosedWon"""),
 SELECT organiser_Id, 'erase' AS route FROM disabled UNION ALL SELECT organiser_Id, 'recompute' FROM fetched"""),
     "tenant_erasure": _erasure(),
     "event_funnel_keep": _funnel_keep(),
+    "time_forms": """
+SELECT o_orderkey, o_orderkey % 13 AS form,
+       CASE WHEN o_orderkey % 13 = 12 THEN NULL WHEN o_orderkey % 13 = 3 THEN s - s % 86400
+            WHEN o_orderkey % 13 IN (2, 6, 8, 10) THEN s - s % 60 ELSE s END AS seconds
+FROM (SELECT o_orderkey, epoch_us(o_orderdate) // 1000000 + o_orderkey % 86400 AS s FROM orders)""",
+    "message_fates": build(["msg_fates"], "SELECT decoder, fate, reason, count(*) AS n FROM msg_fates GROUP BY decoder, fate, reason"),
+    "dead_letter_table": build(["msg_fates"], """
+SELECT topic, "partition", "offset", decoder, reason, fate = 'kept' AS kept, organiser_Id
+FROM msg_fates WHERE decoder <> 'notices' AND (fate = 'rejected' OR (fate = 'kept' AND reason IS NOT NULL))"""),
     "state_two_writers": build(["ur_e1_f2"], f"SELECT {UC} FROM ur_e1_f2"),
     "stream_sync_tables": build(["prosp_all", "areg", "contacts_all", "opp_all", "funnel_all", "disabled", "fetched"],
                                 "\nUNION ALL\n".join(

@@ -1,46 +1,44 @@
-"""Current-state tables: the operations the jobs need (insert-if-absent,
-NULL-preserving patch, upsert, tenant erasure, replace, append) behind two stores.
-
-``DeltaStore`` (needs delta-spark on the class path) runs each operation as a Delta
-``MERGE`` / ``DELETE``. This is the production path; Delta is not installed in this
-environment, so its tests are skipped here.
-
-``SnapshotStore`` is the portable store. A table is a folder of versions; a version
-holds the rows of the buckets that its operation touched, one folder per bucket, and
-Spark's ``_SUCCESS`` commits it as a whole. The table is, for each bucket, the folder
-in the newest committed version that has one. An operation reads and writes only the
-buckets of the keys in its change set:
-
-    <root>/<table>/v=000000000012@cdc.q1.7/__bucket=37/part-*.parquet
-
-* Version numbers only grow and are independent of batch ids, so any number of writers
-  share a table (the change stream and the notice gate do); a lock file per table keeps
-  them apart. No committed folder is written again.
-* A version's name carries its source. An operation whose source is already there is
-  skipped: a replayed batch neither applies twice nor brings back what was erased after it.
-* Tables with a tenant are bucketed by tenant group and, within it, by key, so reads for
-  some tenants list only their groups and a large tenant is still split.
-* After each operation, bucket folders that are no longer current are deleted, except those
-  that the last ``retain`` versions replaced (for readers that have planned but not read them).
-  After an erasure everything older of the touched buckets is deleted at once.
+"""Current-state tables: the operations the jobs need (insert-if-absent, NULL-preserving patch, upsert, tenant
+erasure, replace, append) behind two stores.
+
+``DeltaStore`` (needs delta-spark on the class path) runs each operation as a Delta ``MERGE``. This is the
+production path; Delta is not installed in this environment, so its tests are skipped here.
+
+``ParquetStore`` is the portable store, on Spark's own writers alone. A table is a Parquet folder partitioned by a
+bucket of its keys. A batch stages its change set; an operation joins that with the buckets its keys fall into and
+rewrites those buckets with ``partitionOverwriteMode=dynamic``. Tables with a tenant
+are bucketed by tenant group and, within it, by key, so reads for some tenants read only their groups and a large
+tenant is still split.
+
+What both share:
+
+* **Eras.** ``begin(run, batch)`` gives a batch its era, the number of erasures so far, and remembers it under the run; a
+  batch that starts again gets the era of its first attempt, one that is older than the run's last is not applied
+  again. One row per run is kept, whatever the number of batches.
+* **Erased tenants are a table**, ``(tenant, era)``. Rows carry the era they were written in, and every read leaves out
+  the rows of tenants erased in a later one. So an erasure takes effect at once in all tables, hides what a running
+  or replayed batch writes from before it, and leaves what later batches bring. ``purge`` takes the hidden rows
+  off the disk; the job that writes a table calls it when there were erasures since its last batch.
+* **One job writes a table**; the jobs share the erased tenants only. Spark's dynamic overwrite commits by moving whole
+  buckets, so a driver that dies in the middle leaves the rest of them beside the table; ``recover``, called when a job
+  starts, writes those. A job that reads another job's Parquet table may meet a bucket that is being replaced;
+  Delta isolates readers.
 """
 
 from __future__ import annotations
 
-import contextlib
-import time
-import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import merge_insert, merge_insert_patch, merge_upsert
 
-PREFIX, BUCKET = "v=", "__bucket"
+BUCKET, ERA = "__bucket", "__era"
+NO_ERA = -1      # of rows that only hold a bucket's place
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -66,14 +64,13 @@ class Layout:
     def group(self, tenant: Column) -> Column:
         return F.pmod(F.xxhash64(tenant.cast("bigint")), F.lit(self.groups)).cast("int")
 
-    def bucket(self) -> Column:
-        part = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.parts)).cast("int") if self.key else F.lit(0)
-        if self.tenant is None:
-            return part.cast("string")
-        return (self.group(F.col(self.tenant)) * self.parts + part).cast("string")
+    def bucket(self, key: str | None = None) -> Column:
+        """The bucket of a row; ``key`` names its key column where it is not the table's."""
+        part = F.pmod(F.xxhash64(F.col(key or self.key).cast("string")), F.lit(self.parts)).cast("int") if self.key else F.lit(0)
+        return F.coalesce(part if self.tenant is None else self.group(F.col(self.tenant)) * self.parts + part, F.lit(0))
 
 
-#: Default buckets: few, as each is a file or more per version; large tables are given more.
+#: Default buckets: few, as each is rewritten whole; large tables are given more.
 LAYOUTS = {
     "users": Layout("_id", parts=16),
     "registrations": Layout("_id", parts=16),
@@ -83,228 +80,242 @@ LAYOUTS = {
     "opportunities": Layout("opportunity_Id", "organiser_Id", 8, 2),
     "event_agg": Layout("event_id", "organiser_Id", 8, 1),
     "contacts_batch": Layout("SF_Id", "organiser_Id", 8, 2),
+    "cdc_dead_letters": Layout(None, "organiser_Id"),
+    "crm_dead_letters": Layout(None, "organiser_Id"),
 }
+#: Tables that only grow, and what makes a row of them one (a repeated append shows once).
+_MESSAGE = ["topic", "partition", "offset", "decoder", "reason"]
+APPENDED = {"cdc_dead_letters": _MESSAGE, "crm_dead_letters": _MESSAGE}
+#: The tables of each job.
+CDC_TABLES = ("users", "registrations", "user_registrations", "cdc_dead_letters")
+CRM_TABLES = ("prospects", "contacts", "opportunities", "event_agg", "contacts_batch", "crm_dead_letters")
 
 
-class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Layout] | None = None,
-                 retain: int = 2, lock_seconds: float = 600):
+class StateStore:
+    """What both stores share; a store says how tables are loaded and written."""
+    fmt = "parquet"
+
+    def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Layout] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.layouts = {**LAYOUTS, **(layouts or {})}
-        self.retain = retain
-        self.lock_seconds = lock_seconds
-
-    # -- folders (driver-side, names only) --------------------------------------------
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, path: str) -> list[str]:
-        p, fs = self._fs(path)
-        return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
-
-    def _delete(self, path: str) -> None:
-        p, fs = self._fs(path)
-        fs.delete(p, True)
-
-    @contextlib.contextmanager
-    def _lock(self, table: str) -> Iterator[None]:
-        p, fs = self._fs(f"{self.root}/{table}/_lock")
-        end = time.time() + self.lock_seconds
-        while not fs.createNewFile(p):
-            if time.time() > end:
-                raise TimeoutError(f"{table} is locked; if no writer is running, delete {self.root}/{table}/_lock")
-            time.sleep(0.2)
-        try:
-            yield
-        finally:
-            fs.delete(p, False)
-
-    def _folders(self, table: str) -> list[str]:
-        """Committed version folders, oldest first."""
-        out = []
-        for name in sorted(n for n in self._names(f"{self.root}/{table}") if n.startswith(PREFIX)):
-            done, fs = self._fs(f"{self.root}/{table}/{name}/_SUCCESS")
-            if fs.exists(done):
-                out.append(name)
-        return out
 
-    @staticmethod
-    def _split(folder: str) -> tuple[int, str]:
-        number, _, source = folder[len(PREFIX):].partition("@")
-        return int(number), source
-
-    def versions(self, table: str) -> list[int]:
-        return [self._split(f)[0] for f in self._folders(table)]
-
-    def applied(self, table: str, source: str | None) -> bool:
-        return source is not None and any(self._split(f)[1] == _safe(source) for f in self._folders(table))
-
-    def buckets(self, table: str) -> dict[str, str]:
-        """Bucket -> folder that holds its current rows."""
-        out = {}
-        for folder in self._folders(table):
-            for name in self._names(f"{self.root}/{table}/{folder}"):
-                if name.startswith(f"{BUCKET}="):
-                    out[name[len(BUCKET) + 1:]] = f"{self.root}/{table}/{folder}/{name}"
-        return out
-
-    # -- reading ------------------------------------------------------------------------
-    def _schema(self, table: str) -> T.StructType | None:
-        folders = self._folders(table)
-        return self.spark.read.parquet(f"{self.root}/{table}/{folders[-1]}/_schema.parquet").schema if folders else None
-
-    def read(self, table: str, schema: T.StructType | None = None, only: set[str] | None = None) -> DataFrame | None:
+    def _path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def _layout(self, table: str) -> Layout:
+        return self.layouts.get(table, Layout())
+
+    def _found(self, pattern: str) -> list:
+        """Files or folders of that name. (Reading a table that is not there would fail.)"""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+        return [f.getPath() for f in found] if found else []
+
+    def _load(self, table: str) -> DataFrame | None:
+        """The table as stored, or None where it has no rows yet. All tables are partitioned."""
+        return self.spark.read.parquet(self._path(table)) if self._found(f"{table}/*=*") else None
+
+    # -- eras and erasures ------------------------------------------------------------------
+    def era(self) -> int:
+        erased = self._load("_erased")
+        return 0 if erased is None else erased.agg(F.max(ERA)).first()[0] or 0
+
+    def begin(self, run: str, batch_id: int) -> tuple[int, int] | None:
+        """``(era of this batch, era of the run's last batch)``; None for a batch that a later one of the run has
+        followed: it was finished."""
+        runs = self._load("_runs")
+        last = None if runs is None else runs.filter(F.col("run") == run).first()
+        if last is not None and last["batch_id"] > batch_id:
+            return None
+        if last is not None and last["batch_id"] == batch_id:
+            return last[ERA], last["before"]
+        now, before = self.era(), 0 if last is None else last[ERA]
+        row = self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(now).cast("bigint").alias(ERA),
+                                         F.lit(before).cast("bigint").alias("before"), F.lit(run).alias("run"))
+        self._replace_parts("_runs", row, ["run"])
+        return now, before
+
+    def _replace_parts(self, table: str, rows: DataFrame, by: list[str]) -> None:
+        rows.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(self._path(table))
+
+    def erase(self, tenants: DataFrame, era: int) -> int:
+        """From now on the tenants' rows of earlier eras are left out everywhere. ``era`` is that of the
+        erasing batch; returns the era that begins, which the batch's own later writes carry. Doing it again
+        changes nothing."""
+        rows = tenants.select(F.col(tenants.columns[0]).cast("bigint").alias("tenant"), F.lit(era + 1).cast("bigint").alias(ERA)).distinct()
+        self._replace_parts("_erased", rows, [ERA])
+        return era + 1
+
+    def _visible(self, table: str, stored: DataFrame) -> DataFrame:
+        """Rows that are not erased; their era stays."""
+        out = stored.filter(F.col(ERA) > NO_ERA)
+        tenant, erased = self._layout(table).tenant, self._load("_erased")
+        if tenant is None or erased is None or tenant not in stored.columns:
+            return out
+        gone = erased.groupBy(F.col("tenant").alias("__tenant")).agg(F.max(ERA).alias("__erased_in"))
+        return out.join(gone, (F.col(tenant) == F.col("__tenant")) & (F.col(ERA) < F.col("__erased_in")), "left_anti")
+
+    # -- reading ------------------------------------------------------------------------------
+    def read(self, table: str, schema: T.StructType | None = None, only: list[int] | None = None) -> DataFrame | None:
         """The current rows (of the buckets in ``only``); an empty frame of ``schema`` (or None)
-        when the table has no version yet."""
-        found = self._schema(table)
-        if found is None:
+        when the table was never written."""
+        stored = self._load(table)
+        if stored is None:
             return None if schema is None else empty_frame(self.spark, schema)
-        paths = [p for b, p in self.buckets(table).items() if only is None or b in only]
-        return self.spark.read.schema(found).parquet(*paths) if paths else empty_frame(self.spark, found)
-
-    def read_near(self, table: str, rows: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
-        """The current rows of the buckets that ``rows`` (with the table's key columns) fall into."""
-        return self.read(table, schema, self._touched(table, rows))
+        if only is not None and BUCKET in stored.columns:
+            stored = stored.filter(F.col(BUCKET).isin(only))
+        out = self._visible(table, stored).drop(BUCKET, ERA)
+        return out.dropDuplicates(APPENDED[table]) if table in APPENDED else out
 
     def read_tenants(self, table: str, tenants: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
         """The current rows of the tenants' groups (other tenants of those groups included)."""
         return self.read(table, schema, self._of_tenants(table, tenants))
 
-    def _of_tenants(self, table: str, tenants: DataFrame) -> set[str] | None:
+    def _of_tenants(self, table: str, tenants: DataFrame) -> list[int] | None:
         layout = self._layout(table)
         if layout.tenant is None:
             return None
         groups = [r[0] for r in tenants.select(layout.group(F.col(tenants.columns[0]))).distinct().collect()]   # at most ``groups``
-        return {str(g * layout.parts + i) for g in groups if g is not None for i in range(layout.parts)}
+        return sorted(g * layout.parts + i for g in groups if g is not None for i in range(layout.parts))
 
-    def _layout(self, table: str) -> Layout:
-        return self.layouts.get(table, Layout())
-
-    def _touched(self, table: str, rows: DataFrame) -> set[str]:
+    def touched(self, table: str, rows: DataFrame) -> list[int]:
+        """The buckets that ``rows`` (with the table's key columns) fall into."""
         # at most groups x parts values
-        return {r[0] for r in rows.select(self._layout(table).bucket().alias("b")).distinct().collect()}
-
-    # -- writing ------------------------------------------------------------------------
-    def _commit(self, table: str, df: DataFrame, touched: set[str], source: str | None, forget: bool = False) -> int:
-        """Write ``df`` as the new content of the ``touched`` buckets."""
-        numbers = [self._split(n)[0] for n in self._names(f"{self.root}/{table}") if n.startswith(PREFIX)]
-        number = max(numbers, default=-1) + 1       # past failed attempts too
-        path = f"{self.root}/{table}/{PREFIX}{number:012d}" + (f"@{_safe(source)}" if source else "")
-        for b in touched:                           # a bucket that ends up empty is a folder without files
-            p, fs = self._fs(f"{path}/{BUCKET}={b}")
-            fs.mkdirs(p)
-        out = df if BUCKET in df.columns else df.withColumn(BUCKET, self._layout(table).bucket())
-        empty_frame(self.spark, out.drop(BUCKET).schema).write.parquet(f"{path}/_schema.parquet")
-        # rebalance: few files per bucket, and a large bucket is split over tasks
-        out.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
-        self._prune(table, touched if forget else set())
-        return number
-
-    def _prune(self, table: str, forget: set[str]) -> None:
-        folders = self._folders(table)
-        held = {f: [n for n in self._names(f"{self.root}/{table}/{f}") if n.startswith(BUCKET)] for f in folders}
-        recent = set(folders[len(folders) - self.retain:])
-        shows = {self._split(f)[1].rpartition(".")[0]: f for f in folders}     # what each source has applied
-        replaced_by: dict[str, str] = {}
-        for folder in reversed(folders):
-            left = len(held[folder])
-            for n in held[folder]:
-                newer = replaced_by.get(n)
-                if newer is not None and (newer not in recent or n[len(BUCKET) + 1:] in forget):
-                    self._delete(f"{self.root}/{table}/{folder}/{n}")
-                    left -= 1
-                replaced_by[n] = folder
-            if not left and folder not in recent and folder not in shows.values():
-                self._delete(f"{self.root}/{table}/{folder}")
-
-    def put(self, table: str, df: DataFrame, source: str | None = None) -> int:
+        return sorted(r[0] for r in rows.select(self._layout(table).bucket().alias("b")).distinct().collect())
+
+    # -- writing ------------------------------------------------------------------------------
+    def bucket_of(self, table: str, where: Column | None = None, key: str | None = None) -> Column:
+        """The bucket of ``table`` that a row belongs to, or null unless ``where``."""
+        bucket = self._layout(table).bucket(key)
+        return bucket if where is None else F.when(where, bucket)
+
+    def stage(self, name: str, df: DataFrame, near: dict[str, Column] | None = None) -> tuple[DataFrame, dict[str, list[int]]]:
+        """``df`` written beside the tables and read back: what a batch uses several times, without its lineage.
+        The next stage of that name replaces it. Also the values of the ``near`` columns (see ``bucket_of``),
+        observed while it is written: at most as many as a table has buckets."""
+        path, seen = f"{self.root}/_staged/{name}", Observation(f"buckets-{name}")
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.collect_set(b).alias(t) for t, b in (near or {}).items()))
+        out.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), {t: sorted(seen.get[t]) for t in near or {}}
+
+    def append(self, table: str, df: DataFrame, era: int = 0) -> None:
+        """Add rows; nothing is read or rewritten."""
+        (df.withColumns({ERA: F.lit(era).cast("bigint"), BUCKET: F.lit(0)})
+         .write.format(self.fmt).mode("append").partitionBy(BUCKET).save(self._path(table)))
+
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        raise NotImplementedError
+
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        raise NotImplementedError
+
+    def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
+                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        raise NotImplementedError
+
+    def put(self, table: str, df: DataFrame, era: int = 0) -> None:
+        raise NotImplementedError
+
+    def purge(self, tables: Sequence[str], since: int = 0) -> None:
+        """Take the rows of tenants erased in eras after ``since`` off the disk."""
+        raise NotImplementedError
+
+    def recover(self, tables: Sequence[str]) -> None:
+        """Finish what a driver that died had begun to write."""
+
+
+class ParquetStore(StateStore):
+    def _dealt(self, table: str, df: DataFrame) -> DataFrame:
+        """Rows with their bucket, few files a bucket, a large bucket split over tasks."""
+        return df.withColumn(BUCKET, self._layout(table).bucket()).hint("rebalance", BUCKET)
+
+    def _places(self, like: DataFrame, buckets: Sequence[int]) -> DataFrame:
+        """One row a bucket that holds nothing but its place, so that overwriting reaches buckets that end up empty."""
+        held = self.spark.range(1).select(F.explode(F.array(*map(F.lit, buckets))).alias(BUCKET))
+        return held.select(*(F.lit(NO_ERA).cast("bigint").alias(ERA) if f.name == ERA else F.lit(None).cast(f.dataType).alias(f.name)
+                             for f in like.schema.fields if f.name != BUCKET), BUCKET)
+
+    def _rewrite(self, table: str, rows: DataFrame, buckets: Sequence[int]) -> None:
+        """``rows`` (with their era) become the content of ``buckets``. All tasks have read what they need when
+        Spark replaces the buckets."""
+        dealt = self._dealt(table, rows)
+        self._replace_parts(table, dealt.unionByName(self._places(dealt, buckets or [0])), [BUCKET])
+
+    def recover(self, tables: Sequence[str]) -> None:
+        for table in tables:
+            for done in self._found(f"{table}/.spark-staging-*/_SUCCESS"):      # written whole, moved in part
+                left = done.getParent()
+                if self._found(f"{table}/{left.getName()}/*=*"):
+                    self._replace_parts(table, self.spark.read.parquet(left.toString()), [BUCKET])
+                left.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(left, True)
+
+    def put(self, table: str, df: DataFrame, era: int = 0) -> None:
         """Replace the whole table."""
-        with self._lock(table):
-            return self._commit(table, df, set(self.buckets(table)), source)
-
-    def append(self, table: str, df: DataFrame, source: str | None = None) -> int | None:
-        """Add rows; each append is a bucket of its own, so nothing is read or rewritten."""
-        with self._lock(table):
-            if self.applied(table, source):
-                return None
-            own = uuid.uuid4().hex
-            return self._commit(table, df.withColumn(BUCKET, F.lit(own)), {own}, source)
-
-    def _change(self, table: str, changes: Sequence[DataFrame], source: str | None, near: DataFrame | None, merge) -> int | None:
-        """Merge batch-sized ``changes`` into the buckets they touch: those of ``near``, a frame that the
-        caller keeps and that has all keys of the changes, else of the changes themselves (kept here)."""
-        with self._lock(table):
-            if self.applied(table, source):
-                return None
-            held = [] if near is not None else [c.persist(StorageLevel.MEMORY_AND_DISK) for c in changes]
-            try:
-                touched = set().union(*(self._touched(table, c) for c in ([near] if near is not None else held)))
-                if not touched and self._folders(table):
-                    return None
-                return self._commit(table, merge(self.read(table, changes[0].schema, touched), *changes), touched, source)
-            finally:
-                for c in held:
-                    c.unpersist()
-
-    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
-                         near: DataFrame | None = None) -> int | None:
-        return self._change(table, [src], source, near, lambda base, s: merge_insert(base, s, keys))
-
-    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
-               near: DataFrame | None = None) -> int | None:
-        return self._change(table, [src], source, near, lambda base, s: merge_upsert(base, s, keys))
+        dealt = self._dealt(table, df.withColumn(ERA, F.lit(era).cast("bigint")))
+        dealt.unionByName(self._places(dealt, [0])).write.mode("overwrite").partitionBy(BUCKET).parquet(self._path(table))
+
+    def _change(self, table: str, changes: Sequence[DataFrame], era: int, touched: list[int] | None, merge) -> None:
+        """Merge batch-sized ``changes`` (staged, or cheap to evaluate again) into the buckets they touch."""
+        changes = [c.withColumn(ERA, F.lit(era).cast("bigint")) for c in changes]
+        if touched is None:
+            touched = sorted(set().union(*(self.touched(table, c) for c in changes)))
+        stored = self._load(table)
+        if stored is None:
+            base = empty_frame(self.spark, changes[0].schema)
+        elif not touched:
+            return
+        else:
+            base = self._visible(table, stored.filter(F.col(BUCKET).isin(touched))).select(changes[0].columns)
+        self._rewrite(table, merge(base, *changes), touched)
+
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        self._change(table, [src], era, touched, lambda base, s: merge_insert(base, s, keys))
+
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        self._change(table, [src], era, touched, lambda base, s: merge_upsert(base, s, keys))
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], source: str | None = None, near: DataFrame | None = None) -> int | None:
-        """Insert-if-absent, then NULL-preserving update; one join with the base, one new version."""
-        return self._change(table, [inserts, patches], source, near,
-                            lambda base, i, p: merge_insert_patch(base, i, p, keys, cols))
-
-    def erase(self, table: str, tenants: DataFrame, key: str, source: str | None = None) -> int | None:
-        """Drop the tenants' rows, and older copies of the buckets that held any."""
-        t = tenants.select(F.col(tenants.columns[0]).alias("__tenant")).distinct()
-        with self._lock(table):
-            if self.applied(table, source):
-                return None
-            base = self.read(table, only=self._of_tenants(table, tenants))
-            if base is None:
-                return None
-            # the bucket a row is in, whichever operation put it there
-            base = base.withColumn(BUCKET, F.regexp_extract(F.input_file_name(), f"/{BUCKET}=([^/]+)/", 1))
-            matched = F.col(key) == F.col("__tenant")
-            touched = {r[0] for r in base.select(key, BUCKET).join(t, matched, "left_semi").select(BUCKET).distinct().collect()}
-            if not touched:
-                return None
-            rest = base.filter(F.col(BUCKET).isin(sorted(touched))).join(t, matched, "left_anti")
-            return self._commit(table, rest, touched, source, forget=True)
-
-
-def _safe(source: str) -> str:
-    return "".join(c if c.isalnum() or c in ".-_" else "-" for c in source)
-
-
-class DeltaStore:
-    """The same operations as Delta MERGE / DELETE on ``<root>/<table>``.
-
-    Keys compare NULL-safe (``<=>``), like the portable forms. Tenant erasure is a
-    MERGE against the tenant frame (``WHEN MATCHED THEN DELETE``), so the tenant
-    list is never collected to the driver. The source of an operation is the commit's
-    user metadata; one that the history shows is not applied again."""
-
-    # Partitioning applied when a table is first created; MERGE / DELETE conditions on
-    # these columns prune files. Registrations use the 100-value bucket of their id.
+                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        """Insert-if-absent, then NULL-preserving update, with one join with the base."""
+        self._change(table, [inserts, patches], era, touched, lambda base, i, p: merge_insert_patch(base, i, p, keys, [*cols, ERA]))
+
+    def purge(self, tables: Sequence[str], since: int = 0) -> None:
+        erased = self._load("_erased")
+        if erased is None:
+            return
+        recent = erased.filter(F.col(ERA) > since).select("tenant").distinct()
+        if recent.isEmpty():
+            return
+        for table in tables:
+            stored = self._load(table)
+            tenant = self._layout(table).tenant
+            if stored is None or tenant is None or tenant not in stored.columns:
+                continue
+            stored = stored.filter(F.col(BUCKET).isin(self._of_tenants(table, recent)))
+            visible = self._visible(table, stored).select(ERA, BUCKET)
+            hidden = (stored.filter(F.col(ERA) > NO_ERA).groupBy(BUCKET).agg(F.count("*").alias("n"))
+                      .join(visible.groupBy(BUCKET).agg(F.count("*").alias("m")), BUCKET, "left").filter("m is null or m < n"))
+            buckets = sorted(r[0] for r in hidden.select(BUCKET).collect())     # at most as many as there are buckets
+            if buckets:
+                self._rewrite(table, self._visible(table, stored.filter(F.col(BUCKET).isin(buckets))).drop(BUCKET), buckets)
+
+
+class DeltaStore(StateStore):
+    """The same operations as Delta MERGE on ``<root>/<table>``.
+
+    Keys compare NULL-safe (``<=>``), like the portable forms. Replays and erasures are settled by eras,
+    as in the portable store, so no history is searched and no session setting is used; a merge that runs
+    again changes nothing."""
+    fmt = "delta"
+    # Partitioning applied when a table is first created; MERGE conditions on these columns prune files.
+    # Registrations use the 100-value bucket of their id.
     DEFAULT_PARTITIONS = {"registrations": ["bucket"], "user_registrations": ["organiser_id"], "prospects": ["organiser_Id"],
                           "contacts": ["organiser_Id"], "opportunities": ["organiser_Id"]}
-    HISTORY = 100
-    METADATA = "spark.databricks.delta.commitInfo.userMetadata"
 
     def __init__(self, spark: SparkSession, root: str, partition_by: dict[str, list[str]] | None = None):
         from delta.tables import DeltaTable  # noqa: F401  (fails fast when absent)
-        self.spark = spark
-        self.root = root.rstrip("/")
+        super().__init__(spark, root)
         self.partition_by = dict(self.DEFAULT_PARTITIONS if partition_by is None else partition_by)
 
     def _create(self, table: str, df: DataFrame, mode: str) -> None:
@@ -313,9 +324,6 @@ class DeltaStore:
             w = w.partitionBy(*self.partition_by[table])
         w.save(self._path(table))
 
-    def _path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
     def _dt(self, table: str):
         from delta.tables import DeltaTable
         p = self._path(table)
@@ -325,77 +333,61 @@ class DeltaStore:
     def _on(keys: Sequence[str]) -> str:
         return " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
 
-    def applied(self, table: str, source: str | None) -> bool:
+    def _load(self, table: str) -> DataFrame | None:
         t = self._dt(table)
-        return source is not None and t is not None and not t.history(self.HISTORY).filter(F.col("userMetadata") == source).isEmpty()
-
-    @contextlib.contextmanager
-    def _sourced(self, source: str | None) -> Iterator[None]:
-        if source is not None:
-            self.spark.conf.set(self.METADATA, source)
-        try:
-            yield
-        finally:
-            if source is not None:
-                self.spark.conf.unset(self.METADATA)
-
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        t = self._dt(table)
-        if t is None:
-            return None if schema is None else empty_frame(self.spark, schema)
-        return t.toDF()
-
-    def read_near(self, table: str, rows: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
-        return self.read(table, schema)
+        return None if t is None else t.toDF()
 
-    def read_tenants(self, table: str, tenants: DataFrame, schema: T.StructType | None = None) -> DataFrame | None:
-        return self.read(table, schema)     # dynamic partition pruning follows from the join
+    def touched(self, table: str, rows: DataFrame) -> list[int]:
+        return []        # file pruning follows from the MERGE condition and from joins
 
-    def put(self, table: str, df: DataFrame, source: str | None = None) -> None:
-        self._create(table, df, "overwrite")
+    def _of_tenants(self, table: str, tenants: DataFrame) -> None:
+        return None
 
-    def append(self, table: str, df: DataFrame, source: str | None = None) -> None:
-        if not self.applied(table, source):
-            with self._sourced(source):
-                self._create(table, df, "append")
+    def put(self, table: str, df: DataFrame, era: int = 0) -> None:
+        self._create(table, df.withColumn(ERA, F.lit(era).cast("bigint")), "overwrite")
 
-    def _merge(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None, build) -> None:
-        if self.applied(table, source):
+    def _merge(self, table: str, src: DataFrame, keys: Sequence[str], era: int, build) -> None:
+        src = src.withColumn(ERA, F.lit(era).cast("bigint"))
+        self.purge([table])      # erased rows are not there for the merge either
+        t = self._dt(table)
+        if t is None:
+            self._create(table, src, "append")
             return
-        with self._sourced(source):
-            t = self._dt(table)
-            if t is None:
-                self._create(table, src, "append")
-                return
-            build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
+        build(t.alias("t").merge(src.alias("s"), self._on(keys))).execute()
 
-    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
-                         near: DataFrame | None = None) -> None:
-        self._merge(table, src, keys, source, lambda m: m.whenNotMatchedInsertAll())
+    def insert_if_absent(self, table: str, src: DataFrame, keys: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        self._merge(table, src, keys, era, lambda m: m.whenNotMatchedInsertAll())
 
-    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], source: str | None = None,
-               near: DataFrame | None = None) -> None:
-        self._merge(table, src, keys, source, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
+    def upsert(self, table: str, src: DataFrame, keys: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        self._merge(table, src, keys, era, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], source: str | None = None, near: DataFrame | None = None) -> None:
-        self.insert_if_absent(table, inserts, keys, source and f"{source}.insert")
-        upd = {c: f"coalesce(s.`{c}`, t.`{c}`)" for c in cols}
-        self._merge(table, patches, keys, source, lambda m: m.whenMatchedUpdate(set=upd))
-
-    def erase(self, table: str, tenants: DataFrame, key: str, source: str | None = None) -> None:
-        t = self._dt(table)
-        if t is None or self.applied(table, source):
+                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+        self.insert_if_absent(table, inserts, keys, era)
+        upd = {c: f"coalesce(s.`{c}`, t.`{c}`)" for c in [*cols, ERA]}
+        self._merge(table, patches, keys, era, lambda m: m.whenMatchedUpdate(set=upd))
+
+    def purge(self, tables: Sequence[str], since: int = 0) -> None:
+        erased = self._load("_erased")
+        if erased is None:
             return
-        ids = tenants.select(F.col(tenants.columns[0]).alias("__tenant")).distinct()
-        with self._sourced(source):
-            t.alias("t").merge(ids.alias("s"), f"t.`{key}` = s.__tenant").whenMatchedDelete().execute()
+        gone = erased.filter(F.col(ERA) > since).groupBy("tenant").agg(F.max(ERA).alias("erased_in"))
+        for table in tables:
+            t, tenant = self._dt(table), self._layout(table).tenant
+            if t is not None and tenant is not None:
+                t.alias("t").merge(gone.alias("s"), f"t.`{tenant}` = s.tenant AND t.`{ERA}` < s.erased_in").whenMatchedDelete().execute()
+
+
+def read_dead_letters(store: StateStore) -> DataFrame | None:
+    """What neither job could read, as far as its tenants were not erased."""
+    found = [d for d in map(store.read, ("cdc_dead_letters", "crm_dead_letters")) if d is not None]
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
-def open_store(spark: SparkSession, root: str, fmt: str, partition_by: dict | None = None):
-    """``delta`` or ``snapshot``; there is no default, and a missing Delta package is an error."""
+def open_store(spark: SparkSession, root: str, fmt: str, partition_by: dict | None = None) -> StateStore:
+    """``delta`` or ``parquet``; there is no default, and a missing Delta package is an error."""
     if fmt == "delta":
         return DeltaStore(spark, root, partition_by)
-    if fmt == "snapshot":
-        return SnapshotStore(spark, root)
-    raise ValueError(f"state_format must be delta or snapshot, not {fmt!r}")
+    if fmt == "parquet":
+        return ParquetStore(spark, root)
+    raise ValueError(f"state_format must be delta or parquet, not {fmt!r}")
