@@ -87,7 +87,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keep_rows(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (``left_semi``) or is not (``left_anti``) in ``ids``;
-    the key is renamed, so extra columns of ``docs`` cannot clash."""
-    return docs.join(ids.select(F.col("doc_id").alias("__only_id")), F.col("doc_id") == F.col("__only_id"), how)
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row in ``ROW``, staged, so that the numbers stay: what is decided about
+    a row can be carried out on that row, whether its doc_id is null, repeated or neither."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def keep_rows(rows: DataFrame, decided: DataFrame, how: str) -> DataFrame:
+    """Rows of ``numbered`` documents whose number is (``left_semi``) or is not (``left_anti``) in the one column of
+    ``decided``, without the number."""
+    found = decided.select(F.col(decided.columns[0]).alias("__only_row"))
+    return rows.join(found, F.col(ROW) == F.col("__only_row"), how).drop(ROW)

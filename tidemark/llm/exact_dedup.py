@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach, keep_rows, map_arrow, raw_bytes, stage
+from tidemark.llm.common import ROW, attach, keep_rows, map_arrow, numbered, raw_bytes, stage
 
 #: Bytes of text that one open-addressing table holds before records are passed on.
 TABLE_BYTES = 48 << 20
@@ -171,22 +171,24 @@ def text_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, bucket_bytes: i
         level += 1
 
 
-def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES, bucket_bytes: int = BUCKET_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and the columns to ``carry``."""
     groups = text_groups(docs, table_bytes, bucket_bytes)
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper, upper.lower())
-    rows = stage(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.sha2(text, 256).alias("text_sha256")), "digests")
+    rows = stage(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"), *carry), "digests")
     # singles keep themselves; only repeated texts are joined
     many = groups.filter("n > 1").select(F.lower(F.hex("digest")).alias("text_sha256"), F.col("max_id").alias("keep"),
                                          F.col("n").alias("size"))
     out = attach(rows, many, "text_sha256", "size", rows.count())
     keep = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1).cast("bigint")).alias("group_size"),
-                      keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256")
+                      keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256", *carry)
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text another row with a larger doc_id has."""
-    gone = exact_dedup(docs).filter("not kept")
-    return keep_rows(docs, gone, "left_anti")
+    """``docs`` with one row of each text: one with the largest doc_id (rows with a null doc_id only
+    where no other has the text; of rows that share text and doc_id, any one)."""
+    rows = numbered(docs)
+    kept = exact_dedup(rows, carry=(ROW,)).filter("kept").groupBy("text_sha256").agg(F.max(ROW).alias(ROW))
+    return keep_rows(rows, kept.select(ROW), "left_semi")

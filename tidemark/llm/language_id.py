@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep_rows, map_arrow
+from tidemark.llm.common import ROW, keep_rows, map_arrow, numbered
 
 DIMENSIONS = 512
 SEED = 20
@@ -163,5 +163,7 @@ def language_id(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows in which no language is found."""
-    return keep_rows(docs, language_id(docs).filter("lang_pred = 'und'"), "left_anti")
+    """``docs`` without the rows in which no language is found; each row is decided by itself, whatever its doc_id."""
+    rows = numbered(docs)
+    found = predict(rows.select(F.col(ROW).alias("doc_id"), "text"), prototypes(rows.filter(~held_out(F.col("doc_id")))))
+    return keep_rows(rows, found.filter("lang_pred = 'und'").select("doc_id"), "left_anti")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach, components, keep_rows, map_arrow, raw_bytes, stage
+from tidemark.llm.common import ROW, attach, components, keep_rows, map_arrow, numbered, raw_bytes, stage
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 BLOCK_BITS = 16
@@ -119,20 +119,33 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_B
 
 def simhash_dedup(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 lowercase hex digits), component_id."""
+    rows, groups = simhash_groups(docs, max_bits, shingle, max_bucket)
+    out = attach(rows, groups, "fp", "n", rows.count())
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def simhash_groups(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` per row, and per fingerprint ``(fp, n, component, component_id)``: the smallest
+    fingerprint and the smallest doc_id of its component."""
     rows = stage(fingerprints(docs, shingle), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "distinct-fp")
     comp = stage(components(links(distinct.select("fp"), max_bits, max_bucket)), "components")
     linked = distinct.join(comp.withColumnRenamed("node", "fp"), "fp")
     lowest = linked.groupBy("component").agg(F.min("low").alias("component_id"))
-    linked = linked.join(lowest, "component").select("fp", "component_id")
+    linked = linked.join(lowest, "component").select("fp", "component", "component_id")
     groups = stage(distinct.join(linked, "fp", "left")
-                   .select("fp", "n", F.coalesce("component_id", "low").alias("component_id")), "fp-groups")
-    out = attach(rows, groups, "fp", "n", rows.count())
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+                   .select("fp", "n", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "low").alias("component_id")), "fp-groups")
+    return rows, groups
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id (all rows
-    without a doc_id in a component without any)."""
-    gone = simhash_dedup(docs).filter("component_id <> doc_id")
-    return keep_rows(docs, gone, "left_anti")
+    """``docs`` with one row of each component: one with the smallest doc_id, of rows that share it any one, a row
+    without doc_id only where no other is in the component."""
+    numbers = numbered(docs)
+    rows, groups = simhash_groups(numbers.select(F.col(ROW).alias("doc_id"), "text"))
+    # each row's order within its component; the smallest stays, by partial aggregation
+    ids = numbers.select(ROW, F.col("doc_id").cast("bigint").alias("id"))
+    of = attach(rows, groups.select("fp", "n", "component"), "fp", "n", rows.count())
+    kept = (of.join(ids, F.col("doc_id") == F.col(ROW)).groupBy("component")
+            .agg(F.min(F.struct(F.col("id").isNull(), "id", ROW)).alias("first")).select(F.col("first")[ROW].alias(ROW)))
+    return keep_rows(numbers, kept, "left_semi")
