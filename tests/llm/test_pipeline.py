@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from tidemark.llm.decontaminate import words
+from tidemark.llm.decontaminate import drop_contaminated, words
 from tidemark.llm.queries import ORACLES, QUERIES
 from tests.llm.test_dedup import brute_components, brute_fingerprint, lower
 from tests.llm.test_mixing import brute_mix
@@ -42,23 +42,52 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+ROWS = [(5, "one two three x"), (5, "four five six y"), (9, "one two three x"), (None, "copy seven eight t"), (None, "COPY seven eight t"),
+        (1, "copy seven eight t"), (None, "alone nine ten z"), (None, "alone nine ten z"), (7, "twice a b c"), (7, "twice a b c"), (None, "123"), (3, "123"), (3, "words")]
+
+
+def test_stages_decide_rows_not_ids(spark):
+    """Rows without id, and rows that share one: no unique text is lost, no copy stays."""
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(ROWS)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in stages["language ID"](spark, docs, SF).collect())
+    assert kept == sorted((i is None, i or 0, t) for i, t in ROWS if t != "123")
+    for name in ("exact dedup", "SimHash near-dedup"):
+        out = [(r["doc_id"], lower(r["text"])) for r in stages[name](spark, docs, SF).collect()]
+        assert len(out) == len({t for _, t in out}) == len({lower(t) for _, t in ROWS}), name
+        ids = {t: {i for i, x in ROWS if lower(x) == t} for t in {lower(x) for _, x in ROWS}}
+        pick = max if name == "exact dedup" else min
+        assert all(i == (pick(ids[t] - {None}) if ids[t] - {None} else None) for i, t in out), name
+    bench = spark.createDataFrame([(1, "four five six"), (2, "alone nine ten z")], "item_id bigint, text string")
+    clean = sorted(r["text"] for r in drop_contaminated(docs, bench).collect())
+    assert clean == sorted(t for _, t in ROWS if t not in ("four five six y", "alone nine ten z"))
+
+
+def test_a_third_of_the_ids_is_null(spark):
+    docs = spark.range(3_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 700).alias("doc_id"), F.concat(F.lit("a text of its own "), (F.col("id") % 1_000).cast("string")).alias("text"),
+                                     F.lit("en").alias("lang"), F.lit("s").alias("source"), F.col("id").alias("n_chars"))
+    kept = dict(corpus_pipeline.STAGES)["exact dedup"](spark, docs, SF)
+    assert kept.count() == kept.select("text").distinct().count() == 1_000
+
+
 def test_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
     df = QUERIES[name](spark, "/root/testdata/sf0.001")
     cur = con.execute(ORACLES[name])
     cols = [c[0] for c in cur.description]
-    want = sorted((dict(zip(cols, r, strict=True)) for r in cur.fetchall()), key=lambda r: next(iter(r.values())))
-    got = sorted((r.asDict() for r in df.select(*cols).collect()), key=lambda r: next(iter(r.values())))
+    order = lambda r: [(v is None, v) for v in list(r.values())[:2]]
+    want = sorted((dict(zip(cols, r, strict=True)) for r in cur.fetchall()), key=order)
+    got = sorted((r.asDict() for r in df.select(*cols).collect()), key=order)
     assert sorted(cols) == sorted(df.columns) and len(got) == len(want)
     for g, w in zip(got, want, strict=True):
         floats = {k for k, v in w.items() if isinstance(v, float)}

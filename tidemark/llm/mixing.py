@@ -4,7 +4,8 @@ Sizes are summed by source and by the leading bits of a hash of doc_id. A source
 ``passes`` whole copies of it and a budget of words beyond them; the running sum over the buckets
 shows where that budget ends. Buckets before that boundary are taken whole, later ones not at all,
 and only the boundary bucket is summed again by the next hash bits, until the boundary falls
-between two hash values. The thresholds are nested: a larger budget keeps every document that a
+on one hash value. Its document is taken if the sum is then nearer the budget than without it, so a source
+misses its target by at most half of one document, however long that is. The thresholds are nested: a larger budget keeps every document that a
 smaller one takes. Documents are then filtered by comparing their hash with their source's
 threshold; nothing is sorted.
 
@@ -88,15 +89,16 @@ def thresholds(narrow: DataFrame, goal: DataFrame) -> DataFrame:
         order = Window.partitionBy("s").orderBy("bucket")
         # the boundary: the first bucket that the budget does not hold whole
         sums = sums.withColumn("upto", F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        edge = (sums.filter("upto > left").groupBy("s").agg(F.min_by(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("words")).alias("left"), "lo", "hi"), "bucket").alias("e"))
+        edge = (sums.filter("upto > left").groupBy("s").agg(F.min_by(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("words")).alias("left"), "words", "lo", "hi"), "bucket").alias("e"))
                 .select(F.col("s").alias("es"), "e.*", F.lit(True).alias("found")).withColumnRenamed("left", "rest"))
         state = state.join(edge, F.col("source").eqNullSafe(F.col("es")), "left")
         # settled: no boundary (the budget holds all that is left), or one hash value in the boundary bucket
         found = F.coalesce("found", F.lit(False))
+        nearer = (F.col("lo") == F.col("hi")) & (F.col("words") < 2 * F.col("rest"))     # with the boundary's rows than without
         state = stage(state.select(
             "source", "source_size", "target", "passes",
             F.when(F.col("open") & found, F.col("rest")).otherwise(F.col("left")).alias("left"),
-            F.when(F.col("open") & found, F.col("bucket")).when(F.col("open"), F.concat("prefix", F.lit("g"))).otherwise(F.col("prefix")).alias("prefix"),
+            F.when(F.col("open") & found & nearer, F.concat("bucket", F.lit("g"))).when(F.col("open") & found, F.col("bucket")).when(F.col("open"), F.concat("prefix", F.lit("g"))).otherwise(F.col("prefix")).alias("prefix"),
             (F.col("open") & found & (F.col("lo") != F.col("hi"))).alias("open")), f"mix-level-{level}")
         if state.filter("open").isEmpty():
             break

@@ -149,10 +149,11 @@ ORACLES: dict[str, str] = {
               FROM g LEFT JOIN lv ON true),
         x AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
                      CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END::BIGINT AS passes,
-                     sum(size) OVER (PARTITION BY d.source ORDER BY digits) AS upto
+                     sum(size) OVER (PARTITION BY d.source ORDER BY digits) AS upto, sum(size) OVER (PARTITION BY d.source, digits) AS words,
+                     t.target - CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END::BIGINT * t.source_size AS budget
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, source, size, source_size, target,
-               (size * (passes + CASE WHEN upto <= target - passes * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+               (size * (passes + CASE WHEN upto <= budget OR (upto - words <= budget AND words < 2 * (budget - (upto - words))) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM x""",
     "op11_prefix_trie": """
         WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
