@@ -89,3 +89,38 @@ def test_insert_typing(spark):
     assert (r["initLoginAt"], r["isLoggedIn"], r["event_id"], r["organiser_id"]) == (1001, True, 3, 7)
     assert r["bucket"] == sum(map(ord, "a")) % 100
     assert ch.select(F.col("OPS")).first()[0] == "INSERT"
+
+
+def test_dotted_keys_and_unset_fields(spark):
+    from tidemark.operators.changes import REG_KEYS, change_types, latest_patches, with_bucket
+    from tidemark.operators.decode import KEPT, envelope_fates, registration_patch_fates
+    from tidemark.operators.merge import merge_insert_patch
+    from tidemark.schemas import REGISTRATION_FIELDS
+
+    def patch(ts, set_=None, unset=None):
+        p = {"$v": "2"} | ({"$set": json.dumps(set_)} if set_ else {}) | ({"$unset": json.dumps(unset)} if unset else {})
+        return envelope(patch=p, filter_="a", ts=ts)
+
+    vals = [patch(1, {"immutable.isLoggedIn": True, "immutable.initLoginAt": "12", "firstName": "N"}), patch(2, unset={"immutable": "", "source": True}),
+            patch(3, {"userId.$oid": "u9", "lastName": "Z"}, {"lastName": 1, "unknown.field": 1}), patch(4, unset={"unknown": 1})]
+    env = route(envelope_fates(records(spark, vals)), "communities")
+    plain = {r["ts_ms"]: r for r in registration_patch_fates(env).collect()}
+    assert [plain[i]["fate"] for i in (1, 2, 3, 4)] == [KEPT, "ruled out", KEPT, "ruled out"]       # the default reads no paths
+    assert plain[1]["isLoggedIn"] is None and "unset" not in plain[1].asDict()
+    fates = registration_patch_fates(env, dotted=True)
+    got = {r["ts_ms"]: r for r in fates.collect()}
+    assert [got[i]["fate"] for i in (1, 2, 3, 4)] == [KEPT, KEPT, KEPT, "ruled out"]
+    assert (got[1]["isLoggedIn"], got[1]["initLoginAt"], got[1]["firstName"], got[1]["unset"]) == ("true", "12", "N", [])
+    assert sorted(got[2]["unset"]) == ["initLoginAt", "isLoggedIn", "source"] and (got[3]["userId"], got[3]["unset"]) == ("u9", ["lastName"])
+
+    changes = with_bucket(change_types(fates.filter(F.col("fate") == KEPT)))
+    base = spark.createDataFrame([("a", "F", "L", 5, True, "s", "u1")], "_id string, firstName string, lastName string, initLoginAt long, isLoggedIn boolean, source string, userId string")
+    rest = {"event_id": "bigint", "exhibitor_id": "string", "localCreatedAt": "double", "organiser_id": "bigint", "speaker_id": "bigint"}
+    base = with_bucket(base.withColumns({c: F.lit(None).cast(t) for c, t in rest.items()}))
+    seen = {}
+    for mode in ("latest", "fold"):
+        new = latest_patches(changes, mode).select(*REG_KEYS, *REGISTRATION_FIELDS, "unset")
+        out = merge_insert_patch(base, base.limit(0), new, REG_KEYS, REGISTRATION_FIELDS, "unset").first()
+        seen[mode] = [out[c] for c in ("firstName", "lastName", "initLoginAt", "isLoggedIn", "source", "userId")]
+    # the newest patch alone (its value for a field wins over its own unset); all three folded
+    assert seen == {"latest": ["F", "Z", 5, True, "s", "u9"], "fold": ["N", "Z", None, None, None, "u9"]}

@@ -236,6 +236,19 @@ def cdc_messages(spark: SparkSession, d: str) -> DataFrame:
     return mu.unionByName(mr).unionByName(mp)
 
 
+def dotted_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The same inserts, with patches in dotted form: logins as ``immutable.*`` keys; clicks unset the source and purchases
+    the first name; deletes as before."""
+    p = patches(spark, d)
+    logins = F.to_json(F.struct(F.col("initLoginAt").alias("immutable.initLoginAt"), F.col("isLoggedIn").alias("immutable.isLoggedIn"), "event_id"))
+    unset = F.when(F.col("source").isNotNull(), F.lit('{"source":true}')).when(F.col("firstName").isNotNull(), F.lit('{"firstName":""}'))
+    patch = F.when(~F.col("is_delete"), F.to_json(F.struct(F.lit("2").alias("$v"), F.when(unset.isNull(), logins).alias("$set"), unset.alias("$unset"))))
+    flt = F.to_json(F.struct(F.to_json(_oid("_id")).alias("_id")))
+    env = F.to_json(F.struct(F.struct(patch.alias("patch"), flt.alias("filter"), _source(REGISTRATIONS_COLLECTION, F.col("ts_ms")).alias("source")).alias("payload")))
+    inserts = cdc_messages(spark, d).filter("partition = 0").drop("file_no")
+    return inserts.unionByName(p.select(*_record("_id", env, REGISTRATIONS_TOPIC, 1, F.col("kafka_offset"), F.col("ts_ms"))))
+
+
 def crm_messages(spark: SparkSession, d: str) -> DataFrame:
     """CRM prospect payloads (one per order) with ``batch_no`` (0: created before
     ``PROSPECT_CUT``)."""

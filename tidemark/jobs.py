@@ -11,7 +11,7 @@ environment of the cluster, never in code or in this repository. Keys:
     partition_by (Delta only, e.g. {"registrations": ["bucket"], "contacts": ["organiser_Id"]}),
     trigger (e.g. {"processingTime": "5 minutes"}),
     cdc:  {"source": {"format": "kafka", "options": {...}}, "topic_pattern": "...",
-           "patch_mode": "latest", "warehouse": {"format": ..., "root": ..., "options": {...}},
+           "patch_mode": "latest", "dotted": false (read dotted $set keys and $unset), "warehouse": {"format": ..., "root": ..., "options": {...}},
            "warehouse_table": "community_users"}
     sync: {"notices": {...}, "notice_topic": "...", "crm": {...}, "crm_topic": "...",
            "rates": {"format": ..., "root"|"options": ...}, "rates_table": "exchange_rates",
@@ -59,7 +59,7 @@ def run(kind: str, conf: dict, spark: SparkSession | None = None):
         wh = WarehouseConf(**c["warehouse"]) if c.get("warehouse") else None
         return start_cdc_stream(spark, _stream(c["source"]), c["topic_pattern"], store,
                                 f"{conf['checkpoint_root']}/cdc", trigger,
-                                CdcConf(patch_mode=c.get("patch_mode", "latest"),
+                                CdcConf(patch_mode=c.get("patch_mode", "latest"), dotted=c.get("dotted", False),
                                         warehouse_table=c.get("warehouse_table", CdcConf.warehouse_table)), wh)
     if kind == "sync":
         c = conf["sync"]

@@ -55,7 +55,13 @@ def latest_patches(changes: DataFrame, mode: str = "latest") -> DataFrame:
     if mode != "fold":
         raise ValueError(f"unknown patch mode {mode!r}")
     order = F.struct(*CHANGE_ORDER)
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in REGISTRATION_FIELDS]
+    if "unset" in upd.columns:      # a field's newest word: its value, or that it is unset
+        gone = {c: F.coalesce(F.array_contains("unset", c), F.lit(False)) & F.col(c).isNull() for c in REGISTRATION_FIELDS}
+        last = {c: F.max_by(F.struct(F.col(c).alias("value"), gone[c].alias("gone")), F.when(F.col(c).isNotNull() | gone[c], order)) for c in REGISTRATION_FIELDS}
+        aggs = [x["value"].alias(c) for c, x in last.items()]
+        aggs.append(F.array_compact(F.array(*[F.when(x["gone"], F.lit(c)) for c, x in last.items()])).alias("unset"))
+    else:
+        aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in REGISTRATION_FIELDS]
     aggs += [F.max_by(F.col(c), order).alias(c) for c in CHANGE_META]
     return upd.groupBy(*REG_KEYS).agg(*aggs)
 

@@ -77,7 +77,7 @@ def envelope_fates(rec: DataFrame) -> DataFrame:
     """Two-step decode of a change record: the payload's inner documents are JSON text.
 
     Columns: topic, partition, offset, db, collection, ts_ms, _id (filter id as JSON
-    text), after (document JSON), v and set_doc (the patch's ``$v`` and ``$set``)."""
+    text), after (document JSON), v, set_doc and unset_doc (the patch's ``$v``, ``$set`` and ``$unset``)."""
     at = ["topic", "partition", "offset", "value"]
     d = parse_once(rec, at, {"m": ("value", S.ENVELOPE)})
     d = parse_once(d, [*at, F.col("m.payload").isNotNull().alias("read"), F.col("m.payload.after").alias("after"),
@@ -87,8 +87,8 @@ def envelope_fates(rec: DataFrame) -> DataFrame:
     df = d.select(
         *at, F.col("src.db").alias("db"), F.col("src.collection").alias("collection"), F.col("src.ts_ms").alias("ts_ms"),
         F.col("flt._id").alias("_id"), "after", F.col("pat")["$v"].alias("v"), F.col("pat")["$set"].alias("set_doc"),
-        "read", _unread("filter_text", "flt", F.col("flt._id")).alias("bad_filter"),
-        _unread("patch_text", "pat", F.col("pat")["$set"]).alias("bad_patch"))
+        F.col("pat")["$unset"].alias("unset_doc"), "read", _unread("filter_text", "flt", F.col("flt._id")).alias("bad_filter"),
+        _unread("patch_text", "pat", F.coalesce(F.col("pat")["$set"], F.col("pat")["$unset"])).alias("bad_patch"))
     blank = F.col("value").isNull() | (F.trim("value") == "")
     return _judge(df, ENVELOPE_COLUMNS, "envelope", [(blank, NO_VALUE), (~F.col("read"), "unreadable envelope"),
                                    (F.col("collection").isNull(), "unreadable source"),
@@ -96,7 +96,7 @@ def envelope_fates(rec: DataFrame) -> DataFrame:
                                    (F.col("bad_patch"), "unreadable patch")])
 
 
-ENVELOPE_COLUMNS = ["topic", "partition", "offset", "db", "collection", "ts_ms", "_id", "after", "v", "set_doc"]
+ENVELOPE_COLUMNS = ["topic", "partition", "offset", "db", "collection", "ts_ms", "_id", "after", "v", "set_doc", "unset_doc"]
 
 
 def decode_envelope(rec: DataFrame) -> DataFrame:
@@ -174,18 +174,49 @@ def decode_registration_inserts(env: DataFrame, max_name_len: int = 264, allow_n
     return changes_of(registration_insert_fates(env, max_name_len, allow_null_names))
 
 
-def registration_patch_fates(env: DataFrame) -> DataFrame:
+#: Where a registration field stands in a patch, in dotted form; unsetting a parent unsets what is in it.
+FIELD_PATHS = {**{f: f for f in S.REGISTRATION_FIELDS}, "initLoginAt": "immutable.initLoginAt", "isLoggedIn": "immutable.isLoggedIn", "userId": "userId.$oid"}
+
+
+def _dotted(doc: Column, path: str) -> Column:
+    """The value, as text, under a key that is a path, such as ``immutable.isLoggedIn``."""
+    return F.try_variant_get(F.try_parse_json(doc), f"$['{path}']", "string")
+
+
+def _unset(doc: Column) -> Column:
+    """Names of the registration fields that an ``$unset`` document names, by dotted path or by a parent."""
+    v = F.try_parse_json(doc)
+
+    def named(key: str) -> Column:
+        return F.try_variant_get(v, f"$['{key}']", "variant").isNotNull()
+
+    found = [F.when(reduce(lambda a, b: a | b, [named(k) for k in {path, path.split(".")[0]}]), F.lit(f)) for f, path in FIELD_PATHS.items()]
+    return F.array_compact(F.array(*found))
+
+
+def registration_patch_fates(env: DataFrame, dotted: bool = False) -> DataFrame:
     """Patches (no ``after``): id from the filter document, fields from ``$set``.
-    Deletes and patches without a known field change nothing."""
-    d = parse_once(env.filter(F.col("after").isNull()), [*_PLACE, F.col("_id").alias("id_text"), "set_doc"],
+    Deletes and patches without a known field change nothing.
+
+    ``dotted`` also reads keys that are paths (``"immutable.isLoggedIn": ...``) and adds ``unset``, the fields that
+    ``$unset`` names, which then become NULL."""
+    more = []
+    if dotted:
+        more = [F.struct(*[_dotted(F.col("set_doc"), path).alias(f) for f, path in FIELD_PATHS.items() if "." in path]).alias("paths"),
+                _unset(F.col("unset_doc")).alias("unset")]
+    d = parse_once(env.filter(F.col("after").isNull()), [*_PLACE, F.col("_id").alias("id_text"), "set_doc", *more],
                    {"f": ("_id", S.OID), "d": ("set_doc", S.REGISTRATION_DOC)})
-    fields = _registration_cols("d")
-    df = d.select(F.col("f")["$oid"].alias("_id"), *fields, *_PLACE, "set_doc", F.lit("UPDATE").alias("OPS"),
+    fields = dict(zip(S.REGISTRATION_FIELDS, _registration_cols("d")))
+    if dotted:
+        fields |= {f: F.coalesce(fields[f], F.col("paths")[f]).alias(f) for f, path in FIELD_PATHS.items() if "." in path}
+    df = d.select(F.col("f")["$oid"].alias("_id"), *fields.values(), *(["unset"] if dotted else []), *_PLACE, "set_doc", F.lit("UPDATE").alias("OPS"),
                   _unread("id_text", "f", F.col("f")["$oid"]).alias("bad_id"),
                   F.col("d")[CORRUPT].isNotNull().alias("partly"),
                   (F.col("d.organiser_id").isNotNull() & F.col("d.organiser_id").try_cast("bigint").isNull()).alias("bad_tenant"))
     some = any_not_null(S.REGISTRATION_FIELDS)
-    return _judge(df, ["topic", *_CHANGE], "patches", [(F.col("bad_id"), "unreadable id"), (F.col("partly") & ~some, "unreadable fields")],
+    if dotted:
+        some = some | (F.size("unset") > 0)
+    return _judge(df, ["topic", *_CHANGE, *(["unset"] if dotted else [])], "patches", [(F.col("bad_id"), "unreadable id"), (F.col("partly") & ~some, "unreadable fields")],
                   [(~some & ~F.col("bad_tenant"), EMPTY_CHANGE)],
                   [(F.col("bad_tenant"), BAD_TENANT), (F.col("partly"), PARTLY_READ)], "set_doc")
 

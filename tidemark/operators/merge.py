@@ -49,14 +49,15 @@ def merge_patch(base: DataFrame, patch: DataFrame, keys: Sequence[str],
 
 
 def merge_insert_patch(base: DataFrame, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                       cols: Sequence[str]) -> DataFrame:
+                       cols: Sequence[str], unset: str | None = None) -> DataFrame:
     """``merge_patch(merge_insert(base, inserts), patches)`` with one join against the
     base instead of two.
 
     The batch side is combined first (inserts ⟗ patches, both batch-sized), then
     joined once with the base: a key keeps its base row, or takes the insert when
     the base lacks it, and in both cases the patch's non-NULL fields win. Patches
-    of keys in neither are ignored. ``inserts`` and ``patches`` must be unique per key."""
+    of keys in neither are ignored. ``inserts`` and ``patches`` must be unique per key. ``unset`` names a column of
+    ``patches`` that lists the columns to make NULL (those that the patch gives no value)."""
     rest = [c for c in base.columns if c not in keys]
 
     def eq(a: str, b: str):
@@ -65,10 +66,11 @@ def merge_insert_patch(base: DataFrame, inserts: DataFrame, patches: DataFrame,
     # every column renamed: the three inputs often share lineage (one change set)
     i = inserts.select(*[F.col(k).alias(f"__ik_{k}") for k in keys],
                        *[F.col(c).alias(f"__i_{c}") for c in rest], F.lit(True).alias("__has_i"))
-    p = patches.select(*[F.col(k).alias(f"__pk_{k}") for k in keys], *[F.col(c).alias(f"__p_{c}") for c in cols])
+    p = patches.select(*[F.col(k).alias(f"__pk_{k}") for k in keys], *[F.col(c).alias(f"__p_{c}") for c in cols],
+                       *([F.col(unset).alias("__unset")] if unset else []))
     batch = i.join(p, eq("__ik_", "__pk_"), "full").select(
         *[F.coalesce(F.col(f"__ik_{k}"), F.col(f"__pk_{k}")).alias(f"__k_{k}") for k in keys],
-        *[F.col(f"__i_{c}") for c in rest], "__has_i", *[F.col(f"__p_{c}") for c in cols])
+        *[F.col(f"__i_{c}") for c in rest], "__has_i", *[F.col(f"__p_{c}") for c in cols], *(["__unset"] if unset else []))
     b = base.select(*[F.col(c).alias(f"__b_{c}") for c in base.columns], F.lit(True).alias("__has_b"))
     j = b.join(batch, eq("__b_", "__k_"), "full")
     has_b = F.coalesce(F.col("__has_b"), F.lit(False))
@@ -76,7 +78,10 @@ def merge_insert_patch(base: DataFrame, inserts: DataFrame, patches: DataFrame,
     def cur(c):
         return F.when(has_b, F.col(f"__b_{c}")).otherwise(F.col(f"__k_{c}" if c in keys else f"__i_{c}"))
 
-    out = [(F.coalesce(F.col(f"__p_{c}"), cur(c)) if c in cols else cur(c)).alias(c) for c in base.columns]
+    def old(c):
+        return F.when(~F.coalesce(F.array_contains("__unset", c), F.lit(False)), cur(c)) if unset else cur(c)
+
+    out = [(F.coalesce(F.col(f"__p_{c}"), old(c)) if c in cols else cur(c)).alias(c) for c in base.columns]
     return j.filter(has_b | F.coalesce(F.col("__has_i"), F.lit(False))).select(*out)
 
 

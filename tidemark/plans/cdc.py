@@ -44,6 +44,7 @@ class CdcConf:
     registrations_collection: str = "communities"
     patch_mode: str = "latest"        # "latest" (per-batch newest patch) or "fold"
     buckets: int = 100
+    dotted: bool = False              # read dotted $set keys and $unset (see registration_patch_fates)
     warehouse_table: str = "community_users"     # may be schema-qualified
 
 
@@ -80,7 +81,8 @@ def change_fates(rec: DataFrame, conf: CdcConf = CdcConf(), keep=lambda df: df)
     env = keep(env.withColumns({"fate": F.when(other, RULED_OUT).otherwise(F.col("fate")), "reason": F.when(other, "other collection").otherwise(F.col("reason"))}))
     read = kept(env)
     comm = route(read, conf.registrations_collection)
-    return ChangeFates(env, user_fates(route(read, conf.users_collection)), registration_insert_fates(comm), registration_patch_fates(comm))
+    return ChangeFates(env, user_fates(route(read, conf.users_collection)), registration_insert_fates(comm),
+                       registration_patch_fates(comm, conf.dotted))
 
 
 def decoded_batch(envelopes: DataFrame, users: DataFrame, inserts: DataFrame, patches: DataFrame) -> DataFrame:

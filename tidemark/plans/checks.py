@@ -130,6 +130,16 @@ def registration_upsert(spark, d):
     return _ws(spark, d).cdc_state(2).user_registrations.select(*USER_REGISTRATION_COLUMNS)
 
 
+def cdc_dotted_patches(spark, d):
+    """The registrations after one batch whose patches have dotted keys and unset fields."""
+    from tidemark.plans.cdc import CdcConf
+    from tidemark.sources.state import ParquetStore
+    from tidemark.streaming.cdc import cdc_batch
+    store = ParquetStore(spark, fresh_dir(spark, "dotted"))
+    cdc_batch(store, CdcConf(dotted=True), now=NOW, run_id="check")(fx.dotted_messages(spark, d), 0)
+    return store.read("registrations").select(*REG_OUT)
+
+
 def message_fates(spark, d):
     """What becomes of every message, some of them damaged: kept, ruled out by a rule, or rejected for a reason. The
     envelopes kept are the messages of the next three decoders, so the counts of each add up to what went in."""
@@ -477,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "completion_notice": completion_notice_q,  # P7 V4 X17 S7
     "warehouse_append_latest": warehouse_append_latest,  # S6 K14
     "warehouse_append_only": warehouse_append_only,  # S6
+    "cdc_dotted_patches": cdc_dotted_patches,  # P4 M3 K12
     "message_fates": message_fates,  # P1-P6 F10 A7
     "dead_letter_table": dead_letter_table,  # P1-P5
     "stream_cdc_apply": stream_cdc_apply,  # S1 S8 T1-T4 T7

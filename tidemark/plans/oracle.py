@@ -548,6 +548,11 @@ FROM top_all GROUP BY organiser_Id, event_id, ClosedWon"""),
 SELECT organiser_Id, 'erase' AS route FROM disabled UNION ALL SELECT organiser_Id, 'recompute' FROM fetched"""),
     "tenant_erasure": _erasure(),
     "event_funnel_keep": _funnel_keep(),
+    "cdc_dotted_patches": build(["ins_all", "pl_all"], """
+SELECT b._id, coalesce(p.event_id, b.event_id) AS event_id, b.exhibitor_id, CASE WHEN p.firstName IS NULL THEN b.firstName END AS firstName, b.lastName,
+       coalesce(p.initLoginAt, b.initLoginAt) AS initLoginAt, coalesce(p.isLoggedIn, b.isLoggedIn) AS isLoggedIn, b.localCreatedAt,
+       b.organiser_id, CASE WHEN p.source IS NULL THEN b.source END AS source, b.speaker_id, b.userId, b.bucket
+FROM ins_all b LEFT JOIN pl_all p ON p._id = b._id AND p.bucket = b.bucket"""),
     "time_forms": """
 SELECT o_orderkey, o_orderkey % 13 AS form,
        CASE WHEN o_orderkey % 13 = 12 THEN NULL WHEN o_orderkey % 13 = 3 THEN s - s % 86400

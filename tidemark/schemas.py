@@ -26,7 +26,7 @@ KAFKA_RECORD = _st(("key", T.BinaryType()), ("value", T.BinaryType()), ("topic",
 # (The change producer also sends its own schema text; nobody reads it, so it is not parsed.)
 ENVELOPE = _st(("payload", _st(("after", S), ("patch", S), ("filter", S), ("source", S))))
 FILTER = _st(("_id", S))
-PATCH = _st(("$v", S), ("$set", S))
+PATCH = _st(("$v", S), ("$set", S), ("$unset", S))
 SOURCE = _st(("db", S), ("collection", S), ("ts_ms", L))
 
 USER_DOC = _st(("_id", OID), ("email", S), ("organiser_id", S))

@@ -211,7 +211,7 @@ class StateStore:
         raise NotImplementedError
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None, unset: str | None = None) -> None:
         raise NotImplementedError
 
     def put(self, table: str, df: DataFrame, era: int = 0) -> None:
@@ -276,9 +276,10 @@ class ParquetStore(StateStore):
         self._change(table, [src], era, touched, lambda base, s: merge_upsert(base, s, keys))
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
-        """Insert-if-absent, then NULL-preserving update, with one join with the base."""
-        self._change(table, [inserts, patches], era, touched, lambda base, i, p: merge_insert_patch(base, i, p, keys, [*cols, ERA]))
+                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None, unset: str | None = None) -> None:
+        """Insert-if-absent, then NULL-preserving update, with one join with the base. ``unset`` names a column of
+        ``patches`` that lists the columns to make NULL."""
+        self._change(table, [inserts, patches], era, touched, lambda base, i, p: merge_insert_patch(base, i, p, keys, [*cols, ERA], unset))
 
     def purge(self, tables: Sequence[str], since: int = 0) -> None:
         erased = self._load("_erased")
@@ -362,9 +363,10 @@ class DeltaStore(StateStore):
         self._merge(table, src, keys, era, lambda m: m.whenMatchedUpdateAll().whenNotMatchedInsertAll())
 
     def insert_then_patch(self, table: str, inserts: DataFrame, patches: DataFrame, keys: Sequence[str],
-                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None) -> None:
+                          cols: Sequence[str], era: int = 0, touched: list[int] | None = None, unset: str | None = None) -> None:
         self.insert_if_absent(table, inserts, keys, era)
-        upd = {c: f"coalesce(s.`{c}`, t.`{c}`)" for c in [*cols, ERA]}
+        kept = "t.`{0}`" if unset is None else f"CASE WHEN coalesce(array_contains(s.`{unset}`, '{{0}}'), false) THEN NULL ELSE t.`{{0}}` END"
+        upd = {c: f"coalesce(s.`{c}`, {kept.format(c)})" for c in [*cols, ERA]}
         self._merge(table, patches, keys, era, lambda m: m.whenMatchedUpdate(set=upd))
 
     def purge(self, tables: Sequence[str], since: int = 0) -> None:
