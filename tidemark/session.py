@@ -49,7 +49,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder: stage tables, snapshots and "
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: stage tables, state and "
                                "stream checkpoints must survive the loss of any machine")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")   # local mode only (tests, laptops)
     sc.setCheckpointDir(root)
