@@ -122,3 +122,35 @@ def test_every_training_document_reaches_the_weights(spark):
         stats = lm.statistics(lm.word_counts(training))
         start, model = lm.initial_model(stats), lm.train(training, stats)
         assert any(not np.allclose(model[k], start[k], atol=1e-4) for k in ("wh", "wx", "wc")), i
+
+
+def test_scores_of_unknown_and_rare_words_step_by_step(spark, monkeypatch):
+    """``score`` of every row against a plain computation: words of the model, rare words and words never seen."""
+    monkeypatch.setattr(lm, "HEAD_SHARE", 30)      # most words are looked up by the join
+    rng = np.random.default_rng(3)
+    words = ["w%d" % min(int(z), 400) for z in rng.zipf(1.3, 3_000)]
+    docs = [(i, " ".join(words[40 * i:40 * i + 40 - i % 7])) for i in range(75)] + [(75, "never seen w1"), (76, ""), (77, None), (78, "W1 w1 w399")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    kept = {}
+    train = lm.train
+    monkeypatch.setattr(lm, "train", lambda t, s: kept.setdefault("model", train(t, s)))
+    got = {r["doc_id"]: r for r in lm.lm_score(df).collect()}
+    model = {k: v.astype(float) for k, v in kept["model"].items()}
+    seqs = {i: [*(t or "").lower().split(), ""] for i, t in docs}
+    counts = Counter(w for i, s in seqs.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in s)
+    n, v = sum(counts.values()), len(counts)
+    head = sorted((w for w, c in counts.items() if c * 30 > n), key=lambda w: (-counts[w], w))
+    rank = {w: k for k, w in enumerate(head)}
+    rest = n - sum(counts[w] for w in head) + v - len(head) + 1
+    assert 3 < len(head) < v and any(w not in counts for s in seqs.values() for w in s)
+    pc_of = lambda x: np.exp(x) / np.exp(x).sum()
+    for i, seq in seqs.items():
+        h, last, total = np.zeros((1, lm.HIDDEN)), rank[""], 0.0
+        for w in seq:
+            k = rank.get(w, lm.VOCABULARY - 1)
+            h = lm.step(model, model["embed"][[last]] @ model["wx"] + model["b"], h)[0]
+            c = k // lm.PER_CLASS
+            total += math.log10(pc_of((h @ model["wc"] + model["bc"])[0])[c]) + math.log10(pc_of((h @ model["ww"][c] + model["bw"][c])[0])[k % lm.PER_CLASS])
+            total += 0.0 if w in rank else math.log10((counts[w] + 1) / rest)
+            last = k
+        assert got[i]["score"] == pytest.approx(total, rel=1e-4), i

@@ -8,7 +8,9 @@ by a shuffled join.
 The model is a gated recurrent unit over the ``VOCABULARY`` most frequent words, with a softmax factored into
 word classes by frequency rank. Its output biases start at the words' training frequencies. Every task
 trains a copy on its share of the training documents (no document is left out) by truncated backpropagation in
-numpy over windows of ``STEPS`` tokens, the state being carried from window to window; Spark averages the copies, weighted by tokens. A word outside the vocabulary costs the unknown
+numpy over windows of ``STEPS`` tokens, the state being carried from window to window; Spark averages the copies, weighted by tokens (each
+copy is one binary block a parameter, summed in two steps). So the weights depend on how the documents are dealt to tasks; the counts and the
+base score do not. A word outside the vocabulary costs the unknown
 word's probability times its share (c + 1) / (tokens + words + 1) of the rest.
 
 Scoring runs the documents of a batch side by side; their state is carried across windows from the first word
@@ -278,22 +280,40 @@ def train(training: DataFrame, stats: Statistics) -> dict[str, np.ndarray]:
         if pending:
             learn()
         if seen:
-            for name in names:
-                flat = model[name].astype(np.float64).ravel() * seen
-                for i in range(0, len(flat), 1024):
-                    part = flat[i:i + 1024]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(np.arange(i, i + len(part), dtype=np.int32)),
-                                                      pa.array(part), pa.array(np.full(len(part), seen))], names=["name", "at", "value", "weight"])
-
-    # the sums are bounded by the model's size
-    sums = (map_arrow(training.select(F.col("text").cast("string")), run, "name string, at int, value double, weight bigint").groupBy("name", "at")
-            .agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas())
+            yield _blocks({name: model[name].astype(np.float64).ravel() * seen for name in names}, seen)
+
+    copies = map_arrow(training.select(F.col("text").cast("string")), run, BLOCKS)
+    # in two steps, so that neither reads more than about the root of the number of tasks
+    tasks = training.rdd.getNumPartitions()
+    for parts in (math.isqrt(max(1, tasks)) + 1, 1):
+        copies = map_arrow(copies.repartition(parts), _add_blocks, BLOCKS)
     model = {k: v.copy() for k, v in start.items()}
-    for name, part in sums.groupby("name"):
-        model[name].ravel()[part["at"].to_numpy()] = np.round(part["value"].to_numpy(), 6)
+    for r in copies.collect():      # one model
+        model[r["name"]].ravel()[:] = np.round(np.frombuffer(r["block"], np.float64) / r["weight"], 6)
     return model
 
 
+BLOCKS = "name string, block binary, weight bigint"
+
+
+def _blocks(sums: dict[str, np.ndarray], weight: int) -> pa.RecordBatch:
+    """One row per parameter: the weighted sum of its copies, and the weight."""
+    return pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary()),
+                                       pa.array([weight] * len(sums), pa.int64())], names=["name", "block", "weight"])
+
+
+def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a partition's blocks; one model is held, however many there are."""
+    sums: dict[str, np.ndarray] = {}
+    weights: Counter = Counter()
+    for b in batches:
+        for name, block, weight in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            sums[name] = sums.get(name, 0.0) + np.frombuffer(block, np.float64)
+            weights[name] += weight
+    for name, x in sums.items():
+        yield _blocks({name: x}, weights[name])
+
+
 def score_documents(model: dict, docs: list[np.ndarray], end: int) -> np.ndarray:
     """Natural log probability of each whole sequence of vocabulary numbers. Documents run side by
     side, longest first; their state is carried from window to window."""
