@@ -187,6 +187,20 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_dedup(empty(spark)).count() == 0
 
 
+def test_lines_of_rows_without_id(spark):
+    """A third of the rows has no doc_id: each is a document of its own, after all others, in the order of its hash."""
+    rows = [(None if i % 3 == 0 else i, "\n".join(f"line {(i * k) % 61}" for k in range(1, 9))) for i in range(1, 400)] + [(2**63 - 1, "line 1\nline 2\nline 3")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    order = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    docs = sorted({(i is None, order[t] if i is None else i, t) for i, t in rows})
+    brute = brute_lines([(n, t) for n, (_, _, t) in enumerate(docs)])
+    want = sorted(((None if late else i, *brute[n]) for n, (late, i, _) in enumerate(docs)), key=repr)
+    got = {(r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in line_dedup(df).collect()}
+    assert sorted(got, key=repr) == sorted(set(want), key=repr)
+    pooled = line_dedup(df).filter("doc_id is null").agg(F.sum("n_removed")).first()[0]
+    assert pooled > 0
+
+
 def test_covered_positions_are_merged():
     a, b = b"a" * 16, b"b" * 16
     assert covered([a, b, None, a, b], set()) == [(3, 7)]

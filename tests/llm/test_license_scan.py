@@ -61,3 +61,16 @@ def test_votes_add_up_along_diagonals(spark):
     assert (row["diagonal"], row["votes"], row["low"], row["high"]) == (1, 4, 1, 4)
     assert merge_diagonals([(t, 1, 2, 1, 2), (t, 3, 2, 6, 7), (t, 40, 1, 44, 44)]) == [(t, 4, 1, 7), (t, 1, 44, 44)]
     assert verify([b"cc"], [(0, -1, 1, 0, 0)], known) == ([], {})
+
+
+def test_rows_without_id_and_repeated_rows_keep_their_own_results(spark):
+    """A third of the rows has no doc_id, some share one, and some are alike: as each alone."""
+    texts = ["some words " * i + t for i, t in enumerate(["under cc by here", "general public license", "nothing of it", "all rights reserved " * 3] * 6)]
+    texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect()]
+    rows = [(None if i % 3 == 0 else i // 2, t) for i, t in enumerate(texts)] * 2
+    cols = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "notices"]
+    single = spark.createDataFrame([(i, t) for i, t in enumerate(dict.fromkeys(texts))], "doc_id bigint, text string")
+    by_id = {r["doc_id"]: tuple(r[c] for c in cols) for r in license_scan(single).collect()}
+    alone = {t: by_id[i] for i, t in enumerate(dict.fromkeys(texts))}
+    got = sorted(((r["doc_id"], *(r[c] for c in cols)) for r in license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=repr)
+    assert got == sorted(((i, *alone[t]) for i, t in rows), key=repr)

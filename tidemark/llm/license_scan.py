@@ -7,9 +7,10 @@ and diagonal (partial sums before the shuffle); neighbouring diagonals of a temp
 into one region, so that inserted or missing words do not split a match. Spans are then verified on the
 document's own words: base phrases must stand there exactly, notices by their longest common subsequence.
 
-Defined results: a null text is an empty one and has no words. Spans are verified against each
-row's own text, so rows that share a doc_id (or have none) keep their own results. Phrases that
-overlap or repeat all count. An empty table gives an empty result. Extra columns are ignored.
+Defined results: a null text is an empty one and has no words. Votes are kept by doc_id and a hash of the text, so rows
+that share a doc_id, or have none, keep their own results, and no group is larger than one text; the votes of rows alike in
+both are divided by their number. Ties (regions equally alike) are settled by the label. Texts of any
+length are scanned whole. Phrases that overlap or repeat all count. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,8 +80,14 @@ def template_positions(spark: SparkSession, known: list) -> DataFrame:
     return spark.createDataFrame(rows, "hash int, template int, j int")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, text_hash)``: what tells texts apart where doc_ids do not."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+
+
 def diagonals(docs: DataFrame, known: list) -> DataFrame:
-    """``(doc_id, template, diagonal, votes, low, high)``: votes, and first and last hit in the document."""
+    """``(doc_id, text_hash, template, diagonal, votes, low, high)``: votes, and first and last hit in the document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
@@ -88,12 +95,13 @@ def diagonals(docs: DataFrame, known: list) -> DataFrame:
                 each = [gram_hashes(words(t)) for t in raw_bytes(part.column(1))]
                 ends = np.cumsum([0] + [len(x) for x in each]).astype(np.int32)
                 hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each) if each else np.zeros(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), hashes], names=["doc_id", "hashes"])
+                yield pa.RecordBatch.from_arrays([part.column(0), hashes, part.column(2)], names=["doc_id", "hashes", "text_hash"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    grams = map_arrow(texts, run, "doc_id bigint, hashes array<int>").select("doc_id", F.posexplode("hashes").alias("i", "hash"))
+    texts = keyed(docs)
+    grams = (map_arrow(texts, run, "doc_id bigint, hashes array<int>, text_hash bigint")
+             .select("doc_id", "text_hash", F.posexplode("hashes").alias("i", "hash")))
     hits = grams.join(F.broadcast(template_positions(docs.sparkSession, known)), "hash")
-    return (hits.groupBy("doc_id", "template", (F.col("i") - F.col("j")).alias("diagonal"))
+    return (hits.groupBy("doc_id", "text_hash", "template", (F.col("i") - F.col("j")).alias("diagonal"))
             .agg(F.count("*").alias("votes"), F.min("i").alias("low"), F.max("i").alias("high")))
 
 
@@ -136,11 +144,14 @@ def verify(w: list[bytes], found: list[tuple[int, int, int, int, int]], known: l
 def license_scan(docs: DataFrame, phrases: dict | None = None, notices: dict | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, notices."""
     known = templates(phrases, notices)
-    per_doc = (diagonals(docs, known).groupBy("doc_id")   # bounded by a document's words
-               .agg(F.collect_list(F.struct("template", "diagonal", "votes", "low", "high")).alias("found"))
-               .withColumnRenamed("doc_id", "at"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(per_doc, F.col("doc_id").eqNullSafe(F.col("at")), "left").select("doc_id", "text", "found")
+    per_doc = (diagonals(docs, known).groupBy(F.col("doc_id").alias("at"), F.col("text_hash").alias("at_hash"))   # bounded by a text's words
+               .agg(F.collect_list(F.struct("template", "diagonal", "votes", "low", "high")).alias("found")))
+    texts = keyed(docs)
+    alike = (texts.groupBy(F.col("doc_id").alias("rep"), F.col("text_hash").alias("rep_hash")).agg(F.count("*").alias("rows")).filter("rows > 1"))
+    per_doc = per_doc.join(alike, F.col("at").eqNullSafe(F.col("rep")) & (F.col("at_hash") == F.col("rep_hash")), "left")
+    own = F.transform("found", lambda x: x.withField("votes", F.floor(x["votes"] / F.coalesce("rows", F.lit(1)))))
+    joined = (texts.join(per_doc.select("at", "at_hash", own.alias("found")), F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("text_hash") == F.col("at_hash")), "left")
+              .select("doc_id", "text", "found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -10,7 +10,7 @@ large part of all documents is handled by ``attach``.
 Defined results: lines end at a line feed. A null text stays null with no lines; an empty text is
 one empty line. Windows of three blank lines are not looked at. Texts of under three lines have
 no window. Rows that share a doc_id are one document: what they repeat of each other stays. Rows
-with a null doc_id together come last. An empty table gives an empty result. ``line_dedup`` keeps extra
+with a null doc_id come last, ordered by a hash of their text; those of equal text are one document. An empty table gives an empty result. ``line_dedup`` keeps extra
 columns; its own results replace columns of their names.
 """
 
@@ -20,13 +20,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import attach, map_arrow, raw_bytes, stage
 
 WINDOW = 3
-LAST = 2**63 - 1
 BATCH_ROWS = 50_000
 
 
@@ -54,46 +53,57 @@ def covered(hashes: list[bytes | None], elsewhere: set[bytes], window: int = WIN
     return out
 
 
+def document(docs: DataFrame) -> tuple[Column, Column]:
+    """Which document a row belongs to, in order: ``late`` (without a doc_id), then its doc_id or a hash of its text."""
+    doc_id = F.col("doc_id").cast("bigint")
+    return doc_id.isNull(), F.coalesce(doc_id, F.xxhash64(F.col("text").cast("string")))
+
+
 def document_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(doc, hash)``: the distinct window hashes of each row; a null doc_id is the largest number."""
+    """``(late, doc, hash)``: the distinct window hashes of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, hashes = [], []
+        ids, late, hashes = [], [], []
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.binary())], names=["doc", "hash"])
+            return pa.RecordBatch.from_arrays([pa.array(late, pa.bool_()), pa.array(ids, pa.int64()), pa.array(hashes, pa.binary())], names=["late", "doc", "hash"])
 
         for b in batches:
-            for doc, raw in zip(b.column(0).to_pylist(), raw_bytes(b.column(1)), strict=True):
+            for last, doc, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), raw_bytes(b.column(2)), strict=True):
                 if raw is None:
                     continue
                 own = {h for h in window_hashes(raw.split(b"\n"), window) if h}
                 hashes.extend(own)
                 ids.extend([doc] * len(own))
+                late.extend([last] * len(own))
                 if len(ids) >= BATCH_ROWS:
                     yield flush()
-                    ids, hashes = [], []
+                    ids, late, hashes = [], [], []
         yield flush()
 
-    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
-    return map_arrow(docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text")), run, "doc bigint, hash binary")
+    late, doc = document(docs)
+    return map_arrow(docs.select(late.alias("late"), doc.alias("doc"), F.col("text").cast("string").alias("text")), run, "late boolean, doc bigint, hash binary")
 
 
 def repeated_elsewhere(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(doc, hashes)``: the windows of each document that a document before it has."""
+    """``(late, doc, hashes)``: the windows of each document that a document before it has."""
     windows = stage(document_windows(docs, window), "line-windows")
-    first = (windows.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
-             .filter("first < last"))
-    later = attach(windows, stage(first, "line-repeats"), "hash", "n", windows.count(), how="inner").filter("doc > first")
-    return later.groupBy("doc").agg(F.collect_set("hash").alias("hashes"))   # bounded by a document's lines
+    early, late = F.when(~F.col("late"), F.col("doc")), F.when(F.col("late"), F.col("doc"))
+    first = (windows.groupBy("hash").agg(F.min(early).alias("first"), F.max(early).alias("last"), F.min(late).alias("first_late"),
+                                         F.max(late).alias("last_late"), F.count("*").alias("n"))
+             .filter("first < last or first_late < last_late or (first is not null and first_late is not null)")
+             .select("hash", "first", "first_late", "n"))
+    later = (attach(windows, stage(first, "line-repeats"), "hash", "n", windows.count(), how="inner")
+             .filter(F.when(F.col("late"), F.col("first").isNotNull() | (F.col("doc") > F.col("first_late"))).otherwise(F.col("doc") > F.col("first"))))
+    return later.groupBy("late", "doc").agg(F.collect_set("hash").alias("hashes"))   # bounded by a document's lines
 
 
 def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with ``text`` cleaned, and n_lines and n_removed (long)."""
     docs = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
     rest = [c for c in docs.columns if c != "text"]
-    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
-    repeats = repeated_elsewhere(docs, window).toDF("__doc", "__hashes")
-    joined = (docs.withColumn("text", F.col("text").cast("string")).join(repeats, doc == F.col("__doc"), "left")
+    late, doc = document(docs)
+    repeats = repeated_elsewhere(docs, window).toDF("__late", "__doc", "__hashes")
+    joined = (docs.withColumn("text", F.col("text").cast("string")).join(repeats, (late == F.col("__late")) & (doc == F.col("__doc")), "left")
               .select(F.struct(*rest).alias("rest"), "text", "__hashes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
