@@ -285,7 +285,7 @@ class ParquetStore(StateStore):
         erased = self._load("_erased")
         if erased is None:
             return
-        recent = erased.filter(F.col(ERA) > since).select("tenant").distinct()
+        recent = erased.filter(F.col(ERA) > since).groupBy("tenant").agg(F.max(ERA).alias("erased_in"))
         if recent.isEmpty():
             return
         for table in tables:
@@ -294,10 +294,9 @@ class ParquetStore(StateStore):
             if stored is None or tenant is None or tenant not in stored.columns:
                 continue
             stored = stored.filter(F.col(BUCKET).isin(self._of_tenants(table, recent)))
-            visible = self._visible(table, stored).select(ERA, BUCKET)
-            hidden = (stored.filter(F.col(ERA) > NO_ERA).groupBy(BUCKET).agg(F.count("*").alias("n"))
-                      .join(visible.groupBy(BUCKET).agg(F.count("*").alias("m")), BUCKET, "left").filter("m is null or m < n"))
-            buckets = sorted(r[0] for r in hidden.select(BUCKET).collect())     # at most as many as there are buckets
+            hidden = (stored.filter(F.col(ERA) > NO_ERA).select(tenant, ERA, BUCKET)
+                      .join(recent, (F.col(tenant) == F.col("tenant")) & (F.col(ERA) < F.col("erased_in")), "left_semi"))
+            buckets = sorted(r[0] for r in hidden.select(BUCKET).distinct().collect())     # at most as many as there are buckets
             if buckets:
                 self._rewrite(table, self._visible(table, stored.filter(F.col(BUCKET).isin(buckets))).drop(BUCKET), buckets)
 
