@@ -91,8 +91,12 @@ ROW = "__row"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number of each row in ``ROW``, staged, so that the numbers stay: what is decided about
-    a row can be carried out on that row, whether its doc_id is null, repeated or neither."""
+    """``docs`` with a number of each row in ``ROW`` that stays the same: what is decided about a row can be carried out
+    on that row, whether its doc_id is null, repeated or neither. Where the doc_ids tell the rows apart (they are
+    counted), they are the numbers; else the rows are numbered and staged."""
+    doc_id = F.col("doc_id").cast("bigint")
+    if docs.select(doc_id.alias("id")).groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1 or id is null").isEmpty():
+        return docs.withColumn(ROW, doc_id)
     return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
