@@ -236,3 +236,15 @@ def test_an_item_in_a_third_of_the_documents_is_found_in_all(spark, which):
     item = b" " + b" ".join(words(text.encode())) + b" "
     want = {d for d, t in rows if item in b" " + b" ".join(words((t or "").encode())) + b" "}
     assert len(want) >= len(rows) // 3 and want <= found
+
+
+def test_the_index_is_fitted_on_every_document(spark, monkeypatch):
+    """However many passages there are, the sketch takes all documents; their and the items' weights stay in proportion."""
+    docs, bench = tables(spark)
+    b = next(Benchmark.slices(bench, 1 << 20, 1 << 20))
+    encoded = encode(docs.limit(40), b).localCheckpoint()
+    weight = np.concatenate(([0.0], np.ones(len(b.vocabulary))))
+    taken = []
+    monkeypatch.setattr(decontaminate_module, "sketch", lambda e, w, basis, kind: taken.append(e.count()) or basis)
+    latent_basis(encoded, b, weight, 1 << 24, np.uint16, 8)
+    assert taken == [40]

@@ -9,8 +9,8 @@
    only weigh less.
 3. A randomised SVD of the TF-IDF matrix of passages fits the index. Tasks multiply their rows into a
    vocabulary x rank sketch, Spark sums the sketches and the driver orthonormalises that sum (bounded by the
-   benchmark's vocabulary). The rows are the two-block passages of a hash sample of documents, about
-   ``FIT_PASSAGES`` at most, and all benchmark items, which together weigh ``ITEM_MASS`` times as much.
+   benchmark's vocabulary). The rows are the two-block passages of all documents and all benchmark items,
+   which together weigh ``ITEM_MASS`` times as much.
 4. All passages of all documents are compared to the items by cosine in the latent space, the items as the
    stated query set, in blocks. Candidates reach the item's least cosine (``least_cosines``) and have enough of the item's words in any order, in whole
    blocks around the window, for ``PARAPHRASE`` (others cannot be verified: a subsequence is not longer).
@@ -43,7 +43,7 @@ from tidemark.llm.common import ROW, keep_rows, map_arrow, numbered, raw_bytes,
 
 BLOCK = 32
 RANK = 128
-FIT_PASSAGES, ITEM_MASS = 1 << 18, 8
+ITEM_MASS = 8
 MIN_ITEM_WORDS = 5
 #: An item's least cosine: COSINE_RATE times the root of its share of a window's words, within these bounds.
 COSINE, COSINE_MOST, COSINE_RATE = 0.25, 0.4, 0.55
@@ -299,12 +299,10 @@ def sketch(encoded: DataFrame, weight: np.ndarray, basis: np.ndarray, kind: type
 
 def latent_basis(encoded: DataFrame, bench: Benchmark, weight: np.ndarray, passages: int, kind: type, rank: int = RANK) -> np.ndarray:
     """Orthonormal columns (vocabulary x rank) that span the leading right singular vectors, by a randomised range finder."""
-    one_in = -(-max(passages, 1) // FIT_PASSAGES)
-    sample = encoded.filter(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(one_in)) == 0) if one_in > 1 else encoded
-    mass = ITEM_MASS * min(passages, FIT_PASSAGES) / max(1, len(bench.items))
+    mass = ITEM_MASS * passages / max(1, len(bench.items))
     basis = np.random.default_rng(9).standard_normal((len(weight), min(rank, int((weight > 0).sum())))) * (weight > 0)[:, None]
     basis, _r = np.linalg.qr(basis)
-    basis, _r = np.linalg.qr(sketch(sample, weight, basis, kind) + mass * item_gram(bench, weight, basis))
+    basis, _r = np.linalg.qr(sketch(encoded, weight, basis, kind) + mass * item_gram(bench, weight, basis))
     return basis
 
 
