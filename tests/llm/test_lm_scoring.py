@@ -139,7 +139,7 @@ def test_scores_of_unknown_and_rare_words_step_by_step(spark, monkeypatch):
     seqs = {i: [*(t or "").lower().split(), ""] for i, t in docs}
     counts = Counter(w for i, s in seqs.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in s)
     n, v = sum(counts.values()), len(counts)
-    head = sorted((w for w, c in counts.items() if c * 30 > n), key=lambda w: (-counts[w], w))
+    head = sorted((w for w, c in counts.items() if c * 30 > n or w == ""), key=lambda w: (-counts[w], w))
     rank = {w: k for k, w in enumerate(head)}
     rest = n - sum(counts[w] for w in head) + v - len(head) + 1
     assert 3 < len(head) < v and any(w not in counts for s in seqs.values() for w in s)
@@ -154,3 +154,13 @@ def test_scores_of_unknown_and_rare_words_step_by_step(spark, monkeypatch):
             total += 0.0 if w in rank else math.log10((counts[w] + 1) / rest)
             last = k
         assert got[i]["score"] == pytest.approx(total, rel=1e-4), i
+
+
+def test_a_model_is_trained_however_rare_the_end_is(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD_SHARE", 8)
+    text = "the cat sat on the mat and the dog sat on the cat " * 20
+    training = spark.createDataFrame([(0, text)], "doc_id bigint, text string")
+    stats = lm.statistics(lm.word_counts(training))
+    assert lm.END in stats.rank
+    start, model = lm.initial_model(stats), lm.train(training, stats)
+    assert not np.allclose(model["wc"], start["wc"], atol=1e-4)

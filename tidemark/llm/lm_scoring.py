@@ -96,10 +96,15 @@ class Statistics:
         return math.log10(self.n - int(self.counts[:self.known].sum()) + self.v - self.known + 1)
 
 
+def _in_head(n: int) -> Column:
+    """Frequent words, and the end however long the documents are: without it there is nothing to start from."""
+    return (F.col("c") * HEAD_SHARE > n) | (F.col("word") == F.lit(END))
+
+
 def statistics(counts: DataFrame) -> Statistics:
     n, v = counts.agg(F.sum("c"), F.count("*")).first()
     n = n or 0
-    head = counts.filter(F.col("c") * HEAD_SHARE > n).collect()   # at most HEAD_SHARE rows
+    head = counts.filter(_in_head(n)).collect()   # at most HEAD_SHARE rows and the end
     head = sorted(((-r["c"], bytes(r["word"])) for r in head))
     return Statistics(n, v, {w: i for i, (_, w) in enumerate(head)}, np.array([-c for c, _ in head], np.int64))
 
@@ -382,7 +387,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
     scored = map_arrow(docs, run, "doc_id bigint, n_tokens bigint, n_head bigint, head_base double, head_score double, tail array<binary>")
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
     tail = scored.select("row", F.explode("tail").alias("word"))
-    rare = counts.filter(F.col("c") * HEAD_SHARE <= stats.n)
+    rare = counts.filter(~_in_head(stats.n))
     found = (tail.join(rare, "word").groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("tail_log"), F.count("*").alias("n_tail")))
     out = scored.drop("tail").join(found, "row", "left")
     none = F.lit(0.0)
