@@ -35,3 +35,31 @@ def test_a_change_set_needs_no_state(spark):
     assert set(w._paths) == {"cdc_messages", "cdc9_changes"}
     w.cdc_state(9)
     assert {"cdc9_users", "cdc9_registrations", "cdc9_user_registrations"} <= set(w._paths)
+
+
+def test_a_batch_reads_the_messages_of_its_file_only(spark):
+    workspace(spark, SF_SMALL)
+    w = Workspace(spark, SF_SMALL)
+    files = {f: w.cdc_messages().filter(f"file_no = {f}") for f in fx.CDC_FILES}
+    for f, df in files.items():
+        assert {p.split("file_no=")[1][0] for p in df.select("_metadata.file_path").distinct().toPandas()["file_path"]} == {str(f)}
+        assert "file_no" in df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    want = fx.cdc_messages(spark, SF_SMALL).select("topic", "offset", "file_no")
+    assert sorted(w.cdc_messages().select("topic", "offset", "file_no").collect()) == sorted(want.collect())
+
+
+def test_a_step_waits_only_for_the_tables_it_reads(spark):
+    workspace(spark, SF_SMALL)
+    w = Workspace(spark, SF_SMALL)
+    w.cdc_registrations(2)
+    assert set(w._paths) == {"cdc_messages", *(f"cdc{i}_{t}" for i in range(3) for t in ("changes", "registrations"))}
+    w.cdc_joined(2)
+    assert not any("user_registrations" in p for p in w._paths) and "cdc1_joined" not in w._paths
+
+
+def test_envelopes_of_damaged_messages_are_decoded_once(spark):
+    from tidemark.plans import checks
+    workspace(spark, SF_SMALL)
+    files = checks.message_fates(spark, SF_SMALL).inputFiles()
+    assert not any("cdc_messages" in f for f in files) and any("damaged_envelopes" in f for f in files)
+    assert "damaged_envelopes" in workspace(spark, SF_SMALL)._paths
