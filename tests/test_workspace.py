@@ -63,3 +63,31 @@ def test_envelopes_of_damaged_messages_are_decoded_once(spark):
     files = checks.message_fates(spark, SF_SMALL).inputFiles()
     assert not any("cdc_messages" in f for f in files) and any("damaged_envelopes" in f for f in files)
     assert "damaged_envelopes" in workspace(spark, SF_SMALL)._paths
+
+
+def test_contacts_of_an_order_without_joining_the_orders_again(spark, tmp_path):
+    """Customer keys that repeat, have gaps or are null; orders that repeat, or whose key is null."""
+    customers = [(0, "a"), (1, "b"), (1, "b2"), (2, None), (7, "h"), (None, "z")]
+    orders = [(1, 0), (2, 1), (2, 7), (4, 2), (4, 2), (11, 1), (None, 1), (5, 99), (6, None), (8, 7)]
+    (spark.createDataFrame([(k, n, 3, "S") for k, n in customers], "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string")
+     .write.parquet(f"{tmp_path}/customer.parquet"))
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    n = len(customers)
+    rows = [(o, c) for o, c in orders for k, _ in customers if c is not None and k == c]
+    want = []
+    for o, c in rows:
+        if o is None or o % 11 == 0:
+            want.append((o, c, None))
+            continue
+        found = [(k, name) for o2, c2 in rows if o2 == o for at in (c2, (c2 + 1) % n) for k, name in customers if k == at]
+        src = "Platform" if o % 4 == 0 else "Web"
+        want.append((o, c, sorted(((f"CT{k}", name and f"{name}@MAIL.example", name, src) for k, name in found), key=repr)))
+    df = fx.orders_with_contacts(spark, str(tmp_path))
+    got = [(r["o_orderkey"], r["o_custkey"], None if r["cts"] is None else sorted((tuple(x) for x in r["cts"]), key=repr)) for r in df.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_messages_read_the_orders_once(spark):
+    workspace(spark, SF_SMALL)
+    plan = fx.crm_messages(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("orders.parquet") == 1
