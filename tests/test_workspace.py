@@ -91,3 +91,23 @@ def test_messages_read_the_orders_once(spark):
     workspace(spark, SF_SMALL)
     plan = fx.crm_messages(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[-1].count("orders.parquet") == 1
+
+
+def test_tasks_that_stage_and_store_read_small_pieces(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from tidemark import session
+    from tidemark.sources.state import ParquetStore
+    seen = []
+    for name in ("parquet", "save"):
+        write = getattr(DataFrameWriter, name)
+        monkeypatch.setattr(DataFrameWriter, name, lambda self, *a, write=write, **k: (seen.append(int(spark.conf.get(session.SPLIT_KEY).rstrip("bMB"))), write(self, *a, **k)))
+    df = spark.range(3).selectExpr("id as prospect_id", "id as organiser_Id")
+    before = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    Workspace(spark, SF_SMALL).stage("t", lambda: df)
+    store = ParquetStore(spark, f"{tmp_path}/state")
+    store.stage("t", df)
+    store.put("prospects", df)
+    store.upsert("prospects", df, ["prospect_id"], 0)
+    assert len(seen) >= 4 and set(seen) == {session.SPLIT_BYTES} and session.SPLIT_BYTES < before
+    assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == before
+    assert store.read("prospects").count() == 3
