@@ -111,3 +111,13 @@ def test_tasks_that_stage_and_store_read_small_pieces(spark, tmp_path, monkeypat
     assert len(seen) >= 4 and set(seen) == {session.SPLIT_BYTES} and session.SPLIT_BYTES < before
     assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == before
     assert store.read("prospects").count() == 3
+
+
+def test_warehouse_files_are_compressed_like_the_state(spark, tmp_path):
+    from tidemark.sources.warehouse import WarehouseConf, append_warehouse, read_appended
+    for append_only in (False, True):
+        conf = WarehouseConf(root=f"{tmp_path}/{append_only}", append_only=append_only)
+        append_warehouse(spark.range(3), conf, "t", "run", 0)
+        files = read_appended(spark, conf, "t").inputFiles()
+        assert files and all(".zstd." in f for f in files)
+        assert read_appended(spark, conf, "t").count() == 3
