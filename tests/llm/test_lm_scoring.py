@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import lm_scoring as lm
@@ -164,3 +165,40 @@ def test_a_model_is_trained_however_rare_the_end_is(spark, monkeypatch):
     assert lm.END in stats.rank
     start, model = lm.initial_model(stats), lm.train(training, stats)
     assert not np.allclose(model["wc"], start["wc"], atol=1e-4)
+
+
+def test_words_are_split_and_numbered_as_plain_python_does():
+    texts = ["", None, " A b\tB ", "\x0b\x0c", "É\x1cé\xa0x\u2003y z\r\n", "one"]
+    words, n_words = lm.split_words(pa.array([*["cut off"] * 2, *texts], pa.string()).slice(2))
+    plain = [(t or "").encode().lower().split() for t in texts]
+    assert words.to_pylist() == sum(plain, []) and n_words.tolist() == [len(w) for w in plain]
+    assert lm.with_ends(np.arange(len(words)), n_words, -1).tolist() == [-1, -1, 0, 1, 2, -1, -1, *range(3, 3 + n_words[4]), -1, len(words) - 1, -1]
+    column = pa.array(["x" * lm.PIECE_BYTES, None, "y", "z"])
+    assert list(lm.pieces(column)) == [(0, 1), (1, 3)] and not list(lm.pieces(column[:0]))
+
+
+def test_a_rare_word_is_looked_up_once_for_all_rows_it_stands_in(spark, monkeypatch):
+    """Not once for each place, which made the lookup's rows and its sort the size of the corpus."""
+    monkeypatch.setattr(lm, "HEAD_SHARE", 8)
+    docs = [(i, "never never again w%d" % i) for i in range(40)] + [(40, None)]
+    kept, stage = {}, lm.stage
+    monkeypatch.setattr(lm, "stage", lambda df, purpose: kept.setdefault(purpose, stage(df, purpose)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    check_base(df)
+    tail = {bytes(r["word"]): sorted(r["rows"]) for r in kept["lm-scored"].filter("word is not null").collect()}
+    assert kept["lm-scored"].filter("word is not null").count() == len(tail)
+    row = {r["doc_id"]: r["row"] for r in kept["lm-scored"].filter("word is null").collect()}
+    assert tail[b"w7"] == [row[7]] and len(row) == 41
+    again = tail.get(b"again")      # rare or not by its count
+    assert again is None or again == sorted(row[i] for i in range(40))
+    assert "ShuffledHashJoin" in lm.lm_score(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_logits_do_not_overflow():
+    model, rng = tiny(2)
+    for size in (1, 400):
+        model["wc"] *= size
+        hs, target = rng.uniform(-1, 1, (50, lm.HIDDEN)), rng.integers(0, lm.VOCABULARY, 50)
+        logp, back, _ = lm.output(model, hs, target, 1.0, lm.Room())
+        got = lm.log_probability(lm._biased(model, "wc", "bc"), lm._biased(model, "ww", "bw"), hs, target, lm.Room())
+        assert math.isfinite(logp) and np.isfinite(back).all() and got.sum() == pytest.approx(logp)
